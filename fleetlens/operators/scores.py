@@ -84,6 +84,13 @@ def _double(name: str) -> Column:
     return F.col(name).cast("double")
 
 
+def _with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are all set; one condition per key, so that the scan can skip by it."""
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+    return df
+
+
 def _attributes(condition: Column | None = None, suffix: str = "") -> list[Column]:
     pick = (lambda c: F.when(condition, F.col(c))) if condition is not None else F.col
     return [F.max(pick(c)).alias(c + suffix) for c in ATTRIBUTES]
@@ -147,7 +154,7 @@ def station_score(hourly: DataFrame) -> DataFrame:
     Station-hours with a null key are left out.
     """
     scored = (
-        with_scores(banded_percentiles(hourly.dropna(subset=STATION)), STATION_SCORES)
+        with_scores(banded_percentiles(_with_keys(hourly, STATION)), STATION_SCORES)
         .withColumn("variation_score", variation_score())
         .withColumn("base_score", F.least(*STATION_SCORES))
         # At most 4, at least 1; without any base score the class is the lowest.
@@ -230,7 +237,7 @@ def _coverage_aggregates() -> list[Column]:
 def station_quality(hourly: DataFrame, speed: bool = True, coverage: bool = True) -> DataFrame:
     """Gated station-hours with the speed and/or coverage measures and scores, in one aggregate."""
     aggs = (_speed_aggregates() if speed else []) + (_coverage_aggregates() if coverage else [])
-    stations = gated(hourly.dropna(subset=HOME), STATION, *aggs)
+    stations = gated(_with_keys(hourly, HOME), STATION, *aggs)
     if speed:
         stations = with_scores(stations, SPEED_SCORES).withColumn(_SPEED, mean_present(*SPEED_SCORES))
     if coverage:
@@ -373,19 +380,14 @@ def reliability_score(device_groups: DataFrame) -> DataFrame:
 # --- composite ---------------------------------------------------------------
 
 
-def _composite_output() -> list[Column]:
+def _finish_composite(joined: DataFrame) -> DataFrame:
     parts = [F.col(c) for c in ("speed_score_num", "coverage_score_num", "reliability_score_num")]
     speed, coverage, reliability = parts
     present = sum((p.isNotNull().cast("int") for p in parts), F.lit(0))
     mean = (speed + coverage + F.coalesce(reliability, F.lit(0))) / F.nullif(present, F.lit(0))
-    return [mean.alias("__mean")]
-
-
-def _finish_composite(joined: DataFrame) -> DataFrame:
-    number = class_number("__mean")
     return (
-        joined.select("*", *_composite_output())
-        .withColumn("wifi_score_num", number)
+        joined.withColumn("__mean", mean)
+        .withColumn("wifi_score_num", class_number("__mean"))
         .select(
             *_KEYS,
             *SPEED_COLUMNS,

@@ -20,17 +20,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(app: str = "fleetlens", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    app: str = "fleetlens", cpus: int | str = "*", shuffle_partitions: int = 8, shared: str | None = None
+) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 
