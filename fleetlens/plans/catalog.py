@@ -374,9 +374,11 @@ def wide_daily_features(spark, sf):
 
 @query
 def wide_daily_join(spark, sf):
-    rows = A.daily_features(spark, sf)
-    days = {d: rows.where(F.col("day") == F.lit(d).cast("date")) for d in _days(3, 9)}
-    wide = features.daily_wide_join(days, "serial_num", FEATURES, drop=["day"])
+    """One folder per day, written first, then joined day by day."""
+    base = scratch_path(spark, "daily_features")
+    A.daily_features(spark, sf).write.partitionBy("day").parquet(base)
+    days = {d: spark.read.parquet(f"{base}/day={d}") for d in _days(3, 9)}
+    wide = features.daily_wide_join(days, "serial_num", FEATURES)
     return _installs(spark, sf).join(wide, "serial_num")
 
 

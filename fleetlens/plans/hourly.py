@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens import schema
 from fleetlens.operators import profile, scores
-from fleetlens.session import stage
-from fleetlens.sinks.files import overwrite_partitions
+from fleetlens.session import scratch_path, stage
+from fleetlens.sinks.files import delete, overwrite_partitions
 from fleetlens.sources.files import read_partition
 
 
@@ -40,8 +41,12 @@ def score_hour(
     hourly = read_hour(spark, paths["station_connection"], date, hour)
     _file_under(scores.station_score(hourly), date, hour, paths["station_score"])
     reliability = scores.reliability_score(read_partition(spark, groups_base, date, hour, schema.DEVICE_GROUPS))
-    wifi = scores.wifi_score(hourly, scores.data_consumption(history, max_bytes), reliability, stage=stage)
+    staging = scratch_path(spark, "score_hour")
+    wifi = scores.wifi_score(
+        hourly, scores.data_consumption(history, max_bytes), reliability, stage=partial(stage, folder=staging)
+    )
     _file_under(wifi, date, hour, paths["wifi_score"])
+    delete(spark, staging)
     return paths
 
 

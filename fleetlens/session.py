@@ -56,16 +56,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/fleetlens/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in a folder of this application."""
+    return f"{shared_dir(spark)}/fleetlens/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     For results that feed several branches of one plan: the input is read once,
     a lost executor costs no recomputation, and the planner sees real sizes.
+    The table stays until ``folder`` (by default one of this application's own)
+    is deleted.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = f"{folder}/{name}" if folder else scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
