@@ -89,6 +89,11 @@ def delay(registry: DataFrame, latest_days: DataFrame, as_of: Column | str) -> D
     )
 
 
+def _open_day(day: Column, excluded: Sequence[str]) -> Column:
+    workday = F.weekday(day) < 5
+    return workday & ~day.isin([F.lit(d).cast("date") for d in excluded]) if excluded else workday
+
+
 def calendar(registry: DataFrame, as_of: Column | str, span: tuple[int, int], excluded: Sequence[str] = ()) -> DataFrame:
     """``(name, day)`` to probe; business calendars leave out weekends and ``excluded`` days."""
     first, last = span
@@ -97,10 +102,8 @@ def calendar(registry: DataFrame, as_of: Column | str, span: tuple[int, int], ex
         "calendar",
         F.explode(F.sequence(F.date_sub(_expected(as_of), last), F.date_sub(_expected(as_of), first))).alias("day"),
     )
-    open_day = F.weekday("day") < 5
-    if excluded:
-        open_day = open_day & ~F.col("day").isin([F.lit(d).cast("date") for d in excluded])
-    return days.where((F.col("calendar") != "business") | open_day).select("name", "day")
+    probed = (F.col("calendar") != "business") | _open_day(F.col("day"), excluded)
+    return days.where(probed).select("name", "day")
 
 
 def missing_days(
@@ -132,24 +135,21 @@ def report(
 ) -> DataFrame:
     """One row per registered dataset: latest day, delay, missing days (newest first).
 
-    A dataset never seen stays in the report, with null latest day and delay and
-    every probed day missing.
+    One aggregate over the observations; what it keeps of a dataset are its
+    distinct days.  A dataset never seen stays in the report, with null latest
+    day and delay and every probed day missing.
     """
-    seen = observed_days(observed)
-    gaps = (
-        missing_days(registry, seen, as_of, span, excluded)
-        .groupBy("name")
-        .agg(F.sort_array(F.collect_list("missing_day"), asc=False).alias("miss_days"))
+    seen = observed.groupBy("name").agg(
+        F.max("observed_date").alias("latest_date"), F.collect_set("observed_date").alias("days")
     )
-    return (
-        delay(registry, latest(seen), as_of)
-        .join(gaps, "name", "left")
-        .select(
-            "name",
-            "latest_date",
-            "delayed_days",
-            F.coalesce("miss_days", F.array().cast("array<date>")).alias("miss_days"),
-        )
+    first, last = span
+    probed = F.reverse(F.sequence(F.date_sub(_expected(as_of), last), F.date_sub(_expected(as_of), first)))
+    probed = F.when(F.col("calendar") == "business", F.filter(probed, lambda d: _open_day(d, excluded))).otherwise(probed)
+    return registry.join(seen, "name", "left").select(
+        "name",
+        "latest_date",
+        F.datediff(_expected(as_of), "latest_date").alias("delayed_days"),
+        F.array_except(probed, F.coalesce("days", F.array().cast("array<date>"))).alias("miss_days"),
     )
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import clean
@@ -19,6 +21,11 @@ def flatten_struct(df: DataFrame, struct: str, *keep: str) -> DataFrame:
     return df.select(*keep, f"{struct}.*")
 
 
+def flatten_fields(df: DataFrame, struct: str, fields: Sequence[str], *keep: Column | str) -> DataFrame:
+    """Some fields of a struct column, after the kept columns; only these fields are read."""
+    return df.select(*keep, *[f"{struct}.{f}" for f in fields])
+
+
 def stationarity(history: DataFrame) -> DataFrame:
     """``sn, station_mac, mobility_status`` from one (the previous) day of history.
 
@@ -26,13 +33,16 @@ def stationarity(history: DataFrame) -> DataFrame:
     ``p10 - 2 * (p90 - p10)``; the label depends on the group alone, so a station
     keeps its label exactly if its strongest signal is no outlier.
     """
-    signal = F.col(f"{_DATA}.signal_strength")
     p3, p10, p50, p90 = (F.col("p")[i] for i in range(4))
     fence = F.least(p10 - 2 * (p90 - p10), p3)
     return (
-        history.where(signal.isNotNull())
-        .groupBy(clean.serial("rowkey").alias("sn"), F.col(f"{_DATA}.station_mac").alias("station_mac"))
-        .agg(percentiles(signal, 0.03, 0.1, 0.5, 0.9).alias("p"), F.max(signal).alias("strongest"))
+        history.select(clean.serial("rowkey").alias("sn"), f"{_DATA}.station_mac", f"{_DATA}.signal_strength")
+        .where(F.col("signal_strength").isNotNull())
+        .groupBy("sn", "station_mac")
+        .agg(
+            percentiles("signal_strength", 0.03, 0.1, 0.5, 0.9).alias("p"),
+            F.max("signal_strength").alias("strongest"),
+        )
         .where(F.col("strongest") > fence)
         .select(
             "sn",
@@ -44,19 +54,20 @@ def stationarity(history: DataFrame) -> DataFrame:
 
 def hourly_records(history: DataFrame) -> DataFrame:
     """Raw history rows, flattened to the needed fields, parsed and renamed."""
-    field = lambda name: F.col(f"{_DATA}.{name}")
-    return history.select(
-        clean.serial("rowkey").alias("sn"),
-        field("station_mac").alias("station_mac"),
-        field("station_name").alias("station_name"),
-        field("connect_type").alias("band"),
-        field("signal_strength").alias("rssi"),
-        field("snr").alias("snr"),
-        clean.rate(field("link_rate")).alias("phy_rate"),
-        clean.rate(field("tx_link_rate")).alias("tx_phy_rate"),
+    fields = ["station_mac", "station_name", "connect_type", "signal_strength", "snr", "link_rate", "tx_link_rate", "ts"]
+    flat = flatten_fields(history, _DATA, fields, clean.serial("rowkey").alias("sn"), "Tplg_Data_model_name")
+    return flat.select(
+        "sn",
+        "station_mac",
+        "station_name",
+        F.col("connect_type").alias("band"),
+        F.col("signal_strength").alias("rssi"),
+        "snr",
+        clean.rate("link_rate").alias("phy_rate"),
+        clean.rate("tx_link_rate").alias("tx_phy_rate"),
         F.col("Tplg_Data_model_name").alias("model"),
-        clean.epoch_hour(field("ts")).alias("hour"),
-        clean.epoch_day(field("ts")).alias("date"),
+        clean.epoch_hour("ts").alias("hour"),
+        clean.epoch_day("ts").alias("date"),
         F.lit(0).alias("son"),
     )
 

@@ -76,6 +76,13 @@ def with_scores(df: DataFrame, ladders: dict[str, tuple[str, list]]) -> DataFram
     return df.withColumns({score: ladder(measure, steps) for score, (measure, steps) in ladders.items()})
 
 
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
 def _spread(value: Column) -> Column:
     return F.max(value) - F.min(value)
 
@@ -187,23 +194,26 @@ def station_score(hourly: DataFrame) -> DataFrame:
 
 def data_consumption(history: DataFrame, max_bytes: int = MAX_TOTAL_BYTES) -> DataFrame:
     """Bytes sent and received per station-hour; totals of ``max_bytes`` and more are left out."""
-    counter = lambda name: F.col(f"station_data_connect_data.{name}").cast("decimal(38,0)")
+    flat = history.where(F.col("station_data_connect_data").isNotNull()).select(
+        clean.serial("rowkey", "bounded").alias("sn"),
+        "station_data_connect_data.station_mac",
+        "date",
+        "hour",
+        F.col("station_data_connect_data.bs").cast("decimal(38,0)").alias("sent"),
+        F.col("station_data_connect_data.br").cast("decimal(38,0)").alias("received"),
+    )
     return (
-        history.where(F.col("station_data_connect_data").isNotNull())
-        .groupBy(
-            clean.serial("rowkey", "bounded").alias("sn"),
-            F.col("station_data_connect_data.station_mac").alias("station_mac"),
-            "date",
-            "hour",
-        )
-        .agg(F.sum(counter("bs") + counter("br")).cast("decimal(38,0)").alias("total_bytes"))
+        flat.groupBy(*STATION)
+        .agg(F.sum(F.col("sent") + F.col("received")).cast("decimal(38,0)").alias("total_bytes"))
         .where(F.col("total_bytes") < max_bytes)
     )
 
 
-def consumption_rank(stations: DataFrame, consumption: DataFrame, max_bytes: int = MAX_TOTAL_BYTES) -> DataFrame:
+def consumption_rank(
+    stations: DataFrame, consumption: DataFrame, max_bytes: int = MAX_TOTAL_BYTES, stage: Stage = _as_is
+) -> DataFrame:
     """Stations with their bytes and their rank in the home, heaviest first, unknown last."""
-    joined = stations.join(consumption, STATION, "left")
+    joined = stage(stations.join(consumption, STATION, "left"), "ranked_stations")
     return rank_within(joined, HOME, "total_bytes", max_bytes / 4096, "rank_per_sn")
 
 
@@ -313,13 +323,6 @@ COVERAGE_COLUMNS = [
 ]
 _KEYS = ["sn", "station_mac", "station_name", "model", "mobility_status", "date", "hour"]
 
-Stage = Callable[[DataFrame, str], DataFrame]
-
-
-def _as_is(df: DataFrame, name: str) -> DataFrame:
-    return df
-
-
 def speed_score(
     hourly: DataFrame, consumption: DataFrame, renormalize: bool = False, stage: Stage = _as_is
 ) -> DataFrame:

@@ -176,7 +176,7 @@ def data_consumption(spark, sf):
 def consumption_rank(spark, sf):
     records = profile.hourly_records(A.station_history(spark, sf))
     stations = grouping.gated(records, scores.STATION, F.max("rssi").alias("max_rssi"))
-    return scores.consumption_rank(stations, consumption(spark, sf), A.MAX_BYTES)
+    return scores.consumption_rank(stations, consumption(spark, sf), A.MAX_BYTES, stage=stage)
 
 
 @query
@@ -223,8 +223,8 @@ def composite_join(spark, sf):
     hourly = stage(fact(spark, sf), "hourly_fact")
     bytes_used = consumption(spark, sf)
     return scores.composite_score(
-        scores.speed_score(hourly, bytes_used),
-        scores.coverage_score(hourly, bytes_used),
+        scores.speed_score(hourly, bytes_used, stage=stage),
+        scores.coverage_score(hourly, bytes_used, stage=stage),
         scores.reliability_score(A.device_groups(spark, sf)),
     )
 
@@ -343,7 +343,7 @@ def multi_day_union(spark, sf):
     """Day folders written first; the days read include some that do not exist."""
     base = scratch_path(spark, "daily_events")
     events = A.table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    events.write.partitionBy("day").parquet(base)
+    sinks.overwrite_partitions(events, base, ["day"])
     union = sources.read_tolerant(spark, base + "/day={}", _days(1, 31) + ["2024-02-30"])
     return union.select("event_id", "user_id", "event_type", "value")
 
@@ -376,7 +376,7 @@ def wide_daily_features(spark, sf):
 def wide_daily_join(spark, sf):
     """One folder per day, written first, then joined day by day."""
     base = scratch_path(spark, "daily_features")
-    A.daily_features(spark, sf).write.partitionBy("day").parquet(base)
+    sinks.overwrite_partitions(A.daily_features(spark, sf), base, ["day"])
     days = {d: spark.read.parquet(f"{base}/day={d}") for d in _days(3, 9)}
     wide = features.daily_wide_join(days, "serial_num", FEATURES)
     return _installs(spark, sf).join(wide, "serial_num")

@@ -57,7 +57,8 @@ def _file_under(df: DataFrame, date: str, hour: str, path: str) -> None:
     hour as ``record_date`` and ``record_hour`` and so replaces no other hour.
     """
     renamed = df.withColumnsRenamed({"date": "record_date", "hour": "record_hour"})
-    overwrite_partitions(renamed.withColumns({"date": F.lit(date), "hour": F.lit(hour)}), path)
+    filed = renamed.withColumns({"date": F.lit(date), "hour": F.lit(hour)})
+    overwrite_partitions(filed, path, rebalance=False)
 
 
 def read_hour(spark: SparkSession, path: str, date: str, hour: str) -> DataFrame:

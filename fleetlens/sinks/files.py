@@ -43,8 +43,17 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str] = ("date", "hour")) -> None:
-    """Replace only the partitions that ``df`` has rows for."""
+def overwrite_partitions(
+    df: DataFrame, path: str, keys: Sequence[str] = ("date", "hour"), rebalance: bool = True
+) -> None:
+    """Replace only the partitions that ``df`` has rows for.
+
+    Rows are brought together by partition first, else every task would write a
+    file into each of them; adaptive execution splits a partition that is too
+    large for one task.  Not needed for a single partition.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *keys)
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
