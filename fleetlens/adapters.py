@@ -33,32 +33,51 @@ _DAY_SIGNAL = """
 """
 
 
+_CONNECT_DATA = [
+    "station_mac",
+    "station_name",
+    "connect_type",
+    "signal_strength",
+    "snr",
+    "link_rate",
+    "tx_link_rate",
+    "ts",
+    "bs",
+    "br",
+]
+
+
 def _history(lineitem: DataFrame, signal: str) -> DataFrame:
     return lineitem.selectExpr(
         "concat('R-S', l_suppkey, '_', l_orderkey) as rowkey",
         "concat('Model#', l_partkey % 25) as Tplg_Data_model_name",
-        f"""named_struct(
-            'station_mac', concat('m', l_suppkey, 'x', l_linenumber),
-            'station_name', case when l_linenumber = 7 then null else concat('n', l_linenumber) end,
-            'connect_type', case l_returnflag when 'A' then '2.4GHz' when 'R' then '5GHz' else '6GHz' end,
-            'signal_strength', cast({signal} as double),
-            'snr', l_quantity * 0.2D * (1 + l_suppkey % 3) - case when l_linenumber = 6 then 40 else 0 end,
-            'link_rate', concat({_RATE}, 'Mbps'),
-            'tx_link_rate', concat({_RATE}, 'Mbps'),
-            'ts', unix_seconds(cast(date_trunc('YEAR', l_shipdate) as timestamp)) * 1000 + (l_orderkey % 3600) * 1000,
-            'bs', cast(floor(l_extendedprice) as bigint),
-            'br', cast(floor(l_extendedprice * l_tax) as bigint)
-        ) as station_data_connect_data""",
+        "concat('m', l_suppkey, 'x', l_linenumber) as station_mac",
+        "case when l_linenumber = 7 then null else concat('n', l_linenumber) end as station_name",
+        "case l_returnflag when 'A' then '2.4GHz' when 'R' then '5GHz' else '6GHz' end as connect_type",
+        f"cast({signal} as double) as signal_strength",
+        "l_quantity * 0.2D * (1 + l_suppkey % 3) - case when l_linenumber = 6 then 40 else 0 end as snr",
+        f"concat({_RATE}, 'Mbps') as link_rate",
+        f"concat({_RATE}, 'Mbps') as tx_link_rate",
+        "unix_seconds(cast(date_trunc('YEAR', l_shipdate) as timestamp)) * 1000 + (l_orderkey % 3600) * 1000 as ts",
+        "cast(floor(l_extendedprice) as bigint) as bs",
+        "cast(floor(l_extendedprice * l_tax) as bigint) as br",
         "concat(year(l_shipdate), '0101') as date",
         "'00' as hour",
     )
 
 
 def station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Connection records: home = supplier, station = line number, day = ship year."""
+    """Flat connection records: home = supplier, station = line number, day = ship year."""
     return _history(table(spark, sf_dir, "lineitem"), _RSSI)
 
 
+def nested_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records in the nested form in which they arrive."""
+    return station_history(spark, sf_dir).select(
+        "rowkey", "Tplg_Data_model_name", F.struct(*_CONNECT_DATA).alias("station_data_connect_data"), "date", "hour"
+    )
+
+
 def previous_day_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records from which the mobility label is taken."""
     return _history(table(spark, sf_dir, "lineitem"), _DAY_SIGNAL)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import clean
@@ -21,9 +19,16 @@ def flatten_struct(df: DataFrame, struct: str, *keep: str) -> DataFrame:
     return df.select(*keep, f"{struct}.*")
 
 
-def flatten_fields(df: DataFrame, struct: str, fields: Sequence[str], *keep: Column | str) -> DataFrame:
-    """Some fields of a struct column, after the kept columns; only these fields are read."""
-    return df.select(*keep, *[f"{struct}.{f}" for f in fields])
+def fields_of(history: DataFrame, *fields: str) -> DataFrame:
+    """Fields of the connection struct as columns, beside the serial source, model and partition.
+
+    History that is flat already is taken as it is.  From nested parquet only
+    these fields are read.
+    """
+    nested = _DATA in history.columns
+    return history.select(
+        "rowkey", "Tplg_Data_model_name", "date", "hour", *[f"{_DATA}.{f}" if nested else f for f in fields]
+    )
 
 
 def stationarity(history: DataFrame) -> DataFrame:
@@ -36,9 +41,9 @@ def stationarity(history: DataFrame) -> DataFrame:
     p3, p10, p50, p90 = (F.col("p")[i] for i in range(4))
     fence = F.least(p10 - 2 * (p90 - p10), p3)
     return (
-        history.select(clean.serial("rowkey").alias("sn"), f"{_DATA}.station_mac", f"{_DATA}.signal_strength")
+        fields_of(history, "station_mac", "signal_strength")
         .where(F.col("signal_strength").isNotNull())
-        .groupBy("sn", "station_mac")
+        .groupBy(clean.serial("rowkey").alias("sn"), "station_mac")
         .agg(
             percentiles("signal_strength", 0.03, 0.1, 0.5, 0.9).alias("p"),
             F.max("signal_strength").alias("strongest"),
@@ -54,10 +59,19 @@ def stationarity(history: DataFrame) -> DataFrame:
 
 def hourly_records(history: DataFrame) -> DataFrame:
     """Raw history rows, flattened to the needed fields, parsed and renamed."""
-    fields = ["station_mac", "station_name", "connect_type", "signal_strength", "snr", "link_rate", "tx_link_rate", "ts"]
-    flat = flatten_fields(history, _DATA, fields, clean.serial("rowkey").alias("sn"), "Tplg_Data_model_name")
+    flat = fields_of(
+        history,
+        "station_mac",
+        "station_name",
+        "connect_type",
+        "signal_strength",
+        "snr",
+        "link_rate",
+        "tx_link_rate",
+        "ts",
+    )
     return flat.select(
-        "sn",
+        clean.serial("rowkey").alias("sn"),
         "station_mac",
         "station_name",
         F.col("connect_type").alias("band"),

@@ -35,6 +35,7 @@ from fleetlens.operators.grouping import (
     rank_within,
     top_rest_averages,
 )
+from fleetlens.operators.profile import fields_of
 
 STATION = ["sn", "station_mac", "date", "hour"]
 HOME = ["sn", "date", "hour"]
@@ -194,17 +195,13 @@ def station_score(hourly: DataFrame) -> DataFrame:
 
 def data_consumption(history: DataFrame, max_bytes: int = MAX_TOTAL_BYTES) -> DataFrame:
     """Bytes sent and received per station-hour; totals of ``max_bytes`` and more are left out."""
-    flat = history.where(F.col("station_data_connect_data").isNotNull()).select(
-        clean.serial("rowkey", "bounded").alias("sn"),
-        "station_data_connect_data.station_mac",
-        "date",
-        "hour",
-        F.col("station_data_connect_data.bs").cast("decimal(38,0)").alias("sent"),
-        F.col("station_data_connect_data.br").cast("decimal(38,0)").alias("received"),
-    )
+    if "station_data_connect_data" in history.columns:
+        history = history.where(F.col("station_data_connect_data").isNotNull())
+    counters = F.col("bs").cast("decimal(38,0)") + F.col("br").cast("decimal(38,0)")
     return (
-        flat.groupBy(*STATION)
-        .agg(F.sum(F.col("sent") + F.col("received")).cast("decimal(38,0)").alias("total_bytes"))
+        fields_of(history, "station_mac", "bs", "br")
+        .groupBy(clean.serial("rowkey", "bounded").alias("sn"), "station_mac", "date", "hour")
+        .agg(F.sum(counters).cast("decimal(38,0)").alias("total_bytes"))
         .where(F.col("total_bytes") < max_bytes)
     )
 

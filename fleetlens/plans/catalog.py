@@ -46,7 +46,7 @@ def consumption(spark, sf):
 
 @query
 def flatten_struct(spark, sf):
-    history = A.station_history(spark, sf)
+    history = A.nested_history(spark, sf)
     return profile.flatten_struct(history, "station_data_connect_data", "rowkey", "Tplg_Data_model_name")
 
 
@@ -149,7 +149,9 @@ def stationarity(spark, sf):
 
 @query
 def hourly_fact(spark, sf):
-    return fact(spark, sf)
+    return profile.hourly_fact(
+        A.nested_history(spark, sf), profile.stationarity(A.previous_day_history(spark, sf))
+    )
 
 
 @query
