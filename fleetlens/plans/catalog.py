@@ -433,14 +433,11 @@ def partition_overwrite(spark, sf):
     return spark.read.schema(full).parquet(base)
 
 
-PART_SCHEMA = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
-
-
 @query
 def csv_roundtrip(spark, sf):
     folder = scratch_path(spark, "part_csv")
     sinks.csv_folder(A.table(spark, sf, "part"), folder)
-    return sources.load_csv(spark, folder, PART_SCHEMA)
+    return sources.load_csv(spark, folder, A.SCHEMAS["part"])
 
 
 @query
@@ -449,7 +446,7 @@ def export_filtered(spark, sf):
     sinks.export_models(
         spark, f"{sf}/part.parquet", folder, ["Brand#1", "Brand#2", "Brand#3"], column="p_brand"
     )
-    return sources.load_csv(spark, folder, PART_SCHEMA)
+    return sources.load_csv(spark, folder, A.SCHEMAS["part"])
 
 
 @query
@@ -506,7 +503,7 @@ def message_stream(spark, sf):
     """The same messages received as a stream: good ones and quarantined ones."""
     path = f"{sf}/events.parquet"
     # The pattern makes the folder the base path, whether the table is one file or a folder of files.
-    arriving = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path + "*")
+    arriving = spark.readStream.schema(A.SCHEMAS["events"]).parquet(path + "*")
     table, checkpoint = scratch_path(spark, "received"), scratch_path(spark, "checkpoint")
     messages.receive(_messages(arriving), MESSAGE, table, checkpoint).awaitTermination()
     event_id = T.StructField("event_id", T.LongType())

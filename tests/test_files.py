@@ -38,6 +38,12 @@ def test_overwriting_a_partition_keeps_the_others(spark, hourly):
     assert sorted(r["v"] for r in spark.read.parquet(hourly).collect()) == [2, 3, 9]
 
 
+def test_each_partition_is_written_by_few_tasks(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 16).select("id", F.concat(F.lit("d"), F.col("id") % 2).alias("date"), F.lit("00").alias("hour"))
+    sinks.overwrite_partitions(df, f"{tmp_path}/t")
+    assert len(spark.read.parquet(f"{tmp_path}/t").inputFiles()) == 2
+
+
 def test_overwrite_replaces_everything(spark, tmp_path):
     for n in (5, 2):
         sinks.overwrite(spark.range(n), f"{tmp_path}/t")
