@@ -97,3 +97,55 @@ def test_hourly_job(spark, tmp_path):
     assert row["wifi_score_num_unrounded"] == pytest.approx(3.47)  # (3.2 + 3.2 + 4) / 3
     assert spark.read.parquet(paths["station_score"]).where(F.col("station_score_num") == 4).count() == 4
     assert children(spark, out) == ["station_connection", "station_score", "wifi_score"]
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds at which test data counts as large: no broadcast, partitions of 20 KB are split."""
+    values = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_a_hot_group_is_split_among_tasks(spark, small_partitions):
+    from fleetlens.operators.grouping import group_record_count
+
+    df = spark.range(0, 60000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 4000)).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    out = group_record_count(df, ["k"])
+    assert out.where("k = 'hot'").select(F.max("record_count")).first()[0] == 20000
+    out.collect()
+    assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_home_is_split_in_the_score_join(spark, small_partitions):
+    stations = spark.range(0, 60000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("S"), F.col("id") % 4000)).alias("sn"),
+        F.lit("d").alias("date"),
+        F.lit("h").alias("hour"),
+        F.sha2(F.col("id").cast("string"), 256).alias("station_mac"),
+        F.lit(1).alias("n_fast"),
+        (F.col("id") % 4 + 1.0).alias(scores._SPEED),
+        F.when(F.col("id") % 2 == 0, F.col("id")).cast("decimal(38,0)").alias("total_bytes"),
+    )
+    homes = scores.home_scores(stations, coverage=False)
+    out = stations.join(homes, scores.HOME)
+    assert len(out.collect()) == 60000
+    assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    top = sorted((r["id"] for r in spark.range(60000).where("id % 6 = 0").collect()), reverse=True)[:5]
+    rest = [i for i in range(0, 60000, 3) if i not in top]
+    mean = lambda ids: sum(i % 4 + 1.0 for i in ids) / len(ids)
+    wanted = round(0.8 * mean(top) + 0.2 * mean(rest), 2)
+    assert homes.where("sn = 'hot'").first()["home_weighted_avg_base_score_speed"] == pytest.approx(wanted)
