@@ -81,7 +81,8 @@ def _history(lineitem: DataFrame, signal: str) -> DataFrame:
         "cast(floor(l_extendedprice) as bigint) as bs",
         "cast(floor(l_extendedprice * l_tax) as bigint) as br",
         "concat(year(l_shipdate), '0101') as date",
-        "'00' as hour",
+        # Ship dates have no time of day: '00', but as a column like that of a foldered table.
+        "lpad(hour(l_shipdate), 2, '0') as hour",
     )
 
 
@@ -116,7 +117,7 @@ def device_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
                 'airtime_util', cast(cast(floor(value) as int) as string)))
         ) as group_diag_history_radio_wifi_info""",
         "concat(1996 + event_id % 7, '0101') as date",
-        "'00' as hour",
+        "lpad(hour(date_trunc('DAY', ts)), 2, '0') as hour",
     )
 
 

@@ -7,7 +7,7 @@ minimum-sample gate is a condition on its row count.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,9 +99,9 @@ def _with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df
 
 
-def _attributes(condition: Column | None = None, suffix: str = "") -> list[Column]:
+def _attributes(condition: Column | None = None, suffix: str = "", names: Sequence[str] = ATTRIBUTES) -> list[Column]:
     pick = (lambda c: F.when(condition, F.col(c))) if condition is not None else F.col
-    return [F.max(pick(c)).alias(c + suffix) for c in ATTRIBUTES]
+    return [F.max(pick(c)).alias(c + suffix) for c in names]
 
 
 # --- station score -----------------------------------------------------------
@@ -221,11 +221,11 @@ _SPEED = "individual_station_avg_base_score_speed"
 _COVERAGE = "individual_station_avg_base_score_coverage"
 
 
-def _speed_aggregates() -> list[Column]:
+def _speed_aggregates(attributes: Sequence[str]) -> list[Column]:
     rate = F.when(_double("tx_phy_rate") > SLOWEST_TX, _double("tx_phy_rate"))
     snr = F.when(_double("snr").between(*VALID_SNR), _double("snr"))
     return [
-        *_attributes(rate.isNotNull(), "_speed"),
+        *_attributes(rate.isNotNull(), "_speed", attributes),
         F.count(rate).alias(_FAST),
         percentiles(in_band("2.4G", rate), 0.9)[0].alias("p90_phy_rate_2_4g_speed"),
         percentiles(in_band("5G", rate), 0.9)[0].alias("p90_phy_rate_5g_speed"),
@@ -233,17 +233,23 @@ def _speed_aggregates() -> list[Column]:
     ]
 
 
-def _coverage_aggregates() -> list[Column]:
+def _coverage_aggregates(attributes: Sequence[str]) -> list[Column]:
     return [
-        *_attributes(),
+        *_attributes(names=attributes),
         percentiles(in_band("2.4G", _double("rssi")), 0.9)[0].alias("p90_rssi_2_4g"),
         percentiles(in_band("5G", _double("rssi")), 0.9)[0].alias("p90_rssi_5g"),
     ]
 
 
-def station_quality(hourly: DataFrame, speed: bool = True, coverage: bool = True) -> DataFrame:
-    """Gated station-hours with the speed and/or coverage measures and scores, in one aggregate."""
-    aggs = (_speed_aggregates() if speed else []) + (_coverage_aggregates() if coverage else [])
+def station_quality(
+    hourly: DataFrame, speed: bool = True, coverage: bool = True, labelled: bool = True
+) -> DataFrame:
+    """Gated station-hours with the speed and/or coverage measures and scores, in one aggregate.
+
+    ``labelled`` says whether ``hourly`` has the mobility label.
+    """
+    attributes = [a for a in ATTRIBUTES if labelled or a != "mobility_status"]
+    aggs = (_speed_aggregates(attributes) if speed else []) + (_coverage_aggregates(attributes) if coverage else [])
     stations = gated(_with_keys(hourly, HOME), STATION, *aggs)
     if speed:
         stations = with_scores(stations, SPEED_SCORES).withColumn(_SPEED, mean_present(*SPEED_SCORES))
@@ -252,6 +258,23 @@ def station_quality(hourly: DataFrame, speed: bool = True, coverage: bool = True
     return stations
 
 
+def _scored_stations(
+    hourly: DataFrame, consumption: DataFrame, mobility: DataFrame | None, speed: bool = True, coverage: bool = True
+) -> DataFrame:
+    """Station-hours with scores, consumption (same distribution, joined first) and mobility label."""
+    stations = station_quality(hourly, speed, coverage, labelled=mobility is None)
+    if not coverage:
+        stations = stations.where(F.col(_FAST) > 0)
+    stations = stations.join(consumption, STATION, "left")
+    if mobility is None:
+        return stations
+    stations = stations.join(mobility, ["sn", "station_mac"], "left")
+    if speed:
+        label = F.when(F.col(_FAST) > 0, F.col("mobility_status"))
+        stations = stations.withColumn("mobility_status_speed", label)
+    return stations if coverage else stations.drop("mobility_status")
+
+
 def weighted_home_score(top: str, rest: str, renormalize: bool = False) -> Column:
     """0.8 * average of the top stations + 0.2 * average of the others, to two digits.
 
@@ -321,15 +344,21 @@ COVERAGE_COLUMNS = [
 _KEYS = ["sn", "station_mac", "station_name", "model", "mobility_status", "date", "hour"]
 
 def speed_score(
-    hourly: DataFrame, consumption: DataFrame, renormalize: bool = False, stage: Stage = _as_is
+    hourly: DataFrame,
+    consumption: DataFrame,
+    renormalize: bool = False,
+    mobility: DataFrame | None = None,
+    stage: Stage = _as_is,
 ) -> DataFrame:
     """Speed of each station's home; stations without a valid snr record are left out.
 
-    ``stage`` may write the station table (see ``session.stage``), which feeds
-    both the home averages and the result, so that ``hourly`` is read once.
+    The mobility label belongs to the station, so it can be given as the table
+    ``mobility``: it is then attached to the station-hours and not to every
+    record, and ``hourly`` may be plain hourly records.  ``stage`` may write the
+    station table (see ``session.stage``), which feeds both the home averages
+    and the result, so that ``hourly`` is read once.
     """
-    fast = station_quality(hourly, coverage=False).where(F.col(_FAST) > 0)
-    stations = stage(fast.join(consumption, STATION, "left"), "speed_stations")
+    stations = stage(_scored_stations(hourly, consumption, mobility, coverage=False), "speed_stations")
     homes = home_scores(stations, coverage=False, renormalize=renormalize)
     kept = stations.where(F.col("station_mac").isNotNull() & F.col("snr_range_variation").isNotNull())
     return (
@@ -341,13 +370,14 @@ def speed_score(
 
 
 def coverage_score(
-    hourly: DataFrame, consumption: DataFrame, renormalize: bool = False, stage: Stage = _as_is
+    hourly: DataFrame,
+    consumption: DataFrame,
+    renormalize: bool = False,
+    mobility: DataFrame | None = None,
+    stage: Stage = _as_is,
 ) -> DataFrame:
-    """Coverage of each station's home."""
-    stations = stage(
-        station_quality(hourly, speed=False).join(consumption, STATION, "left"),
-        "coverage_stations",
-    )
+    """Coverage of each station's home; parameters as for ``speed_score``."""
+    stations = stage(_scored_stations(hourly, consumption, mobility, speed=False), "coverage_stations")
     homes = home_scores(stations, speed=False, renormalize=renormalize)
     return (
         stations.where(F.col("station_mac").isNotNull())
@@ -427,6 +457,7 @@ def wifi_score(
     null_safe: bool = False,
     attributes: str = "agree",
     renormalize: bool = False,
+    mobility: DataFrame | None = None,
     stage: Stage = _as_is,
 ) -> DataFrame:
     """``composite_score`` straight from the hourly fact.
@@ -434,10 +465,9 @@ def wifi_score(
     Speed and coverage come from the same aggregate, so their join is a filter:
     ``attributes="agree"`` keeps stations whose attributes are the same over
     their fast rows and over all rows, ``"coverage"`` keeps all and takes those
-    over all rows.  ``stage`` may write the station table, which feeds both the
-    home averages and the result, so that ``hourly`` is read once.
+    over all rows.  ``mobility`` and ``stage`` as for ``speed_score``.
     """
-    stations = stage(station_quality(hourly).join(consumption, STATION, "left"), "stations")
+    stations = stage(_scored_stations(hourly, consumption, mobility), "stations")
     homes = home_scores(stations, renormalize=renormalize).join(reliability, HOME, "left")
     kept = stations.where(
         F.col("station_mac").isNotNull() & (F.col(_FAST) > 0) & F.col("snr_range_variation").isNotNull()

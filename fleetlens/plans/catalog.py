@@ -31,10 +31,16 @@ def query(fn: Query) -> Query:
 # --- inputs ------------------------------------------------------------------
 
 
+def records(spark, sf):
+    return profile.hourly_records(A.station_history(spark, sf))
+
+
+def mobility(spark, sf):
+    return profile.stationarity(A.previous_day_history(spark, sf))
+
+
 def fact(spark, sf):
-    return profile.hourly_fact(
-        A.station_history(spark, sf), profile.stationarity(A.previous_day_history(spark, sf))
-    )
+    return profile.hourly_fact(A.station_history(spark, sf), mobility(spark, sf))
 
 
 def consumption(spark, sf):
@@ -116,7 +122,7 @@ def null_math(spark, sf):
 
 @query
 def mean_present(spark, sf):
-    stations = scores.station_quality(fact(spark, sf))
+    stations = scores.station_quality(records(spark, sf), labelled=False)
     return stations.select(
         *scores.STATION,
         scoring.mean_present(*scores.SPEED_SCORES).alias("speed_mean"),
@@ -130,28 +136,24 @@ def mean_present(spark, sf):
 
 @query
 def group_record_count(spark, sf):
-    records = profile.hourly_records(A.station_history(spark, sf)).select(*scores.STATION, "band", "rssi", "phy_rate")
-    return grouping.group_record_count(records, scores.STATION)
+    rows = records(spark, sf).select(*scores.STATION, "band", "rssi", "phy_rate")
+    return grouping.group_record_count(rows, scores.STATION)
 
 
 @query
 def min_sample_gate(spark, sf):
-    records = profile.hourly_records(A.station_history(spark, sf))
-    return grouping.gated(
-        records, scores.STATION, F.count(F.lit(1)).alias("record_count"), F.avg("rssi").alias("avg_rssi")
-    )
+    count, average = F.count(F.lit(1)).alias("record_count"), F.avg("rssi").alias("avg_rssi")
+    return grouping.gated(records(spark, sf), scores.STATION, count, average)
 
 
 @query
 def stationarity(spark, sf):
-    return profile.stationarity(A.previous_day_history(spark, sf))
+    return mobility(spark, sf)
 
 
 @query
 def hourly_fact(spark, sf):
-    return profile.hourly_fact(
-        A.nested_history(spark, sf), profile.stationarity(A.previous_day_history(spark, sf))
-    )
+    return profile.hourly_fact(A.nested_history(spark, sf), mobility(spark, sf))
 
 
 @query
@@ -161,7 +163,7 @@ def banded_percentiles(spark, sf):
 
 @query
 def variation_components(spark, sf):
-    return scores.variation_components(profile.hourly_records(A.station_history(spark, sf)))
+    return scores.variation_components(records(spark, sf))
 
 
 @query
@@ -176,17 +178,14 @@ def data_consumption(spark, sf):
 
 @query
 def consumption_rank(spark, sf):
-    records = profile.hourly_records(A.station_history(spark, sf))
-    stations = grouping.gated(records, scores.STATION, F.max("rssi").alias("max_rssi"))
+    stations = grouping.gated(records(spark, sf), scores.STATION, F.max("rssi").alias("max_rssi"))
     return scores.consumption_rank(stations, consumption(spark, sf), A.MAX_BYTES, stage=stage)
 
 
 @query
 def top_rest_weighted(spark, sf):
-    unlabelled = profile.hourly_records(A.station_history(spark, sf)).withColumn(
-        "mobility_status", F.lit(None).cast("string")
-    )
-    stations = scores.station_quality(unlabelled, speed=False).join(consumption(spark, sf), scores.STATION, "left")
+    scored = scores.station_quality(records(spark, sf), speed=False, labelled=False)
+    stations = scored.join(consumption(spark, sf), scores.STATION, "left")
     averages = grouping.top_rest_averages(
         stations,
         scores.HOME,
@@ -199,12 +198,12 @@ def top_rest_weighted(spark, sf):
 
 @query
 def speed_score(spark, sf):
-    return scores.speed_score(fact(spark, sf), consumption(spark, sf), stage=stage)
+    return scores.speed_score(records(spark, sf), consumption(spark, sf), mobility=mobility(spark, sf), stage=stage)
 
 
 @query
 def coverage_score(spark, sf):
-    return scores.coverage_score(fact(spark, sf), consumption(spark, sf), stage=stage)
+    return scores.coverage_score(records(spark, sf), consumption(spark, sf), mobility=mobility(spark, sf), stage=stage)
 
 
 @query
@@ -215,13 +214,18 @@ def reliability_score(spark, sf):
 @query
 def composite_score(spark, sf):
     """From the raw records to the composite class of every station's home."""
-    reliability = scores.reliability_score(A.device_groups(spark, sf))
-    return scores.wifi_score(fact(spark, sf), consumption(spark, sf), reliability, stage=stage)
+    return scores.wifi_score(
+        records(spark, sf),
+        consumption(spark, sf),
+        scores.reliability_score(A.device_groups(spark, sf)),
+        mobility=mobility(spark, sf),
+        stage=stage,
+    )
 
 
 @query
 def composite_join(spark, sf):
-    """The same from three separately computed score tables."""
+    """The same from the written fact table and three separately computed score tables."""
     hourly = stage(fact(spark, sf), "hourly_fact")
     bytes_used = consumption(spark, sf)
     return scores.composite_score(

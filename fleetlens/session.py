@@ -14,14 +14,14 @@ def configure(spark: SparkSession) -> SparkSession:
     Every one is a SQL runtime setting, so it works on a session that somebody
     else started.  Partition counts are left to the cluster.
 
-    Percentile aggregates hash up to 32768 groups per task before they sort
+    Percentile aggregates hash up to 65536 groups per task before they sort
     (128 by default, which makes them sort nearly always).  The values they hold
     are at most the input of one task.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "32768")
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
     return spark
 
 

@@ -149,3 +149,22 @@ def test_hot_home_is_split_in_the_score_join(spark, small_partitions):
     mean = lambda ids: sum(i % 4 + 1.0 for i in ids) / len(ids)
     wanted = round(0.8 * mean(top) + 0.2 * mean(rest), 2)
     assert homes.where("sn = 'hot'").first()["home_weighted_avg_base_score_speed"] == pytest.approx(wanted)
+
+
+def test_composite_moves_no_raw_rows(spark, small_partitions):
+    """With the label as a table, every exchange below the staged station table holds partial aggregates or stations."""
+    seen = []
+
+    def staged(df, name):
+        seen.append(plan(df))
+        return stage(df, name)
+
+    records = profile.hourly_records(A.station_history(spark, SF))
+    mobility = profile.stationarity(A.previous_day_history(spark, SF))
+    consumption = scores.data_consumption(A.station_history(spark, SF))
+    scores.wifi_score(records, consumption, scores.reliability_score(A.device_groups(spark, SF)), mobility=mobility, stage=staged)
+    (text,) = seen
+    # Three aggregates, and the station-hours once for their label; consumption is joined where it lies.
+    assert len(re.findall(r"[-+ ]Exchange\b", text)) == 4
+    moved = [re.search(r"Exchange.*\n[\s:+-]*(?:\*\(\d+\) )?(\w+)", part).group(1) for part in re.split(r"(?=[-+ ]Exchange\b)", text)[1:]]
+    assert sorted(moved) == ["HashAggregate", "ObjectHashAggregate", "ObjectHashAggregate", "Project"]
