@@ -55,7 +55,7 @@ def station_score(spark, sf):
     kept = _counted(hourly_fact(spark, sf)).where("record_count >= 9")
     rssi, phy = F.col("p90_rssi").cast("double"), F.col("phy_rate").cast("double")
     base = kept.groupBy(*scores.STATION).agg(
-        *scores._attributes(),
+        *scores.attribute_aggregates(),
         *[_pct(in_band(b, rssi), p).alias(f"p{int(p * 100)}_rssi_{n}") for n, b in BANDS for p in (0.9, 0.5, 0.95)],
         *[_pct(in_band(b, phy), 0.9).alias(f"p90_phy_rate_{n}") for n, b in BANDS],
     )
@@ -88,32 +88,32 @@ def speed_score(spark, sf):
     kept = _counted(hourly_fact(spark, sf)).where("record_count >= 9")
     tx = F.col("tx_phy_rate").cast("double")
     base = kept.where(tx > 24).groupBy(*scores.STATION).agg(
-        *scores._attributes(), *[_pct(in_band(b, tx), 0.9).alias(f"p90_phy_rate_{n}_speed") for n, b in BANDS]
+        *scores.attribute_aggregates(), *[_pct(in_band(b, tx), 0.9).alias(f"p90_phy_rate_{n}_speed") for n, b in BANDS]
     )
     scored = scores.with_scores(base, scores.SPEED_SCORES).withColumn(
-        scores._SPEED, scores.mean_present(*scores.SPEED_SCORES)
+        scores.SPEED_MEAN, scores.mean_present(*scores.SPEED_SCORES)
     )
     spread = kept.where(F.col("snr").between(0, 50)).groupBy(*scores.STATION).agg(
         (F.max("snr") - F.min("snr")).alias("snr_range_variation")
     )
-    joined = _weighted(scored, _consumption(spark, sf), scores._SPEED).join(spread, scores.STATION)
-    columns = [*scores._KEYS, *scores.SPEED_COLUMNS[:5], scores._SPEED, *scores.SPEED_COLUMNS[5:]]
-    return joined.select("*", *scores._speed_output()).select(*columns)
+    joined = _weighted(scored, _consumption(spark, sf), scores.SPEED_MEAN).join(spread, scores.STATION)
+    columns = [*scores.SCORE_KEYS, *scores.SPEED_COLUMNS[:5], scores.SPEED_MEAN, *scores.SPEED_COLUMNS[5:]]
+    return joined.select("*", *scores.speed_output()).select(*columns)
 
 
 def coverage_score(spark, sf):
     kept = _counted(hourly_fact(spark, sf)).where("record_count >= 9")
     rssi = F.col("rssi").cast("double")
     base = kept.groupBy(*scores.STATION).agg(
-        *scores._attributes(), *[_pct(in_band(b, rssi), 0.9).alias(f"p90_rssi_{n}") for n, b in BANDS]
+        *scores.attribute_aggregates(), *[_pct(in_band(b, rssi), 0.9).alias(f"p90_rssi_{n}") for n, b in BANDS]
     )
     scored = scores.with_scores(base, scores.COVERAGE_SCORES).withColumn(
-        scores._COVERAGE, scores.mean_present(*scores.COVERAGE_SCORES)
+        scores.COVERAGE_MEAN, scores.mean_present(*scores.COVERAGE_SCORES)
     )
     same = kept.groupBy(*scores.STATION).agg(F.lit(0).alias("unused"))
-    joined = _weighted(scored, _consumption(spark, sf), scores._COVERAGE).join(same, scores.STATION)
-    columns = [*scores._KEYS, *scores.COVERAGE_COLUMNS[:5], scores._COVERAGE, *scores.COVERAGE_COLUMNS[5:]]
-    return joined.select("*", *scores._coverage_output()).select(*columns)
+    joined = _weighted(scored, _consumption(spark, sf), scores.COVERAGE_MEAN).join(same, scores.STATION)
+    columns = [*scores.SCORE_KEYS, *scores.COVERAGE_COLUMNS[:5], scores.COVERAGE_MEAN, *scores.COVERAGE_COLUMNS[5:]]
+    return joined.select("*", *scores.coverage_output()).select(*columns)
 
 
 def consumption_rank(spark, sf):

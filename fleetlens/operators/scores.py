@@ -99,7 +99,7 @@ def _with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df
 
 
-def _attributes(condition: Column | None = None, suffix: str = "", names: Sequence[str] = ATTRIBUTES) -> list[Column]:
+def attribute_aggregates(condition: Column | None = None, suffix: str = "", names: Sequence[str] = ATTRIBUTES) -> list[Column]:
     pick = (lambda c: F.when(condition, F.col(c))) if condition is not None else F.col
     return [F.max(pick(c)).alias(c + suffix) for c in names]
 
@@ -113,7 +113,7 @@ def banded_percentiles(hourly: DataFrame) -> DataFrame:
     sketches = gated(
         hourly,
         STATION,
-        *_attributes(),
+        *attribute_aggregates(),
         *[percentiles(in_band(b, _double("p90_rssi")), 0.9, 0.5, 0.95).alias(f"rssi_{n}") for n, b in cols.items()],
         *[percentiles(in_band(b, _double("phy_rate")), 0.9).alias(f"phy_{n}") for n, b in cols.items()],
         *variation_aggregates(),
@@ -216,17 +216,17 @@ def consumption_rank(
 
 # --- speed and coverage ------------------------------------------------------
 
-_FAST = "n_fast"
-_SPEED = "individual_station_avg_base_score_speed"
-_COVERAGE = "individual_station_avg_base_score_coverage"
+N_FAST = "n_fast"
+SPEED_MEAN = "individual_station_avg_base_score_speed"
+COVERAGE_MEAN = "individual_station_avg_base_score_coverage"
 
 
 def _speed_aggregates(attributes: Sequence[str]) -> list[Column]:
     rate = F.when(_double("tx_phy_rate") > SLOWEST_TX, _double("tx_phy_rate"))
     snr = F.when(_double("snr").between(*VALID_SNR), _double("snr"))
     return [
-        *_attributes(rate.isNotNull(), "_speed", attributes),
-        F.count(rate).alias(_FAST),
+        *attribute_aggregates(rate.isNotNull(), "_speed", attributes),
+        F.count(rate).alias(N_FAST),
         percentiles(in_band("2.4G", rate), 0.9)[0].alias("p90_phy_rate_2_4g_speed"),
         percentiles(in_band("5G", rate), 0.9)[0].alias("p90_phy_rate_5g_speed"),
         _spread(snr).alias("snr_range_variation"),
@@ -235,7 +235,7 @@ def _speed_aggregates(attributes: Sequence[str]) -> list[Column]:
 
 def _coverage_aggregates(attributes: Sequence[str]) -> list[Column]:
     return [
-        *_attributes(names=attributes),
+        *attribute_aggregates(names=attributes),
         percentiles(in_band("2.4G", _double("rssi")), 0.9)[0].alias("p90_rssi_2_4g"),
         percentiles(in_band("5G", _double("rssi")), 0.9)[0].alias("p90_rssi_5g"),
     ]
@@ -252,9 +252,9 @@ def station_quality(
     aggs = (_speed_aggregates(attributes) if speed else []) + (_coverage_aggregates(attributes) if coverage else [])
     stations = gated(_with_keys(hourly, HOME), STATION, *aggs)
     if speed:
-        stations = with_scores(stations, SPEED_SCORES).withColumn(_SPEED, mean_present(*SPEED_SCORES))
+        stations = with_scores(stations, SPEED_SCORES).withColumn(SPEED_MEAN, mean_present(*SPEED_SCORES))
     if coverage:
-        stations = with_scores(stations, COVERAGE_SCORES).withColumn(_COVERAGE, mean_present(*COVERAGE_SCORES))
+        stations = with_scores(stations, COVERAGE_SCORES).withColumn(COVERAGE_MEAN, mean_present(*COVERAGE_SCORES))
     return stations
 
 
@@ -264,13 +264,13 @@ def _scored_stations(
     """Station-hours with scores, consumption (same distribution, joined first) and mobility label."""
     stations = station_quality(hourly, speed, coverage, labelled=mobility is None)
     if not coverage:
-        stations = stations.where(F.col(_FAST) > 0)
+        stations = stations.where(F.col(N_FAST) > 0)
     stations = stations.join(consumption, STATION, "left")
     if mobility is None:
         return stations
     stations = stations.join(mobility, ["sn", "station_mac"], "left")
     if speed:
-        label = F.when(F.col(_FAST) > 0, F.col("mobility_status"))
+        label = F.when(F.col(N_FAST) > 0, F.col("mobility_status"))
         stations = stations.withColumn("mobility_status_speed", label)
     return stations if coverage else stations.drop("mobility_status")
 
@@ -292,9 +292,9 @@ def home_scores(stations: DataFrame, speed: bool = True, coverage: bool = True,
     """Weighted scores per home-hour from its stations, ranked by ``total_bytes``."""
     scores = {}
     if speed:
-        scores["speed"] = (F.col(_FAST) > 0, F.col(_SPEED))
+        scores["speed"] = (F.col(N_FAST) > 0, F.col(SPEED_MEAN))
     if coverage:
-        scores["coverage"] = (F.lit(True), F.col(_COVERAGE))
+        scores["coverage"] = (F.lit(True), F.col(COVERAGE_MEAN))
     averages = top_rest_averages(stations, HOME, "total_bytes", scores, ["station_mac"], TOP_STATIONS)
     return averages.select(
         *HOME,
@@ -305,7 +305,7 @@ def home_scores(stations: DataFrame, speed: bool = True, coverage: bool = True,
     )
 
 
-def _speed_output() -> list[Column]:
+def speed_output() -> list[Column]:
     variation = F.when(F.col("snr_range_variation") > SNR_RANGE_LIMIT, 1).otherwise(0)
     return [
         variation.alias("speed_variation_score"),
@@ -313,7 +313,7 @@ def _speed_output() -> list[Column]:
     ]
 
 
-def _coverage_output() -> list[Column]:
+def coverage_output() -> list[Column]:
     return [
         F.lit(0).alias("rssi_range_variation"),
         F.lit(0).alias("coverage_variation_score"),
@@ -341,7 +341,7 @@ COVERAGE_COLUMNS = [
     "coverage_variation_score",
     "coverage_score_num",
 ]
-_KEYS = ["sn", "station_mac", "station_name", "model", "mobility_status", "date", "hour"]
+SCORE_KEYS = ["sn", "station_mac", "station_name", "model", "mobility_status", "date", "hour"]
 
 def speed_score(
     hourly: DataFrame,
@@ -364,8 +364,8 @@ def speed_score(
     return (
         kept.withColumnsRenamed({f"{c}_speed": c for c in ATTRIBUTES})
         .join(homes, HOME)
-        .select("*", *_speed_output())
-        .select(*_KEYS, *SPEED_COLUMNS[:5], _SPEED, *SPEED_COLUMNS[5:])
+        .select("*", *speed_output())
+        .select(*SCORE_KEYS, *SPEED_COLUMNS[:5], SPEED_MEAN, *SPEED_COLUMNS[5:])
     )
 
 
@@ -382,8 +382,8 @@ def coverage_score(
     return (
         stations.where(F.col("station_mac").isNotNull())
         .join(homes, HOME)
-        .select("*", *_coverage_output())
-        .select(*_KEYS, *COVERAGE_COLUMNS[:5], _COVERAGE, *COVERAGE_COLUMNS[5:])
+        .select("*", *coverage_output())
+        .select(*SCORE_KEYS, *COVERAGE_COLUMNS[:5], COVERAGE_MEAN, *COVERAGE_COLUMNS[5:])
     )
 
 
@@ -419,7 +419,7 @@ def _finish_composite(joined: DataFrame) -> DataFrame:
         joined.withColumn("__mean", mean)
         .withColumn("wifi_score_num", class_number("__mean"))
         .select(
-            *_KEYS,
+            *SCORE_KEYS,
             *SPEED_COLUMNS,
             *COVERAGE_COLUMNS,
             "p90_airtime_util_2_4g",
@@ -439,14 +439,14 @@ def composite_score(
     Speed and coverage must agree on all seven keys; by default a null attribute
     agrees with nothing, with ``null_safe`` it agrees with null.
     """
-    s = speed.select(*_KEYS, *SPEED_COLUMNS)
-    c = coverage.select(*_KEYS, *COVERAGE_COLUMNS)
+    s = speed.select(*SCORE_KEYS, *SPEED_COLUMNS)
+    c = coverage.select(*SCORE_KEYS, *COVERAGE_COLUMNS)
     if null_safe:
         joined = s.join(c.withColumnsRenamed({a: f"__{a}" for a in ATTRIBUTES}), STATION)
         for a in ATTRIBUTES:
             joined = joined.where(F.col(a).eqNullSafe(F.col(f"__{a}")))
     else:
-        joined = s.join(c, _KEYS)
+        joined = s.join(c, SCORE_KEYS)
     return _finish_composite(joined.join(reliability, HOME, "left"))
 
 
@@ -470,10 +470,10 @@ def wifi_score(
     stations = stage(_scored_stations(hourly, consumption, mobility), "stations")
     homes = home_scores(stations, renormalize=renormalize).join(reliability, HOME, "left")
     kept = stations.where(
-        F.col("station_mac").isNotNull() & (F.col(_FAST) > 0) & F.col("snr_range_variation").isNotNull()
+        F.col("station_mac").isNotNull() & (F.col(N_FAST) > 0) & F.col("snr_range_variation").isNotNull()
     )
     if attributes == "agree":
         for a in ATTRIBUTES:
             same = F.col(a).eqNullSafe(F.col(f"{a}_speed")) if null_safe else F.col(a) == F.col(f"{a}_speed")
             kept = kept.where(same)
-    return _finish_composite(kept.join(homes, HOME).select("*", *_speed_output(), *_coverage_output()))
+    return _finish_composite(kept.join(homes, HOME).select("*", *speed_output(), *coverage_output()))

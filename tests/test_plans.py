@@ -137,7 +137,7 @@ def test_hot_home_is_split_in_the_score_join(spark, small_partitions):
         F.lit("h").alias("hour"),
         F.sha2(F.col("id").cast("string"), 256).alias("station_mac"),
         F.lit(1).alias("n_fast"),
-        (F.col("id") % 4 + 1.0).alias(scores._SPEED),
+        (F.col("id") % 4 + 1.0).alias(scores.SPEED_MEAN),
         F.when(F.col("id") % 2 == 0, F.col("id")).cast("decimal(38,0)").alias("total_bytes"),
     )
     homes = scores.home_scores(stations, coverage=False)
