@@ -20,15 +20,14 @@ def flatten_struct(df: DataFrame, struct: str, *keep: str) -> DataFrame:
 
 
 def fields_of(history: DataFrame, *fields: str) -> DataFrame:
-    """Fields of the connection struct as columns, beside the serial source, model and partition.
+    """Fields of the connection struct as columns, beside the row key, model and partition.
 
     History that is flat already is taken as it is.  From nested parquet only
     these fields are read.
     """
     nested = _DATA in history.columns
-    return history.select(
-        "rowkey", "Tplg_Data_model_name", "date", "hour", *[f"{_DATA}.{f}" if nested else f for f in fields]
-    )
+    kept = [c for c in ("rowkey", "Tplg_Data_model_name", "date", "hour") if c in history.columns]
+    return history.select(*kept, *[f"{_DATA}.{f}" if nested else f for f in fields])
 
 
 def stationarity(history: DataFrame) -> DataFrame:

@@ -33,6 +33,12 @@ def test_stationarity_is_one_aggregate(spark):
     assert (count(df, "Exchange"), count(df, "Window")) == (1, 0)
 
 
+def test_nested_fields_are_pruned_and_partition_columns_are_optional(spark):
+    written = stage(A.nested_history(spark, SF).drop("date", "hour"), "nested")
+    read = re.search(r"ReadSchema: (.*)", plan(profile.stationarity(written))).group(1)
+    assert "signal_strength" in read and not re.search("link_rate|snr|bs:", read)
+
+
 def test_station_score_is_one_aggregate(fact):
     df = scores.station_score(fact)
     assert (count(df, "Exchange"), count(df, "FileScan"), count(df, "Window")) == (1, 1, 0)
