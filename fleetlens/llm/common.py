@@ -6,7 +6,10 @@ rename it, so further columns never clash with their own.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +26,26 @@ PIECE_BYTES = 1 << 20
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Package settings, and Arrow batches small enough for long texts."""
+    """Package settings, this package for Python workers, and Arrow batches small enough for long texts."""
     session.configure(spark)
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, as their workers import it."""
+    context, home = spark.sparkContext, Path(session.__file__).parent
+    name = f"{home.name}-{context.applicationId}.zip"
+    if not any(f.endswith(name) for f in context.listFiles):
+        path = Path(tempfile.mkdtemp(), name)
+        with zipfile.ZipFile(path, "w") as out:
+            for source in sorted(home.rglob("*.py")):
+                out.write(source, source.relative_to(home.parent))
+        context.addPyFile(str(path))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import credentials, decontaminate, langid, ngram_join, packing
+from fleetlens.llm import credentials, decontaminate, langid, lm, ngram_join, packing, suffixes, warc
 from fleetlens.llm.common import crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,30 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    index = warc.write(warc.with_originals(pages), warc.folder(spark))
+    page = lambda c: F.regexp_extract(c, "<urn:page:(.*)>", 1)
+    return warc.read(index).select(
+        F.expr("try_cast(regexp_extract(record_id, '<urn:page:(.*)>', 1) AS long)").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+@query
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = "crc32(cast(cast(doc_id AS string) AS binary)) % 10"
+    found = lm.score(table(spark, sf_dir, "documents"), f"{part} <> 0", f"{part} = 1")
+    return found.select(
+        "doc_id", (crc("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(table(spark, sf_dir, "documents"), VOCABULARY, RANKS, with_ids=False)
@@ -68,6 +92,11 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated(table(spark, sf_dir, "documents"))
+
+
 def oracle_sql() -> dict[str, str]:
     from fleetlens.llm.oracle import ORACLE
 
