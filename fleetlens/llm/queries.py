@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import credentials, decontaminate, langid, lm, ngram_join, packing, suffixes, warc
+from fleetlens.llm import credentials, decontaminate, langid, lm, ngram_join, nn_descent, packing, quality, suffixes, warc
 from fleetlens.llm.common import crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,16 @@ def query(fn):
     return fn
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels").where(crc("doc_id", 5) != 0))
+    found = quality.score(docs, model)
+    return found.select(
+        "doc_id", (crc("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 @query
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -92,6 +102,13 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nn_descent.near(table(spark, sf_dir, "embeddings"))
+    own = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
+    return found.select("vec_id", "n_links", "component_id", own.alias("kept"))
+
+
 @query
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated(table(spark, sf_dir, "documents"))
