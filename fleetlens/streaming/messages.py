@@ -30,13 +30,17 @@ def whole_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
-def _parsed(value: Column | str, schema: T.StructType) -> Column:
+def _parsed(value: str, schema: T.StructType) -> Column:
+    """The message, null unless the text is one object and nothing else.
+
+    The parser stops after the first object, so the text is parsed again as the
+    content of an array: an object with something after it is then broken, or one of several.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return F.from_json(
-        F.col(value) if isinstance(value, str) else value,
-        with_corrupt,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    whole = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), T.ArrayType(with_corrupt), options)
+    is_object = F.startswith(F.ltrim(F.translate(F.col(value), "\n\r\t", "   ")), F.lit("{"))
+    return F.when((F.size(whole) == 1) & is_object, F.from_json(F.col(value), with_corrupt, options))
 
 
 def decode(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
@@ -72,19 +76,23 @@ def receive(
 ) -> StreamingQuery:
     """Decode a stream of messages into a table split by ``status`` (``ok`` or ``bad``).
 
-    Each batch replaces its own ``batch_id`` partition, so a batch that is run
-    again after a failure leaves no copies.  One pass writes both the good
-    messages and the quarantined ones.
+    Each batch replaces its own partition, named by the stream and ``batch_id``, so a batch
+    that is run again after a failure leaves no copies.  The stream's identity lives in its
+    checkpoint: a stream with a new checkpoint adds to the table and replaces
+    nothing.  One pass writes both the good messages and the quarantined ones.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise ValueError("a batch without its stream")
         status = F.when(F.col(CORRUPT).isNull(), "ok").otherwise("bad")
         (
             decode(batch, schema, value)
             .withColumn("status", status)
             .write.mode("overwrite")
             .partitionBy("status")
-            .parquet(f"{table}/batch_id={batch_id}")
+            .parquet(f"{table}/stream_id={stream}/batch_id={batch_id}")
         )
 
     return (
@@ -97,7 +105,8 @@ def receive(
 
 def received(spark: SparkSession, table: str, schema: T.StructType, status: str = "ok", *extra: T.StructField) -> DataFrame:
     """Good (``ok``) or quarantined (``bad``) messages of a table written by ``receive``."""
-    partitions = [T.StructField("batch_id", T.LongType()), T.StructField("status", T.StringType())]
+    names = {"stream_id": T.StringType(), "batch_id": T.LongType(), "status": T.StringType()}
+    partitions = [T.StructField(n, t) for n, t in names.items()]
     full = T.StructType([*extra, *schema.fields, T.StructField(CORRUPT, T.StringType()), *partitions])
-    rows = spark.read.schema(full).parquet(table).where(F.col("status") == status).drop("status", "batch_id")
+    rows = spark.read.schema(full).parquet(table).where(F.col("status") == status).drop(*names)
     return rows.drop(CORRUPT) if status == "ok" else rows
