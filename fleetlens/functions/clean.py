@@ -12,12 +12,12 @@ SERIAL_PATTERNS = {
     "open": r"-([^-_]+)",
 }
 
-# The day formats found in file and folder names.
+# The day formats found in file and folder names.  Eight digits inside a longer number are no day.
 DAY_PATTERNS = {
-    "dashed": r"\d{4}-\d{2}-\d{2}",
-    "compact": r"\d{8}",
-    "either": r"\d{4}-\d{2}-\d{2}|\d{8}",
+    "dashed": [(r"(?<!\d)\d{4}-\d{2}-\d{2}(?!\d)", "yyyy-MM-dd")],
+    "compact": [(r"(?<!\d)\d{8}(?!\d)", "yyyyMMdd")],
 }
+DAY_PATTERNS["either"] = DAY_PATTERNS["dashed"] + DAY_PATTERNS["compact"]
 
 
 def serial(rowkey: Column | str, pattern: str = "upper") -> Column:
@@ -42,9 +42,23 @@ def epoch_day(ts: Column | str) -> Column:
 
 
 def day_in_name(name: Column | str, pattern: str = "either") -> Column:
-    """First day found in a file or folder name; null if there is none or it is no real day."""
-    digits = F.replace(F.regexp_extract(name, DAY_PATTERNS[pattern], 0), F.lit("-"), F.lit(""))
-    return F.try_to_date(digits, "yyyyMMdd")
+    """First real day found in a file or folder name, dashed ones before others; null if there is none."""
+
+    def days(regex: str, fmt: str) -> Column:
+        return F.transform(F.regexp_extract_all(name, F.lit(regex), F.lit(0)), lambda d: F.try_to_date(d, fmt))
+
+    found = [days(*x) for x in DAY_PATTERNS[pattern]]
+    return F.get(F.filter(F.concat(*found), lambda d: d.isNotNull()), F.lit(0))
+
+
+def day_by_template(name: Column | str, template: Column | str) -> Column:
+    """The day that stands for ``{}`` in a file name of a template, in either spelling; null if the name is another."""
+    name, template = (F.col(c) if isinstance(c, str) else c for c in (name, template))
+    before, after = F.substring_index(template, "{}", 1), F.substring_index(template, "{}", -1)
+    middle = name.substr(F.length(before) + 1, F.length(name) - F.length(before) - F.length(after))
+    fits = name.startswith(before) & name.endswith(after) & template.contains("{}")
+    spelled = [F.when(middle.rlike(f"^(?:{regex})$"), F.try_to_date(middle, fmt)) for regex, fmt in DAY_PATTERNS["either"]]
+    return F.when(fits, F.coalesce(*spelled))
 
 
 def report_label(day: Column | str, title: str) -> Column:

@@ -8,12 +8,14 @@ expected day of a dataset is ``as_of - expect_delay``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import clean
 
+# Fixed value: days that a check looks back.
 LOOKBACK = 20
 
 
@@ -46,6 +48,17 @@ def days_in_names(entries: DataFrame, pattern: str | None = None) -> DataFrame:
     return entries.select("name", "entry", day.alias("observed_date")).where(F.col("observed_date").isNotNull())
 
 
+def days_of_drops(entries: DataFrame, drops: DataFrame) -> DataFrame:
+    """``(name, entry, observed_date)`` of the files of each drop.
+
+    ``entries`` are ``(folder, entry)``, ``drops`` ``(name, folder, template)`` with ``{}`` for
+    the day, so that several drops may share a folder.
+    """
+    found = entries.join(drops.select("name", "folder", "template"), "folder")
+    day = clean.day_by_template("entry", "template")
+    return found.select("name", "entry", day.alias("observed_date")).where(F.col("observed_date").isNotNull())
+
+
 def observed_days(observed: DataFrame) -> DataFrame:
     """Distinct days per dataset."""
     return observed.select("name", "observed_date").distinct()
@@ -106,22 +119,24 @@ def calendar(registry: DataFrame, as_of: Column | str, span: tuple[int, int], ex
     return days.where(probed).select("name", "day")
 
 
+def probed_span(registry: DataFrame, as_of: Column | str, span: tuple[int, int]) -> tuple[date, date] | None:
+    """First and last day that any dataset is probed on, from one small aggregate of the registry."""
+    first, last = span
+    row = registry.agg(
+        F.min(F.date_sub(_expected(as_of), last)).alias("oldest"), F.max(F.date_sub(_expected(as_of), first)).alias("newest")
+    ).first()
+    return (row["oldest"], row["newest"]) if row["oldest"] else None
+
+
 def missing_days(
-    registry: DataFrame,
-    observed: DataFrame,
-    as_of: str,
-    span: tuple[int, int],
-    excluded: Sequence[str] = (),
-    max_delay: int | None = None,
+    registry: DataFrame, observed: DataFrame, as_of: Column | str, span: tuple[int, int], excluded: Sequence[str] = ()
 ) -> DataFrame:
     """``(name, missing_day)``: probed days on which the dataset was not seen.
 
-    ``max_delay``, if known, bounds the days that can matter, so that the scan
-    of the observations can skip older data.
+    Only days that some dataset is probed on are read of the observations.
     """
-    if max_delay is not None:
-        oldest = F.date_sub(_as_day(as_of), span[1] + max_delay)
-        observed = observed.where(F.col("observed_date").between(oldest, _as_day(as_of)))
+    bounds = probed_span(registry, as_of, span)
+    observed = observed.where(F.col("observed_date").between(*bounds)) if bounds else observed.limit(0)
     seen = observed_days(observed).withColumnRenamed("observed_date", "day")
     return (
         calendar(registry, as_of, span, excluded)
@@ -131,20 +146,37 @@ def missing_days(
 
 
 def report(
-    registry: DataFrame, observed: DataFrame, as_of: str, span: tuple[int, int], excluded: Sequence[str] = ()
+    registry: DataFrame,
+    observed: DataFrame,
+    as_of: Column | str,
+    span: tuple[int, int],
+    excluded: Sequence[str] = (),
+    calendar_column: str = "calendar",
 ) -> DataFrame:
     """One row per registered dataset: latest day, delay, missing days (newest first).
 
-    One aggregate over the observations; what it keeps of a dataset are its
-    distinct days.  A dataset never seen stays in the report, with null latest
-    day and delay and every probed day missing.
+    Observations are read from the first probed day on, and of a dataset only days in
+    the probed span are kept.  Older ones are read only if some dataset was not seen since.
+    A dataset never seen stays in the report, with null latest day and delay and
+    every probed day missing.
     """
-    seen = observed.groupBy("name").agg(
-        F.max("observed_date").alias("latest_date"), F.collect_set("observed_date").alias("days")
-    )
     first, last = span
+    bounds = probed_span(registry, as_of, span)
+    day = F.col("observed_date")
+    recent = observed.where(day >= bounds[0]) if bounds else observed.limit(0)
+    seen = recent.groupBy("name").agg(
+        F.max("observed_date").alias("latest_date"),
+        F.collect_set(F.when(day <= bounds[1], day) if bounds else day).alias("days"),
+    )
+    unseen = registry.select("name").join(seen, "name", "left_anti")
+    if bounds and not unseen.isEmpty():
+        older = observed.where(day < bounds[0]).join(unseen, "name", "left_semi")
+        older = older.groupBy("name").agg(F.max("observed_date").alias("latest_date"))
+        seen = seen.unionByName(older, allowMissingColumns=True)
     probed = F.reverse(F.sequence(F.date_sub(_expected(as_of), last), F.date_sub(_expected(as_of), first)))
-    probed = F.when(F.col("calendar") == "business", F.filter(probed, lambda d: _open_day(d, excluded))).otherwise(probed)
+    probed = F.when(
+        F.col(calendar_column) == "business", F.filter(probed, lambda d: _open_day(d, excluded))
+    ).otherwise(probed)
     return registry.join(seen, "name", "left").select(
         "name",
         "latest_date",
@@ -157,18 +189,23 @@ def paired_report(
     registry: DataFrame,
     table_days: DataFrame,
     folder_days: DataFrame,
-    as_of: str,
+    as_of: Column | str,
     table_span: tuple[int, int] = window("table"),
     folder_span: tuple[int, int] = window("folder"),
     excluded: Sequence[str] = (),
+    table_calendar: str = "calendar",
+    folder_calendar: str = "calendar",
 ) -> DataFrame:
-    """The reports on a dataset's table and on its folder side by side."""
-    sides = {"table": (table_days, table_span), "folder": (folder_days, folder_span)}
+    """The reports on a dataset's table and on its folder side by side.
+
+    ``table_calendar`` and ``folder_calendar`` name the registry column that holds the calendar of that side.
+    """
+    sides = {"table": (table_days, table_span, table_calendar), "folder": (folder_days, folder_span, folder_calendar)}
     table, folder = (
-        report(registry, days, as_of, span, excluded).withColumnsRenamed(
+        report(registry, days, as_of, span, excluded, column).withColumnsRenamed(
             {c: f"{side}_{c}" for c in ("latest_date", "delayed_days", "miss_days")}
         )
-        for side, (days, span) in sides.items()
+        for side, (days, span, column) in sides.items()
     )
     return table.join(folder, "name")
 

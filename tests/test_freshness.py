@@ -34,7 +34,49 @@ def test_span_is_counted_from_the_expected_day(spark):
     obs = observed(spark, a=["2025-01-19"])
     assert missing(spark, reg, obs, (0, 2)) == ["2025-01-18", "2025-01-20"]
     assert missing(spark, reg, obs, (1, 3)) == ["2025-01-17", "2025-01-18"]
-    assert missing(spark, reg, obs, (1, 3), max_delay=7) == ["2025-01-17", "2025-01-18"]
+
+
+@pytest.mark.parametrize("delay", [30, 0, -5])
+def test_days_of_any_delay_are_found(spark, delay):
+    reg = registry(spark, ("a", delay, "daily"), ("b", 3, "daily"))
+    day_ = lambda n: str(dt.date(2025, 1, 22) - dt.timedelta(days=delay + n))
+    obs = observed(spark, a=[day_(0), day_(2)], b=[f"2025-01-{d}" for d in (17, 18, 19)])
+    assert missing(spark, reg, obs, (0, 2)) == [day_(1)]
+
+
+def test_nothing_registered(spark):
+    reg, obs = registry(spark, ("a", 1, "daily")).where("false"), observed(spark, a=["2025-01-20"])
+    assert missing(spark, reg, obs, (0, 2)) == [] and R.report(reg, obs, AS_OF, (0, 2)).collect() == []
+
+
+def test_report_finds_the_latest_day_outside_the_span(spark):
+    reg = registry(spark, ("old", 0, "daily"), ("ahead", 0, "daily"), ("a", 0, "daily"))
+    obs = observed(spark, old=["2024-03-01", "2024-02-01"], ahead=["2025-02-01", "2025-01-21"], a=["2025-01-22"])
+    out = {r["name"]: r for r in R.report(reg, obs, AS_OF, (0, 2)).collect()}
+    assert (out["old"]["latest_date"], len(out["old"]["miss_days"])) == (day("2024-03-01"), 3)
+    assert (out["ahead"]["delayed_days"], len(out["ahead"]["miss_days"])) == (-10, 2)
+
+
+def test_a_calendar_for_each_side(spark):
+    reg = registry(spark, ("a", 0, "daily")).selectExpr("*", "'business' as folder_calendar")
+    seen = observed(spark, a=["2025-01-22"])
+    row = R.paired_report(reg, seen, seen, AS_OF, (0, 6), (0, 6), folder_calendar="folder_calendar").first()
+    assert (len(row["table_miss_days"]), len(row["folder_miss_days"])) == (6, 4)
+
+
+def test_drops_that_share_a_folder(spark):
+    drops = spark.createDataFrame([("s", "in", "sales_{}.csv"), ("t", "in", "{}"), ("u", "in", "fixed.csv")], "name string, folder string, template string")
+    names = ["sales_2025-01-05.csv", "sales_20250106.csv", "sales_20250106.csv.bak", "presales_20250107.csv", "sales_20250231.csv", "20250108", "fixed.csv"]
+    entries = spark.createDataFrame([("in", n) for n in names] + [("other", "20250101")], "folder string, entry string")
+    found = {(r["name"], str(r["observed_date"])) for r in R.days_of_drops(entries, drops).collect()}
+    assert found == {("s", "2025-01-05"), ("s", "2025-01-06"), ("t", "2025-01-08")}
+
+
+def test_days_among_other_numbers(spark):
+    names = {"12345678_2024-01-06.csv": "2024-01-06", "20250230_20250105": "2025-01-05", "x202501051": None, "1-2025-01-05": "2025-01-05", "20250105": "2025-01-05", "none": None}
+    entries = spark.createDataFrame([("a", n) for n in names], "name string, entry string")
+    found = {r["entry"]: str(r["observed_date"]) for r in R.days_in_names(entries).collect()}
+    assert found == {n: d for n, d in names.items() if d}
 
 
 def test_business_calendar(spark):
