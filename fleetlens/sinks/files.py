@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from fleetlens.operators.features import keep_values
 
@@ -83,6 +84,8 @@ def single_csv(
     keeps the row order of a sorted ``df``.  ``mode`` is ``overwrite``, ``error``
     or ``ignore``, and concerns the final file.
     """
+    if mode not in ("overwrite", "error", "ignore"):
+        raise ValueError(f"unknown mode {mode}")
     spark = df.sparkSession
     target, staging = f"{folder}/{filename}", f"{folder}/_temp_{filename}"
     if exists(spark, target) and mode != "overwrite":
@@ -91,9 +94,13 @@ def single_csv(
         raise FileExistsError(target)
     one = df.coalesce(1) if ordered else df.repartition(1)
     one.write.mode("overwrite").option("header", header).csv(staging)
-    part = part_file(spark, staging)
-    delete(spark, target)
+    part, old = part_file(spark, staging), f"{folder}/_old_{filename}"
+    # The old file keeps its rows until the new one has its name.
+    delete(spark, old)
+    if exists(spark, target):
+        rename(spark, target, old)
     rename(spark, part, target)
+    delete(spark, old)
     delete(spark, staging)
     return target
 
@@ -113,16 +120,38 @@ def export_models(
     return folder
 
 
+def partition_keys(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition columns of a foldered table, outermost first."""
+    keys: list[str] = []
+    while True:
+        fs, hadoop = _path(spark, path)
+        if not fs.getFileStatus(hadoop).isDirectory():
+            return keys
+        below = [n for n in children(spark, path) if "=" in n and n[0] not in "._"]
+        if not below:
+            return keys
+        keys.append(below[0].split("=", 1)[0])
+        path = f"{path}/{below[0]}"
+
+
 def publish_if_absent(spark: SparkSession, source: str, target: str, fmt: str = "parquet", **options) -> bool:
     """Copy a table to another store unless it is there already; True if it was copied.
 
-    Rows are read and rewritten by the executors in parallel.  A missing source
-    is an error.
+    Rows are read and rewritten by the executors in parallel, in the same
+    partition folders, whose values stay text as they are.  The copy grows beside the target and takes
+    its name when it is complete, so a copy that failed does not count.  A missing source is an error.
     """
     if not exists(spark, source):
         raise FileNotFoundError(source)
     if exists(spark, target):
         return False
-    rows = spark.read.format(fmt).options(**options).load(source)
-    rows.write.format(fmt).options(**options).mode("ignore").save(target)
+    reader = spark.read.format(fmt).options(**options)
+    rows, keys = reader.load(source), partition_keys(spark, source)
+    if keys:
+        text = [T.StructField(f.name, T.StringType()) if f.name in keys else f for f in rows.schema.fields]
+        rows = reader.schema(T.StructType(text)).load(source).hint("rebalance", *keys)
+    folder, name = target.rstrip("/").rsplit("/", 1)
+    growing = f"{folder}/_publishing_{name}"
+    rows.write.format(fmt).options(**options).mode("overwrite").partitionBy(*keys).save(growing)
+    rename(spark, growing, target)
     return True

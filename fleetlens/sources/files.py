@@ -45,47 +45,67 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
+def _absent(error: Exception) -> bool:
+    if isinstance(error, PySparkException):
+        return error.getCondition() == "PATH_NOT_FOUND"
+    return isinstance(error, Py4JJavaError) and "FileNotFoundException" in error.java_exception.getClass().getName()
+
+
 def read_tolerant(
     spark: SparkSession,
     pattern: str,
     values: Iterable,
     loader: Callable[[SparkSession, str], DataFrame] = load_parquet,
     positional: bool = False,
+    on_error: str = "raise",
+    skipped: list[tuple[str, str]] | None = None,
 ) -> DataFrame | None:
-    """Union of ``pattern.format(value)`` over the values whose path can be read; None if there is none.
+    """Union of ``pattern.format(value)`` over the values whose path is there; None if there is none.
 
     ``loader`` reads one path and may shape it.  With the default loader and
-    equal schemas all paths become one scan.
+    equal schemas all paths become one scan.  Absent paths are left out; any other error is
+    raised, or with ``on_error="skip"`` the path is left out too.  What was
+    left out, and why, is added to ``skipped``.
     """
     frames = {}
     for path in (pattern.format(v) for v in values):
         try:
             frames[path] = loader(spark, path)
         except (PySparkException, Py4JJavaError) as error:
-            log.warning("skipped %s: %s", path, str(error).splitlines()[0])
+            if not _absent(error) and on_error != "skip":
+                raise
+            reason = str(error).splitlines()[0]
+            log.warning("skipped %s: %s", path, reason)
+            if skipped is not None:
+                skipped.append((path, reason))
     schemas = [df.schema for df in frames.values()]
     if loader is load_parquet and len(frames) > 1 and all(s == schemas[0] for s in schemas):
         return spark.read.schema(schemas[0]).parquet(*frames)
     return union_frames(list(frames.values()), positional)
 
 
-def list_names(spark: SparkSession, folders: Mapping[str, str]) -> DataFrame:
+def list_names(spark: SparkSession, folders: Mapping[str, str], on_error: str = "raise") -> DataFrame:
     """``(name, entry)``: the direct children, files and folders, of each dataset's folder.
 
-    Only names are listed, no folder is descended into.  A folder that cannot be
-    listed gives no row, so its dataset shows up as never seen.
+    Only names are listed, all of a folder in one call, and no folder is descended
+    into.  A folder that is not there gives no row, so its dataset shows up as never seen; one
+    that cannot be read is an error unless ``on_error`` is ``"skip"``.
     """
-    path_type = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     rows = []
     for name, folder in folders.items():
-        path = path_type(folder)
+        path = jvm.org.apache.hadoop.fs.Path(folder)
         try:
-            children = path.getFileSystem(conf).listStatus(path)
+            found = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(path.getFileSystem(conf).listStatus(path))
         except Py4JJavaError as error:
+            if not _absent(error) and on_error != "skip":
+                raise
             log.warning("cannot list %s: %s", folder, error.java_exception.getMessage())
             continue
-        rows += [(name, child.getPath().getName()) for child in children]
+        if found:
+            before = found[0].getParent().toString().rstrip("/") + "/"
+            listed = jvm.org.apache.commons.lang3.ArrayUtils.toString(found)[1:-1].removeprefix(before)
+            rows += [(name, entry) for entry in listed.split(f",{before}")]
     return spark.createDataFrame(rows, "name string, entry string")
 
 

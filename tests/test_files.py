@@ -56,7 +56,11 @@ def test_tolerant_read(spark, tmp_path):
     os.makedirs(f"{tmp_path}/d3")
     with open(f"{tmp_path}/d3/bad.parquet", "w") as f:
         f.write("no parquet")
-    out = sources.read_tolerant(spark, f"{tmp_path}/{{}}", ["d1", "d2", "d3", "gone"])
+    with pytest.raises(Exception, match="bad.parquet"):
+        sources.read_tolerant(spark, f"{tmp_path}/{{}}", ["d1", "d3"])
+    skipped = []
+    out = sources.read_tolerant(spark, f"{tmp_path}/{{}}", ["d1", "d2", "d3", "gone"], on_error="skip", skipped=skipped)
+    assert [path.rsplit("/", 1)[1] for path, _ in skipped] == ["d3", "gone"]
     assert sorted(out.columns) == ["id", "x"] and out.count() == 4
     only_id = sources.read_tolerant(spark, f"{tmp_path}/{{}}", ["d1", "d2", "gone"], lambda s, p: s.read.parquet(p).select("id"))
     assert only_id.columns == ["id"] and only_id.count() == 4
@@ -107,12 +111,34 @@ def test_publish(spark, tmp_path):
     assert sources.load_csv(spark, f"{tmp_path}/target").count() == 3
 
 
+def test_publishing_keeps_folders_and_text_and_finishes_half_copies(spark, tmp_path):
+    rows = [(1, "20250101", "05"), (2, "20250101", "06"), (3, "20250102", "05"), (4, None, "05")]
+    sinks.overwrite_partitions(spark.createDataFrame(rows, "v int, date string, hour string"), f"{tmp_path}/source")
+    os.makedirs(f"{tmp_path}/out/_publishing_t/_temporary")  # a copy that failed
+    assert sinks.publish_if_absent(spark, f"{tmp_path}/source", f"{tmp_path}/out/t")
+    assert names(f"{tmp_path}/out") == ["t"] and names(f"{tmp_path}/out/t") == names(f"{tmp_path}/source")
+    assert names(f"{tmp_path}/out/t/date=20250101") == ["hour=05", "hour=06"]
+    one = sources.read_partition(spark, f"{tmp_path}/out/t", "20250101", 5)
+    assert [tuple(r) for r in one.collect()] == [(1, "20250101", "05")]
+    assert spark.read.parquet(f"{tmp_path}/out/t").where("date is null").count() == 1
+
+
+def test_an_unknown_mode_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError):
+        sinks.single_csv(spark.range(1), f"{tmp_path}/o", "a.csv", mode="replace")
+
+
 def test_listing(spark, tmp_path):
     for n in ("2025-01-01", "2025-01-02", "notes"):
         os.makedirs(f"{tmp_path}/a/{n}")
     listed = sources.list_names(spark, {"a": f"{tmp_path}/a", "gone": f"{tmp_path}/gone"})
     days = freshness.days_in_names(listed)
     assert sorted(str(r["observed_date"]) for r in days.collect()) == ["2025-01-01", "2025-01-02"]
+    os.makedirs(f"{tmp_path}/empty")
+    assert sources.list_names(spark, {"e": f"{tmp_path}/empty"}).count() == 0
+    with pytest.raises(Exception, match="nowhere"):
+        sources.list_names(spark, {"a": "nowhere://x/y"})
+    assert sources.list_names(spark, {"a": "nowhere://x/y"}, on_error="skip").count() == 0
 
 
 def test_observed_dates_of_a_table(spark, hourly):
