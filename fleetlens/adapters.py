@@ -52,6 +52,10 @@ _DAY_SIGNAL = """
 """
 
 
+# Three days (by ship year) of two hours; the records of some orders arrive an hour late.
+_YEAR = "(1996 + year(l_shipdate) % 3)"
+
+
 _CONNECT_DATA = [
     "station_mac",
     "station_name",
@@ -77,17 +81,17 @@ def _history(lineitem: DataFrame, signal: str) -> DataFrame:
         "l_quantity * 0.2D * (1 + l_suppkey % 3) - case when l_linenumber = 6 then 40 else 0 end as snr",
         f"concat({_RATE}, 'Mbps') as link_rate",
         f"concat({_RATE}, 'Mbps') as tx_link_rate",
-        "unix_seconds(cast(date_trunc('YEAR', l_shipdate) as timestamp)) * 1000 + (l_orderkey % 3600) * 1000 as ts",
+        f"""unix_seconds(cast(concat({_YEAR}, '-01-01') as timestamp)) * 1000 + (l_orderkey % 3600) * 1000
+            + (l_partkey % 2 + case when l_orderkey % 97 = 0 then 1 else 0 end) * 3600000 as ts""",
         "cast(floor(l_extendedprice) as bigint) as bs",
         "cast(floor(l_extendedprice * l_tax) as bigint) as br",
-        "concat(year(l_shipdate), '0101') as date",
-        # Ship dates have no time of day: '00', but as a column like that of a foldered table.
-        "lpad(hour(l_shipdate), 2, '0') as hour",
+        f"concat({_YEAR}, '0101') as date",
+        "lpad(l_partkey % 2, 2, '0') as hour",
     )
 
 
 def station_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat connection records: home = supplier, station = line number, day = ship year."""
+    """Flat connection records: home = supplier, station = line number, day by ship year, hour by part."""
     return _history(table(spark, sf_dir, "lineitem"), _RSSI)
 
 
@@ -111,13 +115,13 @@ def device_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
             named_struct('_2_4g', named_struct(
                 'enable', case event_type when 'error' then '0' else '1' end,
                 'airtime_util', case event_type when 'signup' then '' else
-                    cast(cast(floor(value / (1 + user_id % 3)) as int) as string) end)),
+                    concat(cast(floor(value / (1 + user_id % 3)) as int), case when user_id % 2 = 0 then '.5' else '' end) end)),
             named_struct('_2_4g', named_struct(
                 'enable', case event_type when 'view' then '1' else '0' end,
                 'airtime_util', cast(cast(floor(value) as int) as string)))
         ) as group_diag_history_radio_wifi_info""",
-        "concat(1996 + event_id % 7, '0101') as date",
-        "lpad(hour(date_trunc('DAY', ts)), 2, '0') as hour",
+        "concat(1996 + event_id % 3, '0101') as date",
+        "lpad(event_id div 3 % 2, 2, '0') as hour",
     )
 
 
@@ -125,6 +129,29 @@ def dataset_name() -> str:
     return "concat(case when user_id % 3 = 0 then 'biz_' else 'ds_' end, user_id)"
 
 
+def with_son(records: DataFrame) -> DataFrame:
+    """Records that belong to a self-organizing network now and then."""
+    return records.withColumn("son", F.expr("cast(cast(abs(rssi) as bigint) % 2 as int)"))
+
+
+def drop_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``folder, entry``: files of two drops in every folder, days in both spellings."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "concat('in', user_id % 5) as folder",
+        """concat(case event_type when 'error' then 'returns' else 'sales' end, '_',
+                  date_format(ts, case when event_id % 2 = 0 then 'yyyy-MM-dd' else 'yyyyMMdd' end),
+                  case when event_id % 7 = 0 then '_old.csv' else '.csv' end) as entry""",
+    )
+
+
+def drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``name, folder, template`` of the drops in the folders."""
+    folders = table(spark, sf_dir, "events").selectExpr("concat('in', user_id % 5) as folder").distinct()
+    return folders.selectExpr(
+        "folder", "explode(array('sales', 'returns')) as kind"
+    ).selectExpr("concat(folder, '_', kind) as name", "folder", "concat(kind, '_{}.csv') as template")
+
+
 def observed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``name, observed_date``: one dataset per user, seen on the days of its events."""
     return table(spark, sf_dir, "events").selectExpr(
@@ -133,25 +160,31 @@ def observed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``name, entry``: the same days as file names in both date formats, sign-ups as undated names."""
+    """``name, entry``: the same days as file names in both date formats, some after another number, sign-ups undated."""
     return table(spark, sf_dir, "events").selectExpr(
         f"{dataset_name()} as name",
         """case when event_type = 'signup' then concat('part-', event_type, '.csv')
                 when event_id % 2 = 0 then concat('part-', date_format(ts, 'yyyy-MM-dd'), '.csv')
+                when event_id % 5 = 1 then concat('99999999_', date_format(ts, 'yyyyMMdd'), '.csv')
+                when event_id % 5 = 3 then concat('12345678_', date_format(ts, 'yyyy-MM-dd'), '.csv')
                 else concat('part-', date_format(ts, 'yyyyMMdd'), '.csv') end as entry""",
     )
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``name, expect_delay, calendar`` of every dataset."""
+    """``name, expect_delay, calendar, folder_calendar`` of every dataset.
+
+    Some run ahead of their day; the folders of some are filled on workdays only, their tables daily.
+    """
     return (
         table(spark, sf_dir, "events")
         .select("user_id")
         .distinct()
         .selectExpr(
             f"{dataset_name()} as name",
-            "cast(user_id % 8 as int) as expect_delay",
+            "cast(case user_id % 8 when 7 then 30 when 6 then -2 else user_id % 8 end as int) as expect_delay",
             "case when user_id % 3 = 0 then 'business' else 'daily' end as calendar",
+            "case when user_id % 3 = 0 or user_id % 5 = 0 then 'business' else 'daily' end as folder_calendar",
         )
     )
 
@@ -168,3 +201,15 @@ def daily_features(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("value").alias("home_score"),
         )
     )
+
+
+def daily_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily features as they arrive: with a model, columns nobody needs, and every row of some homes twice."""
+    rows = daily_features(spark, sf_dir).withColumns(
+        {
+            "dg_model_indiv": F.concat(F.lit("G"), F.col("serial_num").cast("int") % 4),
+            "mdn": F.concat(F.lit("n"), F.col("serial_num")),
+        }
+    )
+    times = F.when(F.col("serial_num").cast("int") % 3 == 0, 2).otherwise(1)
+    return rows.select("*", F.explode(F.array_repeat(F.lit(0), times)).alias("__")).drop("__")

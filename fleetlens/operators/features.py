@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,17 +31,21 @@ def keep_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 
 def one_day(
     df: DataFrame, label: str, columns: Sequence[str], drop: Sequence[str] = (), models: Sequence[str] | None = None,
-    model_column: str = "dg_model_indiv",
+    model_column: str = "dg_model_indiv", key: str | None = None,
 ) -> DataFrame:
-    """A day's feature table: model filter, unneeded columns out, exact copies out, features suffixed."""
+    """A day's feature table: model filter, unneeded columns out, exact copies out, features suffixed.
+
+    With ``key``, rows are dealt out by it first: removing copies and joining on it then move nothing more.
+    """
     if models is not None:
         df = keep_values(df, model_column, models)
-    return dedup_rows(df.drop(*drop)).withColumnsRenamed({c: f"{c}_{label}" for c in columns})
+    df = df.drop(*drop)
+    return dedup_rows(df.repartition(key) if key else df).withColumnsRenamed({c: f"{c}_{label}" for c in columns})
 
 
 def daily_wide_join(days: dict[str, DataFrame], key: str, columns: Sequence[str], **options) -> DataFrame:
     """Days side by side for keys present on all of them; a key repeated on a day fans out."""
-    frames = [one_day(df, label, columns, **options) for label, df in days.items()]
+    frames = [one_day(df, label, columns, key=key, **options) for label, df in days.items()]
     return reduce(lambda a, b: a.join(b, key), frames)
 
 
@@ -49,7 +53,9 @@ def daily_wide(df: DataFrame, key: str, day: str, days: Sequence[str], columns:
     """The same from one long table with one row per key and day, in a single aggregate."""
     on = {d: F.col(day) == F.lit(d).cast("date") for d in days}
     wide = (
-        df.where(F.col(day).isin([F.lit(d).cast("date") for d in days]))
+        # The range is what the scan can use; the list says which days of it count.
+        df.where(F.col(day).between(F.lit(min(days)).cast("date"), F.lit(max(days)).cast("date")))
+        .where(F.col(day).isin([F.lit(d).cast("date") for d in days]))
         .groupBy(key)
         .agg(
             F.count_if(reduce(lambda a, b: a | b, on.values())).alias("__days"),
@@ -59,33 +65,39 @@ def daily_wide(df: DataFrame, key: str, day: str, days: Sequence[str], columns:
     return wide.where(F.col("__days") == len(days)).drop("__days")
 
 
-def _pair(a: str, b: str) -> Column:
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
-    spread = F.stddev_pop(x) * F.stddev_pop(y)
-    r = F.lit(1.0) if a == b else F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
-    return F.struct(
-        F.lit(a).alias("col_a"),
-        F.lit(b).alias("col_b"),
-        F.when(spread > 0, r).alias("r"),
-        F.count(x).alias("n"),
-    )
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns over the rows where both are set.
 
     Long form ``(col_a, col_b, r, n)`` with both halves and the diagonal, from
-    one pass; ``r`` is null where a column does not vary.
+    one pass; ``r`` is null where a column does not vary.  A row becomes one short row per
+    pair, which are summed up where they arise, so the plan does not grow with the columns.
     """
-    pairs = [_pair(a, b) for a, b in combinations_with_replacement(columns, 2)]
-    half = df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
-    cells = F.array(
-        F.struct(F.col("col_a"), F.col("col_b"), F.col("r"), F.col("n")),
-        F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), F.col("r"), F.col("n")),
+    value = lambda c: F.col(c).cast("double")
+    pairs = [
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), value(a).alias("x"), value(b).alias("y"))
+        for a, b in combinations_with_replacement(columns, 2)
+    ]
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    spread = F.stddev_pop(F.when(both, F.col("x"))) * F.stddev_pop(F.when(both, F.col("y")))
+    same = F.col("col_a") == F.col("col_b")
+    half = (
+        df.select(F.inline(F.array(*pairs)))
+        .groupBy("col_a", "col_b")
+        .agg(
+            spread.alias("spread"),
+            F.covar_pop("x", "y").alias("covar"),
+            F.count(F.when(both, F.col("x"))).alias("n"),
+        )
+        .select(
+            "col_a",
+            "col_b",
+            F.when(F.col("spread") > 0, F.when(same, F.lit(1.0)).otherwise(F.col("covar") / F.col("spread"))).alias("r"),
+            "n",
+        )
     )
-    both_halves = F.when(F.col("col_a") == F.col("col_b"), F.slice(cells, 1, 1)).otherwise(cells)
-    return half.select(F.inline(both_halves))
+    swapped = F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r", "n")
+    cells = F.array(F.struct("col_a", "col_b", "r", "n"), swapped)
+    return half.select(F.inline(F.when(same, F.slice(cells, 1, 1)).otherwise(cells)))
 
 
 def correlation_wide(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:

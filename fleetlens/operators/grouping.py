@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 # Fixed value: groups with fewer records than this are not scored.
 MIN_RECORDS = 9
 
-# Sub-groups a group is cut into before its parts are brought together.
-SALTS = 64
+# Sub-groups a group is cut into before its parts are brought together, unless told otherwise.
+CUTS = 64
+
+# Accuracy of percentiles, unless told otherwise: groups of up to half as many values are exact.
+ACCURACY = 10_000
 
 
 def in_band(band: str, value: Column | str, col: str = "band") -> Column:
@@ -27,7 +30,7 @@ def in_band(band: str, value: Column | str, col: str = "band") -> Column:
     return F.when(F.col(col).startswith(band), value)
 
 
-def percentiles(value: Column | str, *fractions: float, accuracy: int = 10_000) -> Column:
+def percentiles(value: Column | str, *fractions: float, accuracy: int = ACCURACY) -> Column:
     """Approximate percentiles of a group as one array, from one sketch.
 
     The sketch is built map-side and bounded by ``accuracy``; groups smaller
@@ -98,6 +101,7 @@ def top_rest_averages(
     scores: dict[str, tuple[Column, Column]],
     spread: Sequence[str],
     k: int = 5,
+    cuts: int = CUTS,
 ) -> DataFrame:
     """Per group and score: average of the rows ranked 1..k by ``order`` and of all others.
 
@@ -108,10 +112,10 @@ def top_rest_averages(
 
     Each group is cut by a hash of ``spread``.  A value among the k best of its
     group is among the k best distinct values of its cut, so every cut folds
-    what lies below into one row; at most ``SALTS * (k + 1)`` short rows of a
-    group and score then meet in one task.
+    what lies below into one row; at most ``cuts * (k + 1)`` short rows of a
+    group and score then meet in one task.  More ``cuts`` spread a huge group over more tasks.
     """
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int").alias("__salt")
+    salt = F.pmod(F.xxhash64(*spread), F.lit(cuts)).cast("int").alias("__salt")
     kinds = F.array(
         *[
             F.struct(F.lit(prefix).alias("__kind"), member.alias("__member"), score.cast("double").alias("__score"))

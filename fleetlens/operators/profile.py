@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import clean
-from fleetlens.operators.grouping import attach, percentiles
+from fleetlens.operators.grouping import ACCURACY, attach, percentiles
 
 # Fixed value: largest p90 - p50 signal distance of a stationary device.
 STATIONARY_SPREAD = 5
@@ -30,7 +30,7 @@ def fields_of(history: DataFrame, *fields: str) -> DataFrame:
     return history.select(*kept, *[f"{_DATA}.{f}" if nested else f for f in fields])
 
 
-def stationarity(history: DataFrame) -> DataFrame:
+def stationarity(history: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
     """``sn, station_mac, mobility_status`` from one (the previous) day of history.
 
     A row is an outlier unless its signal exceeds the lower of p3 and
@@ -44,7 +44,7 @@ def stationarity(history: DataFrame) -> DataFrame:
         .where(F.col("signal_strength").isNotNull())
         .groupBy(clean.serial("rowkey").alias("sn"), "station_mac")
         .agg(
-            percentiles("signal_strength", 0.03, 0.1, 0.5, 0.9).alias("p"),
+            percentiles("signal_strength", 0.03, 0.1, 0.5, 0.9, accuracy=accuracy).alias("p"),
             F.max("signal_strength").alias("strongest"),
         )
         .where(F.col("strongest") > fence)
@@ -85,23 +85,27 @@ def hourly_records(history: DataFrame) -> DataFrame:
     )
 
 
-def hourly_fact(history: DataFrame, mobility: DataFrame, signal_key: str = "station_mac") -> DataFrame:
+def device_signal(history: DataFrame, key: str = "station_mac", accuracy: int = ACCURACY) -> DataFrame:
+    """``p50_rssi`` and ``p90_rssi`` of each device, from its signals alone."""
+    signals = fields_of(history, "station_mac", "signal_strength")
+    signals = signals.withColumn("sn", clean.serial("rowkey"))
+    return signals.groupBy(key).agg(percentiles("signal_strength", 0.5, 0.9, accuracy=accuracy).alias("p")).select(
+        key, F.col("p")[0].cast("int").alias("p50_rssi"), F.col("p")[1].cast("int").alias("p90_rssi")
+    )
+
+
+def hourly_fact(
+    history: DataFrame, mobility: DataFrame, signal_key: str = "station_mac", accuracy: int = ACCURACY
+) -> DataFrame:
     """Hourly records with the p50/p90 signal of their device and its mobility label.
 
-    The wide rows are moved once, on ``(sn, station_mac)``: what is attached to
-    them is put together beforehand from narrow columns.
+    The history is read twice: whole rows, and the two columns that the signal is made of.  Rows are
+    moved for the signal by ``signal_key``, and for the label by ``(sn, station_mac)``
+    unless the session lets a join use the first distribution
+    (``spark.sql.requireAllClusterKeysForCoPartition`` false).
     """
     records = hourly_records(history)
-    signal = records.groupBy(signal_key).agg(percentiles("rssi", 0.5, 0.9).alias("p"))
-    stations = records.select(*dict.fromkeys(["sn", "station_mac", signal_key])).distinct()
-    profile = (
-        attach(stations, signal, [signal_key])
-        .join(mobility, ["sn", "station_mac"], "left")
-        .select(
-            *stations.columns,
-            F.col("p")[0].cast("int").alias("p50_rssi"),
-            F.col("p")[1].cast("int").alias("p90_rssi"),
-            "mobility_status",
-        )
+    labelled = attach(records, device_signal(history, signal_key, accuracy), [signal_key])
+    return labelled.join(mobility, ["sn", "station_mac"], "left").select(
+        *records.columns, "p50_rssi", "p90_rssi", "mobility_status"
     )
-    return attach(records, profile, stations.columns)

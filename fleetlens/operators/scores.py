@@ -29,6 +29,9 @@ from fleetlens.functions.scoring import (
     mean_present,
 )
 from fleetlens.operators.grouping import (
+    ACCURACY,
+    CUTS,
+    attach,
     gated,
     in_band,
     percentiles,
@@ -107,22 +110,45 @@ def attribute_aggregates(condition: Column | None = None, suffix: str = "", name
 # --- station score -----------------------------------------------------------
 
 
-def banded_percentiles(hourly: DataFrame) -> DataFrame:
-    """Gated station-hours with their signal and rate percentiles per band."""
-    cols = {"2_4g": "2.4G", "5g": "5G"}
+BANDS = {"2_4g": "2.4G", "5g": "5G"}
+
+
+def banded_percentiles(
+    hourly: DataFrame, signal: DataFrame | None = None, mobility: DataFrame | None = None, accuracy: int = ACCURACY
+) -> DataFrame:
+    """Gated station-hours with their signal and rate percentiles per band.
+
+    The percentiles of a device's signal (``profile.device_signal``) and its label belong to
+    the device, so they can be given as tables, ``hourly`` being plain records: they
+    are attached to the station-hours then, and no record is moved for them.
+    """
+    attached = signal is not None
+    names = [a for a in ATTRIBUTES if not attached or a != "mobility_status"]
+    if attached:
+        bands = [F.max(in_band(b, F.lit(True))).alias(f"rssi_{n}") for n, b in BANDS.items()]
+    else:
+        rssi = [in_band(b, _double("p90_rssi")) for b in BANDS.values()]
+        bands = [percentiles(v, 0.9, 0.5, 0.95, accuracy=accuracy).alias(f"rssi_{n}") for n, v in zip(BANDS, rssi)]
     sketches = gated(
         hourly,
         STATION,
-        *attribute_aggregates(),
-        *[percentiles(in_band(b, _double("p90_rssi")), 0.9, 0.5, 0.95).alias(f"rssi_{n}") for n, b in cols.items()],
-        *[percentiles(in_band(b, _double("phy_rate")), 0.9).alias(f"phy_{n}") for n, b in cols.items()],
+        *attribute_aggregates(names=names),
+        *bands,
+        *[
+            percentiles(in_band(b, _double("phy_rate")), 0.9, accuracy=accuracy).alias(f"phy_{n}")
+            for n, b in BANDS.items()
+        ],
         *variation_aggregates(),
     )
+    if attached:
+        sketches = attach(sketches, signal, ["station_mac"]).join(mobility, ["sn", "station_mac"], "left")
+    # Any percentile of a device's one signal is that signal, in the bands it was seen in.
+    rssi = lambda n, i: F.when(F.col(f"rssi_{n}"), _double("p90_rssi")) if attached else F.col(f"rssi_{n}")[i]
     return sketches.select(
         *STATION,
         *ATTRIBUTES,
-        *[F.col(f"rssi_{n}")[i].alias(f"{p}_rssi_{n}") for i, p in enumerate(["p90", "p50", "p95"]) for n in cols],
-        *[F.col(f"phy_{n}")[0].alias(f"p90_phy_rate_{n}") for n in cols],
+        *[rssi(n, i).alias(f"{p}_rssi_{n}") for i, p in enumerate(["p90", "p50", "p95"]) for n in BANDS],
+        *[F.col(f"phy_{n}")[0].alias(f"p90_phy_rate_{n}") for n in BANDS],
         *VARIATION_PARTS,
     )
 
@@ -156,13 +182,15 @@ def variation_components(hourly: DataFrame) -> DataFrame:
     return gated(hourly, STATION, *variation_aggregates()).withColumn("variation_score", variation_score())
 
 
-def station_score(hourly: DataFrame) -> DataFrame:
+def station_score(
+    hourly: DataFrame, signal: DataFrame | None = None, mobility: DataFrame | None = None, accuracy: int = ACCURACY
+) -> DataFrame:
     """Class of each station-hour: worst band and measure, less one for variation.
 
-    Station-hours with a null key are left out.
+    Station-hours with a null key are left out.  ``signal`` and ``mobility`` as for ``banded_percentiles``.
     """
     scored = (
-        with_scores(banded_percentiles(_with_keys(hourly, STATION)), STATION_SCORES)
+        with_scores(banded_percentiles(_with_keys(hourly, STATION), signal, mobility, accuracy), STATION_SCORES)
         .withColumn("variation_score", variation_score())
         .withColumn("base_score", F.least(*STATION_SCORES))
         # At most 4, at least 1; without any base score the class is the lowest.
@@ -221,35 +249,36 @@ SPEED_MEAN = "individual_station_avg_base_score_speed"
 COVERAGE_MEAN = "individual_station_avg_base_score_coverage"
 
 
-def _speed_aggregates(attributes: Sequence[str]) -> list[Column]:
+def _speed_aggregates(attributes: Sequence[str], accuracy: int) -> list[Column]:
     rate = F.when(_double("tx_phy_rate") > SLOWEST_TX, _double("tx_phy_rate"))
     snr = F.when(_double("snr").between(*VALID_SNR), _double("snr"))
     return [
         *attribute_aggregates(rate.isNotNull(), "_speed", attributes),
         F.count(rate).alias(N_FAST),
-        percentiles(in_band("2.4G", rate), 0.9)[0].alias("p90_phy_rate_2_4g_speed"),
-        percentiles(in_band("5G", rate), 0.9)[0].alias("p90_phy_rate_5g_speed"),
+        percentiles(in_band("2.4G", rate), 0.9, accuracy=accuracy)[0].alias("p90_phy_rate_2_4g_speed"),
+        percentiles(in_band("5G", rate), 0.9, accuracy=accuracy)[0].alias("p90_phy_rate_5g_speed"),
         _spread(snr).alias("snr_range_variation"),
     ]
 
 
-def _coverage_aggregates(attributes: Sequence[str]) -> list[Column]:
+def _coverage_aggregates(attributes: Sequence[str], accuracy: int) -> list[Column]:
     return [
         *attribute_aggregates(names=attributes),
-        percentiles(in_band("2.4G", _double("rssi")), 0.9)[0].alias("p90_rssi_2_4g"),
-        percentiles(in_band("5G", _double("rssi")), 0.9)[0].alias("p90_rssi_5g"),
+        percentiles(in_band("2.4G", _double("rssi")), 0.9, accuracy=accuracy)[0].alias("p90_rssi_2_4g"),
+        percentiles(in_band("5G", _double("rssi")), 0.9, accuracy=accuracy)[0].alias("p90_rssi_5g"),
     ]
 
 
 def station_quality(
-    hourly: DataFrame, speed: bool = True, coverage: bool = True, labelled: bool = True
+    hourly: DataFrame, speed: bool = True, coverage: bool = True, labelled: bool = True, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Gated station-hours with the speed and/or coverage measures and scores, in one aggregate.
 
     ``labelled`` says whether ``hourly`` has the mobility label.
     """
     attributes = [a for a in ATTRIBUTES if labelled or a != "mobility_status"]
-    aggs = (_speed_aggregates(attributes) if speed else []) + (_coverage_aggregates(attributes) if coverage else [])
+    aggs = _speed_aggregates(attributes, accuracy) if speed else []
+    aggs += _coverage_aggregates(attributes, accuracy) if coverage else []
     stations = gated(_with_keys(hourly, HOME), STATION, *aggs)
     if speed:
         stations = with_scores(stations, SPEED_SCORES).withColumn(SPEED_MEAN, mean_present(*SPEED_SCORES))
@@ -259,10 +288,15 @@ def station_quality(
 
 
 def _scored_stations(
-    hourly: DataFrame, consumption: DataFrame, mobility: DataFrame | None, speed: bool = True, coverage: bool = True
+    hourly: DataFrame,
+    consumption: DataFrame,
+    mobility: DataFrame | None,
+    speed: bool = True,
+    coverage: bool = True,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Station-hours with scores, consumption (same distribution, joined first) and mobility label."""
-    stations = station_quality(hourly, speed, coverage, labelled=mobility is None)
+    stations = station_quality(hourly, speed, coverage, mobility is None, accuracy)
     if not coverage:
         stations = stations.where(F.col(N_FAST) > 0)
     stations = stations.join(consumption, STATION, "left")
@@ -288,14 +322,16 @@ def weighted_home_score(top: str, rest: str, renormalize: bool = False) -> Colum
     return F.round(weighted, 2)
 
 
-def home_scores(stations: DataFrame, speed: bool = True, coverage: bool = True, renormalize: bool = False) -> DataFrame:
+def home_scores(
+    stations: DataFrame, speed: bool = True, coverage: bool = True, renormalize: bool = False, cuts: int = CUTS
+) -> DataFrame:
     """Weighted scores per home-hour from its stations, ranked by ``total_bytes``."""
     scores = {}
     if speed:
         scores["speed"] = (F.col(N_FAST) > 0, F.col(SPEED_MEAN))
     if coverage:
         scores["coverage"] = (F.lit(True), F.col(COVERAGE_MEAN))
-    averages = top_rest_averages(stations, HOME, "total_bytes", scores, ["station_mac"], TOP_STATIONS)
+    averages = top_rest_averages(stations, HOME, "total_bytes", scores, ["station_mac"], TOP_STATIONS, cuts)
     return averages.select(
         *HOME,
         *[
@@ -349,6 +385,8 @@ def speed_score(
     renormalize: bool = False,
     mobility: DataFrame | None = None,
     stage: Stage = _as_is,
+    accuracy: int = ACCURACY,
+    cuts: int = CUTS,
 ) -> DataFrame:
     """Speed of each station's home; stations without a valid snr record are left out.
 
@@ -358,8 +396,8 @@ def speed_score(
     station table (see ``session.stage``), which feeds both the home averages
     and the result, so that ``hourly`` is read once.
     """
-    stations = stage(_scored_stations(hourly, consumption, mobility, coverage=False), "speed_stations")
-    homes = home_scores(stations, coverage=False, renormalize=renormalize)
+    stations = stage(_scored_stations(hourly, consumption, mobility, coverage=False, accuracy=accuracy), "speed_stations")
+    homes = home_scores(stations, coverage=False, renormalize=renormalize, cuts=cuts)
     kept = stations.where(F.col("station_mac").isNotNull() & F.col("snr_range_variation").isNotNull())
     return (
         kept.withColumnsRenamed({f"{c}_speed": c for c in ATTRIBUTES})
@@ -375,10 +413,12 @@ def coverage_score(
     renormalize: bool = False,
     mobility: DataFrame | None = None,
     stage: Stage = _as_is,
+    accuracy: int = ACCURACY,
+    cuts: int = CUTS,
 ) -> DataFrame:
     """Coverage of each station's home; parameters as for ``speed_score``."""
-    stations = stage(_scored_stations(hourly, consumption, mobility, speed=False), "coverage_stations")
-    homes = home_scores(stations, speed=False, renormalize=renormalize)
+    stations = stage(_scored_stations(hourly, consumption, mobility, speed=False, accuracy=accuracy), "coverage_stations")
+    homes = home_scores(stations, speed=False, renormalize=renormalize, cuts=cuts)
     return (
         stations.where(F.col("station_mac").isNotNull())
         .join(homes, HOME)
@@ -390,9 +430,9 @@ def coverage_score(
 # --- reliability -------------------------------------------------------------
 
 
-def reliability_score(device_groups: DataFrame) -> DataFrame:
-    """Airtime score of each home-hour over its enabled 2.4G radios."""
-    airtime = F.col("radio._2_4g.airtime_util").try_cast("int")
+def reliability_score(device_groups: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+    """Airtime score of each home-hour over its enabled 2.4G radios; fractions of airtime are cut off."""
+    airtime = F.col("radio._2_4g.airtime_util").try_cast("double").try_cast("int")
     return (
         device_groups.select(
             clean.serial("rowkey", "open").alias("sn"),
@@ -402,7 +442,7 @@ def reliability_score(device_groups: DataFrame) -> DataFrame:
         )
         .where((F.col("radio._2_4g.enable") == "1") & airtime.between(*VALID_AIRTIME))
         .groupBy(*HOME)
-        .agg(percentiles(airtime, 0.9)[0].alias("p90_airtime_util_2_4g"))
+        .agg(percentiles(airtime, 0.9, accuracy=accuracy)[0].alias("p90_airtime_util_2_4g"))
         .withColumn("reliability_score_num", ladder("p90_airtime_util_2_4g", AIRTIME_2_4G))
     )
 
@@ -459,6 +499,8 @@ def wifi_score(
     renormalize: bool = False,
     mobility: DataFrame | None = None,
     stage: Stage = _as_is,
+    accuracy: int = ACCURACY,
+    cuts: int = CUTS,
 ) -> DataFrame:
     """``composite_score`` straight from the hourly fact.
 
@@ -467,8 +509,8 @@ def wifi_score(
     their fast rows and over all rows, ``"coverage"`` keeps all and takes those
     over all rows.  ``mobility`` and ``stage`` as for ``speed_score``.
     """
-    stations = stage(_scored_stations(hourly, consumption, mobility), "stations")
-    homes = home_scores(stations, renormalize=renormalize).join(reliability, HOME, "left")
+    stations = stage(_scored_stations(hourly, consumption, mobility, accuracy=accuracy), "stations")
+    homes = home_scores(stations, renormalize=renormalize, cuts=cuts).join(reliability, HOME, "left")
     kept = stations.where(
         F.col("station_mac").isNotNull() & (F.col(N_FAST) > 0) & F.col("snr_range_variation").isNotNull()
     )

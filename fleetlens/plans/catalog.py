@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from fleetlens import adapters as A
 from fleetlens.functions import clean, scoring
 from fleetlens.operators import features, freshness, grouping, profile, scores
+from fleetlens.plans.daily import wide_features
 from fleetlens.session import configure, scratch_path, stage
 from fleetlens.sinks import files as sinks
 from fleetlens.sources import files as sources
@@ -43,6 +45,11 @@ def fact(spark, sf):
     return profile.hourly_fact(A.station_history(spark, sf), mobility(spark, sf))
 
 
+def banded(spark, sf):
+    signal = profile.device_signal(A.station_history(spark, sf))
+    return scores.banded_percentiles(records(spark, sf), signal, mobility(spark, sf))
+
+
 def consumption(spark, sf):
     return scores.data_consumption(A.station_history(spark, sf), A.MAX_BYTES)
 
@@ -110,7 +117,7 @@ def score_ladders(spark, sf):
 
 @query
 def null_math(spark, sf):
-    stations = scores.banded_percentiles(fact(spark, sf))
+    stations = banded(spark, sf)
     return stations.select(
         *scores.STATION,
         F.least("p90_rssi_2_4g", "p90_rssi_5g").alias("worst_rssi"),
@@ -158,17 +165,18 @@ def hourly_fact(spark, sf):
 
 @query
 def banded_percentiles(spark, sf):
-    return scores.banded_percentiles(fact(spark, sf)).drop(*scores.VARIATION_PARTS)
+    return banded(spark, sf).drop(*scores.VARIATION_PARTS)
 
 
 @query
 def variation_components(spark, sf):
-    return scores.variation_components(records(spark, sf))
+    return scores.variation_components(A.with_son(records(spark, sf)))
 
 
 @query
 def station_score(spark, sf):
-    return scores.station_score(fact(spark, sf))
+    signal = profile.device_signal(A.station_history(spark, sf))
+    return scores.station_score(records(spark, sf), signal, mobility(spark, sf))
 
 
 @query
@@ -248,7 +256,7 @@ def _missing(variant, business=False):
         if not business:
             registry = registry.withColumn("calendar", F.lit("daily"))
         return freshness.missing_days(
-            registry, observed, A.AS_OF, freshness.window(variant), A.EXCLUDED_DAYS if business else (), max_delay=7
+            registry, observed, A.AS_OF, freshness.window(variant), A.EXCLUDED_DAYS if business else ()
         )
 
     return run
@@ -289,6 +297,33 @@ def listing_dates(spark, sf):
     return freshness.days_in_names(A.file_names(spark, sf)).distinct()
 
 
+@query
+def file_drop_dates(spark, sf):
+    """Days of drops that share folders, told apart by the templates of their names."""
+    return freshness.days_of_drops(A.drop_files(spark, sf), A.drops(spark, sf)).distinct()
+
+
+@query
+def table_days(spark, sf):
+    """Days that a table and the folders of a written table hold, one dataset each."""
+    base = scratch_path(spark, "half_days")
+    sinks.overwrite_partitions(_events_by_half_day(spark, sf), base)
+    orders = sources.read_table(spark, "parquet", path=f"{sf}/orders.parquet")
+    in_folders = sources.observed_partitions(sources.read_table(spark, "parquet", path=base), "events")
+    days = sources.observed_in_table(orders, "orders", "o_orderdate").unionByName(in_folders)
+    return freshness.observed_days(days)
+
+
+@query
+def folder_listing(spark, sf):
+    """Names and days of the folders of written tables; a dataset without a folder has none."""
+    base = scratch_path(spark, "listed")
+    events = A.table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    sinks.overwrite_partitions(events, base, ["day"])
+    listed = sources.list_names(spark, {"events": base, "absent": f"{base}/absent"})
+    return freshness.days_in_names(listed, "dashed")
+
+
 @query
 def latest_per_dataset(spark, sf):
     return freshness.latest(A.observed_dates(spark, sf))
@@ -328,7 +363,9 @@ def freshness_report(spark, sf):
 def freshness_report_paired(spark, sf):
     registry, observed = _checked(spark, sf)
     folder = freshness.days_in_names(A.file_names(spark, sf))
-    return _as_text(freshness.paired_report(registry, observed, folder, A.AS_OF, excluded=A.EXCLUDED_DAYS))
+    return _as_text(freshness.paired_report(
+        registry, observed, folder, A.AS_OF, excluded=A.EXCLUDED_DAYS, folder_calendar="folder_calendar"
+    ))
 
 
 @query
@@ -346,14 +383,32 @@ def _days(first: int, last: int) -> list[str]:
 
 @query
 def multi_day_union(spark, sf):
-    """Day folders written first; the days read include some that do not exist."""
+    """Day folders written first; the days read are those written, and some that do not exist."""
     base = scratch_path(spark, "daily_events")
     events = A.table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     sinks.overwrite_partitions(events, base, ["day"])
-    union = sources.read_tolerant(spark, base + "/day={}", _days(1, 31) + ["2024-02-30"])
+    written = [n.removeprefix("day=") for n in sinks.children(spark, base) if n.startswith("day=")]
+    union = sources.read_tolerant(spark, base + "/day={}", [*written, "2024-02-30"])
     return union.select("event_id", "user_id", "event_type", "value")
 
 
+@query
+def loader_union(spark, sf):
+    """Tables of unequal schemas read and shaped by a loader, put together by name."""
+    base = scratch_path(spark, "unequal")
+    A.table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name")).write.parquet(f"{base}/a")
+    A.table(spark, sf, "part").select(F.col("p_size").alias("size"), F.col("p_partkey").alias("k")).write.parquet(f"{base}/b")
+    shaped = lambda s, path: s.read.parquet(path).withColumn("source", F.lit(path[-1]))
+    return sources.read_tolerant(spark, base + "/{}", ["a", "b", "c"], shaped)
+
+
+@query
+def positional_union(spark, sf):
+    customers = A.table(spark, sf, "customer").selectExpr("c_custkey as key", "c_name as name")
+    parts = A.table(spark, sf, "part").selectExpr("p_partkey as part", "p_name as label")
+    return features.union_frames([customers, parts], positional=True)
+
+
 @query
 def dedup_rows(spark, sf):
     return features.dedup_rows(
@@ -369,6 +424,7 @@ def _installs(spark, sf):
     )
 
 
+# The features of a home.
 FEATURES = ["num_station", "poor_rssi", "poor_phyrate", "home_score"]
 
 
@@ -388,6 +444,18 @@ def wide_daily_join(spark, sf):
     return _installs(spark, sf).join(wide, "serial_num")
 
 
+@query
+def daily_feature_job(spark, sf):
+    """The feature table of seven days before a day: models filtered, columns dropped, copies removed, targets joined."""
+    base = scratch_path(spark, "daily_records")
+    sinks.overwrite_partitions(A.daily_records(spark, sf), base, ["day"])
+    main = _installs(spark, sf).withColumn("after_home_score", F.col("before_home_score") + 1)
+    return wide_features(
+        spark, main, base + "/day={}", date(2024, 1, 10), "serial_num", FEATURES,
+        drop=["mdn"], models=["G0", "G1", "G2"],
+    ).select("serial_num", "date_string", "before_home_score", "after_home_score", *[f"{c}_{d}" for d in _days(3, 9) for c in FEATURES])
+
+
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -437,6 +505,15 @@ def partition_overwrite(spark, sf):
     return spark.read.schema(full).parquet(base)
 
 
+@query
+def full_overwrite(spark, sf):
+    """A table written twice holds what was written last."""
+    path = scratch_path(spark, "overwritten")
+    sinks.overwrite(A.table(spark, sf, "customer"), path)
+    sinks.overwrite(A.table(spark, sf, "part"), path)
+    return spark.read.parquet(path)
+
+
 @query
 def csv_roundtrip(spark, sf):
     folder = scratch_path(spark, "part_csv")
@@ -475,17 +552,30 @@ def publish_if_absent(spark, sf):
     return spark.read.parquet(target)
 
 
+@query
+def publish_partitioned(spark, sf):
+    """A table foldered by date and hour, published, and read with its folders as text."""
+    source, target = scratch_path(spark, "unpublished"), scratch_path(spark, "published")
+    sinks.overwrite_partitions(_events_by_half_day(spark, sf), source)
+    sinks.publish_if_absent(spark, source, target)
+    days = [n.removeprefix("date=") for n in sinks.children(spark, target) if n.startswith("date=")]
+    return features.union_frames([sources.read_partition(spark, target, day) for day in days])
+
+
 # --- messages ----------------------------------------------------------------
 
 MESSAGE = T.StructType([T.StructField("k", T.IntegerType())])
 
 
 def _messages(events: DataFrame) -> DataFrame:
-    """Good messages, and some broken in syntax or type."""
+    """Good messages, and some broken in syntax or type, followed by something, or two in one."""
     return events.selectExpr(
         "event_id",
-        """case event_type when 'error' then substring(props, 1, length(props) - 1)
-                when 'signup' then concat('{"k": "', user_id, 'x"}') else props end as value""",
+        """case when event_type = 'error' then substring(props, 1, length(props) - 1)
+                when event_type = 'signup' then concat('{"k": "', user_id, 'x"}')
+                when event_id % 11 = 0 then concat(props, ' x')
+                when event_id % 11 = 1 then concat(props, props)
+                when event_id % 11 = 2 then concat('[', props, ']') else props end as value""",
     )
 
 
@@ -502,16 +592,44 @@ def message_decode(spark, sf):
     return messages.decode(_messages(A.table(spark, sf, "events")), MESSAGE)
 
 
-@query
-def message_stream(spark, sf):
-    """The same messages received as a stream: good ones and quarantined ones."""
-    path = f"{sf}/events.parquet"
-    # The pattern makes the folder the base path, whether the table is one file or a folder of files.
-    arriving = spark.readStream.schema(A.SCHEMAS["events"]).parquet(path + "*")
-    table, checkpoint = scratch_path(spark, "received"), scratch_path(spark, "checkpoint")
-    messages.receive(_messages(arriving), MESSAGE, table, checkpoint).awaitTermination()
+def _received(spark, table):
     event_id = T.StructField("event_id", T.LongType())
     good = messages.received(spark, table, MESSAGE, "ok", event_id).withColumn(
         messages.CORRUPT, F.lit(None).cast("string")
     )
     return good.unionByName(messages.received(spark, table, MESSAGE, "bad", event_id))
+
+
+@query
+def message_stream(spark, sf):
+    """The same messages received by two streams into one table: good ones and quarantined ones."""
+    # A pattern makes the folder the base path, whether the table is one file or a folder of files; this one fits it only.
+    path = f"{sf}/events.parque[t]"
+    arriving = spark.readStream.schema(A.SCHEMAS["events"]).parquet(path)
+    table = scratch_path(spark, "received")
+    for part in (0, 1):
+        own = _messages(arriving.where(F.col("event_id") % 2 == part))
+        messages.receive(own, MESSAGE, table, scratch_path(spark, "checkpoint")).awaitTermination()
+    return _received(spark, table)
+
+
+@query
+def message_archive(spark, sf):
+    """Files of text lines received as a stream, which archives what it has consumed."""
+    inbox, archive, table = (scratch_path(spark, n) for n in ("inbox", "archive", "received"))
+    values = _messages(A.table(spark, sf, "events")).select("value")
+    values.write.text(inbox)
+    checkpoint = scratch_path(spark, "checkpoint")
+    for _ in range(2):  # the second run finds nothing new
+        messages.receive(messages.message_folder(spark, inbox, archive), MESSAGE, table, checkpoint).awaitTermination()
+    found = messages.received(spark, table, MESSAGE, "ok").withColumn(messages.CORRUPT, F.lit(None).cast("string"))
+    return found.unionByName(messages.received(spark, table, MESSAGE, "bad"))
+
+
+@query
+def whole_file_messages(spark, sf):
+    """Files of one message each."""
+    folder = scratch_path(spark, "files")
+    counts = A.table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).cast("int").alias("k"))
+    counts.selectExpr("c_nationkey", "to_json(struct(k)) as value").write.partitionBy("c_nationkey").text(folder)
+    return messages.decode(messages.whole_files(spark, f"{folder}/*"), MESSAGE)

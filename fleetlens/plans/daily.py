@@ -61,8 +61,8 @@ def wide_features(
 ) -> DataFrame | None:
     """``main`` joined with the features of each of the ``days`` days before ``day``.
 
-    ``pattern`` gives the folder of an ISO day.  Days that cannot be read are
-    skipped; None if none can.
+    ``pattern`` gives the folder of an ISO day.  Days without a folder are
+    skipped; None if there is none.
     """
     labels = [(day - timedelta(days=i)).isoformat() for i in range(1, days + 1)]
     found = {label: files.read_tolerant(spark, pattern, [label]) for label in labels}

@@ -42,11 +42,13 @@ def score_hour(
     _file_under(scores.station_score(hourly), date, hour, paths["station_score"])
     reliability = scores.reliability_score(read_partition(spark, groups_base, date, hour, schema.DEVICE_GROUPS))
     staging = scratch_path(spark, "score_hour")
-    wifi = scores.wifi_score(
-        hourly, scores.data_consumption(history, max_bytes), reliability, stage=partial(stage, folder=staging)
-    )
-    _file_under(wifi, date, hour, paths["wifi_score"])
-    delete(spark, staging)
+    try:
+        wifi = scores.wifi_score(
+            hourly, scores.data_consumption(history, max_bytes), reliability, stage=partial(stage, folder=staging)
+        )
+        _file_under(wifi, date, hour, paths["wifi_score"])
+    finally:
+        delete(spark, staging)
     return paths
 
 

@@ -2,26 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Runtime settings: UTC dates, adaptive plans with skew-join splitting.
+def configure(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
+    """Runtime settings: dates in ``time_zone``, adaptive plans with skew-join splitting.
 
     Every one is a SQL runtime setting, so it works on a session that somebody
-    else started.  Partition counts are left to the cluster.
-
-    Percentile aggregates hash up to 65536 groups per task before they sort
-    (128 by default, which makes them sort nearly always).  The values they hold
-    are at most the input of one task.
+    else started.  Partition counts are left to the cluster.  Records are dated in ``time_zone``;
+    it has to be the one that the folders of the history are named in.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.session.timeZone", time_zone)
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
     return spark
 
 
@@ -45,24 +40,19 @@ def local_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session, where one machine is the whole cluster, gets a folder
-    of its own when the setting is missing.
-    """
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or where that is unset the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="fleetlens-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, in a folder of this application."""
-    return f"{shared_dir(spark)}/fleetlens/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in a folder of this application that goes when the application ends."""
+    own = f"{shared_dir(spark)}/fleetlens/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.mkdirs(path):
+        fs.deleteOnExit(path)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
@@ -70,8 +60,8 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
 
     For results that feed several branches of one plan: the input is read once,
     a lost executor costs no recomputation, and the planner sees real sizes.
-    The table stays until ``folder`` (by default one of this application's own)
-    is deleted.
+    The table stays until ``folder`` (by default one of this application's own,
+    which ends with it) is deleted.
     """
     path = f"{folder}/{name}" if folder else scratch_path(df.sparkSession, name)
     df.write.parquet(path)

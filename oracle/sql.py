@@ -1,7 +1,7 @@
 """One SQL statement per query, for DuckDB, over the same sample tables.
 
-Written the long way round - row-level windows, separate aggregates, self-joins -
-so that it is independent of the plans it checks.
+Made from the rules in another shape than the plans it checks: a station-hour
+is a set of sorted lists, places are numbers of heavier stations, classes are a table of bounds.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 _RATE = """cast(floor(l_extendedprice / 200.0 / case (case when l_suppkey % 4 = 1 then 0 else (l_suppkey + 2 * l_linenumber) % 4 end)
         when 0 then 1 when 1 then 4 when 2 then 12 else 30 end) as integer)"""
 
+_YEAR = "(1996 + year(l_shipdate) % 3)"
+
 HIST = f"""hist as (
     select 'R-S' || l_suppkey || '_' || l_orderkey as rowkey,
         'Model#' || (l_partkey % 25) as model,
@@ -24,11 +26,12 @@ HIST = f"""hist as (
         l_quantity * 0.2::double * (1 + l_suppkey % 3) - case when l_linenumber = 6 then 40 else 0 end as snr,
         {_RATE} || 'Mbps' as link_rate,
         {_RATE} || 'Mbps' as tx_link_rate,
-        epoch_ms(date_trunc('year', l_shipdate)) + (l_orderkey % 3600) * 1000 as ts,
+        epoch_ms(make_timestamp({_YEAR}, 1, 1, 0, 0, 0)) + (l_orderkey % 3600) * 1000
+            + (l_partkey % 2 + case when l_orderkey % 97 = 0 then 1 else 0 end) * 3600000 as ts,
         cast(floor(l_extendedprice) as bigint) as bs,
         cast(floor(l_extendedprice * l_tax) as bigint) as br,
-        year(l_shipdate) || '0101' as date,
-        '00' as hour
+        {_YEAR} || '0101' as date,
+        '0' || (l_partkey % 2) as hour
     from lineitem)"""
 
 RECORDS = """rec as (
@@ -40,38 +43,57 @@ RECORDS = """rec as (
         0 as son
     from hist)"""
 
-MOBILITY = """sig as (
-    select regexp_extract(rowkey, '-([A-Z0-9]+)_', 1) as sn, station_mac, day_signal,
-        quantile_disc(day_signal, 0.03) over w as q3, quantile_disc(day_signal, 0.1) over w as q10,
-        quantile_disc(day_signal, 0.5) over w as q50, quantile_disc(day_signal, 0.9) over w as q90
-    from hist where day_signal is not null
-    window w as (partition by regexp_extract(rowkey, '-([A-Z0-9]+)_', 1), station_mac)),
-inlier as (
-    select *, q10 - 2 * (q90 - q10) as low from sig
-    where day_signal > case when q10 - 2 * (q90 - q10) < q3 then q10 - 2 * (q90 - q10) else q3 end),
+
+def _at(sorted_list: str, percent: int) -> str:
+    """The value of a sorted list below which, itself included, lie so many percent of it."""
+    return f"{sorted_list}[greatest(1, (len({sorted_list}) * {percent} + 99) // 100)]"
+
+
+# The label follows from the sorted signals of a device: their percentiles, and whether the strongest is within the fence.
+MOBILITY = f"""heard as (
+    select regexp_extract(rowkey, '-([A-Z0-9]+)_', 1) as sn, station_mac, list(day_signal order by day_signal) as s
+    from hist where day_signal is not null group by all),
 mob as (
-    select sn, station_mac, case when max(case when q90 - q50 <= 5 then 1 else 0 end) = 1
-        then 'Stationary' else 'Non-stationary' end as mobility_status
-    from inlier group by sn, station_mac)"""
+    select sn, station_mac, if({_at("s", 90)} - {_at("s", 50)} > 5, 'Non-stationary', 'Stationary') as mobility_status
+    from heard where s[-1] > least({_at("s", 3)}, 3 * {_at("s", 10)} - 2 * {_at("s", 90)}))"""
 
-FACT = f"""{HIST}, {RECORDS}, {MOBILITY}, fact as (
-    select rec.*, cast(quantile_disc(rssi, 0.5) over m as integer) as p50_rssi,
-        cast(quantile_disc(rssi, 0.9) over m as integer) as p90_rssi, mobility_status
-    from rec left join mob using (sn, station_mac)
-    window m as (partition by station_mac))"""
+DEVICES = f"""dev as (
+    select station_mac, cast({_at("s", 50)} as integer) as p50_rssi, cast({_at("s", 90)} as integer) as p90_rssi
+    from (select station_mac, list(rssi order by rssi) as s from rec group by station_mac))"""
+
+FACT = f"""{HIST}, {RECORDS}, {MOBILITY}, {DEVICES}, fact as (
+    select rec.*, p50_rssi, p90_rssi, mobility_status
+    from rec left join dev using (station_mac) left join mob using (sn, station_mac))"""
 
 _KEY = "sn, station_mac, date, hour"
 
 
-def _counted(source: str) -> str:
-    return f"counted as (select *, count(*) over (partition by {_KEY}) as record_count from {source})"
+def _sorted(value: str, *conditions: str) -> str:
+    return f"list({value} order by {value}) filter ({' and '.join([*conditions, f'{value} is not null'])})"
+
 
+_LOW, _HIGH, _FAST = "starts_with(band, '2.4G')", "starts_with(band, '5G')", "tx_phy_rate > 24"
+
+# Everything that is ever said of a station-hour of nine records or more: sorted lists of its values.
+HOURS = f"""hours as (
+    select {_KEY}, count(*) as records, avg(rssi) as avg_rssi, max(rssi) as max_rssi,
+        max(model) as model, max(station_name) as station_name,
+        max(model) filter ({_FAST}) as fast_model, max(station_name) filter ({_FAST}) as fast_name,
+        {_sorted("snr")} as snrs, {_sorted("snr", "snr >= 0", "snr <= 50")} as good_snrs,
+        count(*) filter (son > 0) as son_count,
+        {_sorted("rssi", _LOW)} as rssi_low, {_sorted("rssi", _HIGH)} as rssi_high,
+        {_sorted("phy_rate", _LOW)} as phy_low, {_sorted("phy_rate", _HIGH)} as phy_high,
+        {_sorted("tx_phy_rate", _LOW, _FAST)} as tx_low, {_sorted("tx_phy_rate", _HIGH, _FAST)} as tx_high,
+        count(*) filter ({_LOW}) > 0 as has_low, count(*) filter ({_HIGH}) > 0 as has_high,
+        count(*) filter ({_FAST}) > 0 as has_fast
+    from rec group by {_KEY} having count(*) > 8)"""
 
 CONSUMED = """consumed as (
-    select regexp_extract(rowkey, '-([^-_]+)_', 1) as sn, station_mac, date, hour,
-        cast(sum(cast(bs as decimal(38, 0)) + cast(br as decimal(38, 0))) as decimal(38, 0)) as total_bytes
-    from hist group by all
-    having sum(cast(bs as decimal(38, 0)) + cast(br as decimal(38, 0))) < 900000)"""
+    select * from (
+        select regexp_extract(rowkey, '-([^-_]+)_', 1) as sn, station_mac, date, hour,
+            cast(sum(cast(bs as decimal(38, 0)) + cast(br as decimal(38, 0))) as decimal(38, 0)) as total_bytes
+        from hist group by all)
+    where total_bytes < 900000)"""
 
 # Rounding a double by its shortest decimal text, half up.
 _ROUND2 = "cast(round(cast(cast({0} as varchar) as decimal(30, 17)), 2) as double)"
@@ -100,129 +122,113 @@ def _ladder(name: str, x: str) -> str:
 
 
 def _mean(*scores: str) -> str:
-    total = " + ".join(f"coalesce({s}, 0)" for s in scores)
-    present = " + ".join(f"(case when {s} is null then 0 else 1 end)" for s in scores)
-    return f"(cast({total} as double) / nullif({present}, 0))"
-
-
-STATIONS = f"""{_counted("fact")}, pct as (
-    select {_KEY}, max(model) as model, max(mobility_status) as mobility_status, max(station_name) as station_name,
-        quantile_disc(cast(p90_rssi as double), 0.9) filter (band like '2.4G%') as p90_rssi_2_4g,
-        quantile_disc(cast(p90_rssi as double), 0.9) filter (band like '5G%') as p90_rssi_5g,
-        quantile_disc(cast(p90_rssi as double), 0.5) filter (band like '2.4G%') as p50_rssi_2_4g,
-        quantile_disc(cast(p90_rssi as double), 0.5) filter (band like '5G%') as p50_rssi_5g,
-        quantile_disc(cast(p90_rssi as double), 0.95) filter (band like '2.4G%') as p95_rssi_2_4g,
-        quantile_disc(cast(p90_rssi as double), 0.95) filter (band like '5G%') as p95_rssi_5g,
-        quantile_disc(cast(phy_rate as double), 0.9) filter (band like '2.4G%') as p90_phy_rate_2_4g,
-        quantile_disc(cast(phy_rate as double), 0.9) filter (band like '5G%') as p90_phy_rate_5g
-    from counted where record_count >= 9 group by {_KEY})"""
+    return f"cast(list_avg([{', '.join(f'cast({s} as double)' for s in scores)}]) as double)"
+
 
+def _range(values: str) -> str:
+    return f"cast({values}[-1] - {values}[1] as double)"
+
+
+# The four limits, as a table that a station-hour is held against.
 VARIATION = f"""parts as (
-    select {_KEY}, max(snr) - min(snr) as snr_range, cast(sum(case when son >= 1 then 1 else 0 end) as bigint) as son_count,
-        cast(max(phy_rate) filter (band like '2.4G%') - min(phy_rate) filter (band like '2.4G%') as double) as phy_rate_range_2_4g,
-        cast(max(phy_rate) filter (band like '5G%') - min(phy_rate) filter (band like '5G%') as double) as phy_rate_range_5g
-    from counted where record_count >= 9 group by {_KEY}),
+    select {_KEY}, {_range("snrs")} as snr_range, son_count,
+        {_range("phy_low")} as phy_rate_range_2_4g, {_range("phy_high")} as phy_rate_range_5g
+    from hours),
 variation as (
-    select *, cast(case when snr_range > 13 or son_count > 6 or phy_rate_range_2_4g > 30 or phy_rate_range_5g > 300
-        then 1 else 0 end as integer) as variation_score
+    select *, cast(len(list_filter([snr_range - 13, son_count - 6, phy_rate_range_2_4g - 30, phy_rate_range_5g - 300],
+        lambda over: over > 0)) > 0 as integer) as variation_score
     from parts)"""
 
-
-def _home(prefix: str, base: str, score: str) -> str:
-    """Ranked stations of ``base`` joined back with the averages of their home."""
-    return f"""{prefix}_ranked as (
-    select b.*, total_bytes, rank() over (partition by sn, date, hour order by total_bytes desc nulls last) as place
-    from {base} b left join consumed using (sn, station_mac, date, hour)),
-{prefix}_top as (select sn, date, hour, avg({score}) as a from {prefix}_ranked where place <= 5 group by sn, date, hour),
-{prefix}_rest as (select sn, date, hour, avg({score}) as a from {prefix}_ranked where place > 5 group by sn, date, hour),
+# All percentiles of a device's signal are the same in one station-hour.
+STATIONS = f"""pct as (
+    select {_KEY}, model, mobility_status, station_name,
+        {", ".join(f"if(has_{b}, cast(p90_rssi as double), null) as {p}_rssi_{n}"
+                   for p in ("p90", "p50", "p95") for b, n in (("low", "2_4g"), ("high", "5g")))},
+        cast({_at("phy_low", 90)} as double) as p90_phy_rate_2_4g, cast({_at("phy_high", 90)} as double) as p90_phy_rate_5g
+    from hours left join dev using (station_mac) left join mob using (sn, station_mac))"""
+
+# Classes by the bounds above which they begin.
+CLASSES = """classes as (
+    select * from (values (1, 'Poor', -1e9::double), (2, 'Fair', 1.5::double), (3, 'Good', 2.5::double),
+        (4, 'Excellent', 3.5::double)) t(number, category, above))"""
+
+_SAME_HOME = "a.sn = b.sn and a.date = b.date and a.hour = b.hour"
+
+
+def _home(prefix: str, base: str) -> str:
+    """Stations of ``base`` with the weighted mean of ``score`` over their home.
+
+    The heaviest five are those with fewer than five heavier ones; unknown weights are the lightest.
+    """
+    return f"""{prefix}_weight as (
+    select {base}.*, coalesce(total_bytes, -1) as weight from {base} left join consumed using (sn, station_mac, date, hour)),
+{prefix}_heavier as (
+    select a.sn, a.station_mac, a.date, a.hour, any_value(a.score) as score, count(b.weight) as heavier
+    from {prefix}_weight a left join {prefix}_weight b on {_SAME_HOME} and b.weight > a.weight
+    group by a.sn, a.station_mac, a.date, a.hour),
 {prefix}_home as (
-    select r.*, t.a as avg_top, o.a as avg_rest,
-        coalesce(t.a, 0.0::double) * 0.8::double + coalesce(o.a, 0.0::double) * 0.2::double as raw
-    from {prefix}_ranked r left join {prefix}_top t using (sn, date, hour) left join {prefix}_rest o using (sn, date, hour))"""
-
-
-SPEED = f"""sp_pct as (
-    select {_KEY}, max(model) as model, max(mobility_status) as mobility_status, max(station_name) as station_name,
-        quantile_disc(cast(tx_phy_rate as double), 0.9) filter (band like '2.4G%') as p90_phy_rate_2_4g_speed,
-        quantile_disc(cast(tx_phy_rate as double), 0.9) filter (band like '5G%') as p90_phy_rate_5g_speed
-    from counted where record_count >= 9 and tx_phy_rate > 24 group by {_KEY}),
-sp_score as (
-    select *, {_ladder("speed_tx_2_4g", "p90_phy_rate_2_4g_speed")} as phy_rate_score_2_4g_speed,
-        {_ladder("speed_tx_5g", "p90_phy_rate_5g_speed")} as phy_rate_score_5g_speed
-    from sp_pct),
-sp_base as (
-    select *, {_mean("phy_rate_score_2_4g_speed", "phy_rate_score_5g_speed")} as individual_station_avg_base_score_speed
-    from sp_score),
-{_home("sp", "sp_base", "individual_station_avg_base_score_speed")},
-sp_var as (
-    select {_KEY}, max(snr) - min(snr) as snr_range_variation from counted
-    where record_count >= 9 and snr between 0 and 50 group by {_KEY}),
+    select *, coalesce(avg_top, 0.0::double) * 0.8::double + coalesce(avg_rest, 0.0::double) * 0.2::double as raw
+    from (select sn, date, hour, avg(if(heavier < 5, score, null)) as avg_top, avg(if(heavier < 5, null, score)) as avg_rest
+        from {prefix}_heavier group by sn, date, hour))"""
+
+
+SPEED = f"""sp_base as (
+    select {_KEY}, fast_model as model, mobility_status, fast_name as station_name, {_range("good_snrs")} as snr_range_variation,
+        cast({_at("tx_low", 90)} as double) as p90_phy_rate_2_4g_speed, cast({_at("tx_high", 90)} as double) as p90_phy_rate_5g_speed,
+        cast({_ladder("speed_tx_2_4g", "p90_phy_rate_2_4g_speed")} as integer) as phy_rate_score_2_4g_speed,
+        cast({_ladder("speed_tx_5g", "p90_phy_rate_5g_speed")} as integer) as phy_rate_score_5g_speed,
+        {_mean("phy_rate_score_2_4g_speed", "phy_rate_score_5g_speed")} as score
+    from hours left join mob using (sn, station_mac) where has_fast),
+{_home("sp", "sp_base")},
 speed as (
-    select sn, station_mac, station_name, model, mobility_status, date, hour,
-        p90_phy_rate_2_4g_speed, p90_phy_rate_5g_speed,
-        cast(phy_rate_score_2_4g_speed as integer) as phy_rate_score_2_4g_speed,
-        cast(phy_rate_score_5g_speed as integer) as phy_rate_score_5g_speed,
-        snr_range_variation, individual_station_avg_base_score_speed,
+    select sp_base.* exclude (score), score as individual_station_avg_base_score_speed,
         {_ROUND2.format("raw")} as home_weighted_avg_base_score_speed,
-        cast(case when snr_range_variation > 13 then 1 else 0 end as integer) as speed_variation_score,
-        {_ROUND2.format("raw")} - case when snr_range_variation > 13 then 1 else 0 end as speed_score_num
-    from sp_home join sp_var using (sn, station_mac, date, hour))"""
-
-COVERAGE = f"""cv_pct as (
-    select {_KEY}, max(model) as model, max(mobility_status) as mobility_status, max(station_name) as station_name,
-        quantile_disc(rssi, 0.9) filter (band like '2.4G%') as p90_rssi_2_4g,
-        quantile_disc(rssi, 0.9) filter (band like '5G%') as p90_rssi_5g
-    from counted where record_count >= 9 group by {_KEY}),
-cv_score as (
-    select *, {_ladder("coverage_rssi_2_4g", "p90_rssi_2_4g")} as rssi_score_2_4g,
-        {_ladder("coverage_rssi_5g", "p90_rssi_5g")} as rssi_score_5g
-    from cv_pct),
-cv_base as (
-    select *, {_mean("rssi_score_2_4g", "rssi_score_5g")} as individual_station_avg_base_score_coverage from cv_score),
-{_home("cv", "cv_base", "individual_station_avg_base_score_coverage")},
+        cast(snr_range_variation > 13 as integer) as speed_variation_score,
+        home_weighted_avg_base_score_speed - speed_variation_score as speed_score_num
+    from sp_base join sp_home using (sn, date, hour) where snr_range_variation is not null)"""
+
+COVERAGE = f"""cv_base as (
+    select {_KEY}, model, mobility_status, station_name,
+        {_at("rssi_low", 90)} as p90_rssi_2_4g, {_at("rssi_high", 90)} as p90_rssi_5g,
+        cast({_ladder("coverage_rssi_2_4g", "p90_rssi_2_4g")} as integer) as rssi_score_2_4g,
+        cast({_ladder("coverage_rssi_5g", "p90_rssi_5g")} as integer) as rssi_score_5g,
+        {_mean("rssi_score_2_4g", "rssi_score_5g")} as score
+    from hours left join mob using (sn, station_mac)),
+{_home("cv", "cv_base")},
 coverage as (
-    select sn, station_mac, station_name, model, mobility_status, date, hour, p90_rssi_2_4g, p90_rssi_5g,
-        cast(rssi_score_2_4g as integer) as rssi_score_2_4g, cast(rssi_score_5g as integer) as rssi_score_5g,
-        cast(0 as integer) as rssi_range_variation, individual_station_avg_base_score_coverage,
-        {_ROUND2.format("raw")} as home_weighted_avg_base_score_coverage,
-        cast(0 as integer) as coverage_variation_score, {_ROUND2.format("raw")} as coverage_score_num
-    from cv_home)"""
+    select cv_base.* exclude (score), score as individual_station_avg_base_score_coverage,
+        cast(0 as integer) as rssi_range_variation, cast(0 as integer) as coverage_variation_score,
+        {_ROUND2.format("raw")} as home_weighted_avg_base_score_coverage, home_weighted_avg_base_score_coverage as coverage_score_num
+    from cv_base join cv_home using (sn, date, hour))"""
 
 RELIABILITY = f"""radios as (
-    select 'G-S' || user_id as rowkey, 1996 + event_id % 7 || '0101' as date, '00' as hour,
-        case when event_type = 'error' then '0' else '1' end as enable,
-        case when event_type = 'signup' then '' else cast(cast(floor(value / (1 + user_id % 3)) as integer) as varchar) end as air
-    from events
-    union all
-    select 'G-S' || user_id, 1996 + event_id % 7 || '0101', '00',
-        case when event_type = 'view' then '1' else '0' end, cast(cast(floor(value) as integer) as varchar)
+    select 'G-S' || user_id as rowkey, (1996 + event_id % 3) || '0101' as date, '0' || (event_id // 3 % 2) as hour,
+        unnest([
+            {{'on': event_type <> 'error', 'air': if(event_type = 'signup', '',
+                cast(floor(value / (1 + user_id % 3)) as integer) || if(user_id % 2 = 0, '.5', ''))}},
+            {{'on': event_type = 'view', 'air': cast(cast(floor(value) as integer) as varchar)}}]) as radio
     from events),
 air as (
-    select regexp_extract(rowkey, '-([^-_]+)', 1) as sn, date, hour,
-        quantile_disc(cast(air as integer), 0.9) as p90_airtime_util_2_4g
-    from (select * from radios where enable = '1' and air <> '')
-    where cast(air as integer) between 0 and 100 group by all),
+    select regexp_extract(rowkey, '-([^-_]+)', 1) as sn, date, hour, list(a order by a) as airs
+    from (select *, cast(trunc(try_cast(radio.air as double)) as integer) as a from radios where radio['on'])
+    where a >= 0 and a <= 100 group by all),
 reliability as (
-    select *, cast(case when p90_airtime_util_2_4g < 40 then 4 when p90_airtime_util_2_4g <= 50 then 3
-        when p90_airtime_util_2_4g <= 70 then 2 else 1 end as integer) as reliability_score_num
+    select sn, date, hour, {_at("airs", 90)} as p90_airtime_util_2_4g,
+        cast({_ladder("airtime_2_4g", "p90_airtime_util_2_4g")} as integer) as reliability_score_num
     from air)"""
 
-_COMPOSITE = f"""with {FACT}, {_counted("fact")}, {CONSUMED}, {SPEED}, {COVERAGE}, {RELIABILITY},
+_COMPOSITE = f"""with {FACT}, {HOURS}, {CONSUMED}, {SPEED}, {COVERAGE}, {RELIABILITY}, {CLASSES},
 joined as (
     select s.* exclude (individual_station_avg_base_score_speed),
         c.* exclude (sn, station_mac, station_name, model, mobility_status, date, hour, individual_station_avg_base_score_coverage),
-        p90_airtime_util_2_4g, reliability_score_num
+        p90_airtime_util_2_4g, reliability_score_num,
+        (speed_score_num + coverage_score_num + coalesce(reliability_score_num, 0))
+            / (2 + cast(reliability_score_num is not null as integer)) as mean
     from speed s join coverage c using (sn, station_mac, date, hour, model, mobility_status, station_name)
-        left join reliability r using (sn, date, hour)),
-means as (
-    select *, (speed_score_num + coverage_score_num + coalesce(reliability_score_num, 0))
-        / case when reliability_score_num is null then 2 else 3 end as mean
-    from joined)
-select * exclude (mean), {_ROUND2.format("mean")} as wifi_score_num_unrounded,
-    cast(case when mean > 3.5 then 4 when mean > 2.5 then 3 when mean > 1.5 then 2 else 1 end as integer) as wifi_score_num,
-    case when mean > 3.5 then 'Excellent' when mean > 2.5 then 'Good' when mean > 1.5 then 'Fair' else 'Poor' end
-        as wifi_score_category
-from means"""
+        left join reliability r using (sn, date, hour))
+select joined.* exclude (mean), {_ROUND2.format("mean")} as wifi_score_num_unrounded,
+    number as wifi_score_num, category as wifi_score_category
+from joined asof join classes on mean > above"""
 
 # --- freshness ---------------------------------------------------------------
 
@@ -233,31 +239,37 @@ OBSERVED = f"obs as (select {_DS} as name, cast(ts as date) as observed_date fro
 FILES = f"""files as (
     select {_DS} as name, case when event_type = 'signup' then 'part-signup.csv'
         when event_id % 2 = 0 then 'part-' || strftime(ts, '%Y-%m-%d') || '.csv'
+        when event_id % 5 = 1 then '99999999_' || strftime(ts, '%Y%m%d') || '.csv'
+        when event_id % 5 = 3 then '12345678_' || strftime(ts, '%Y-%m-%d') || '.csv'
         else 'part-' || strftime(ts, '%Y%m%d') || '.csv' end as entry
     from events),
 dated as (
-    select name, entry, coalesce(try_strptime(d, '%Y-%m-%d'), try_strptime(d, '%Y%m%d'))::date as observed_date
-    from (select *, regexp_extract(entry, '\\d{{4}}-\\d{{2}}-\\d{{2}}|\\d{{8}}', 0) as d from files) where d <> '')"""
+    select * from (
+        select name, entry, coalesce(
+            try_strptime(regexp_extract(entry, '\\d{{4}}-\\d{{2}}-\\d{{2}}', 0), '%Y-%m-%d'),
+            list_filter(list_transform(list_filter(regexp_split_to_array(entry, '\\D+'), lambda d: len(d) = 8),
+                lambda d: try_strptime(d, '%Y%m%d')), lambda d: d is not null)[1])::date as observed_date
+        from files)
+    where observed_date is not null)"""
 
 REGISTRY = f"""reg as (
-    select distinct {_DS} as name, date '2024-01-31' - cast(user_id % 8 as integer) as expect_date,
-        user_id % 3 = 0 as business
+    select distinct {_DS} as name,
+        date '2024-01-31' - cast(case user_id % 8 when 7 then 30 when 6 then -2 else user_id % 8 end as integer) as expect_date,
+        user_id % 3 = 0 as business, user_id % 3 = 0 or user_id % 5 = 0 as folder_business
     from events)"""
 
 
-def _gaps(alias: str, seen: str, first: int, last: int, business: bool) -> str:
-    rule = (
-        "and not (business and (isodow(day) > 5 or day in (date '2024-01-15', date '2024-01-16')))" if business else ""
-    )
+def _gaps(alias: str, seen: str, first: int, last: int, business: str | None) -> str:
+    """Days of a range that a dataset was not seen on; workdays only where ``business`` holds."""
+    closed = f"({business} and (isodow(day) > 5 or day in (date '2024-01-15', date '2024-01-16')))" if business else "false"
     return f"""{alias} as (
-    select c.name, c.day from (
-        select name, business, unnest(generate_series(expect_date - {last}, expect_date - {first}, interval 1 day))::date as day
-        from reg) c
-    left join (select distinct name, observed_date from {seen}) o on o.name = c.name and o.observed_date = c.day
-    where o.name is null {rule})"""
+    select name, day from (
+        select *, unnest(range(expect_date - {last}, expect_date - {first} + 1, interval 1 day))::date as day from reg)
+    where not {closed}
+    except select name, observed_date from {seen})"""
 
 
-def _missing(first: int, last: int, business: bool = False) -> str:
+def _missing(first: int, last: int, business: str | None = None) -> str:
     return f"""with {OBSERVED}, {REGISTRY}, {_gaps("gaps", "obs", first, last, business)}
 select name, day as missing_day from gaps"""
 
@@ -293,6 +305,9 @@ _WIDE = (
     )
 )
 
+_MODEL = "where d0.serial_num::integer % 4 < 3"
+_JOB = _WIDE.replace("c_acctbal as before_home_score", "c_acctbal as before_home_score, c_acctbal + 1 as after_home_score") + f" {_MODEL}"
+
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -316,18 +331,16 @@ _HALF_DAYS = """half as (
         case when hour(ts) < 12 then '00' else '12' end as hour
     from events)"""
 
-_MESSAGES = """msg as (
-    select event_id, event_type, props, case event_type when 'error' then substr(props, 1, length(props) - 1)
-        when 'signup' then '{"k": "' || user_id || 'x"}' else props end as value
-    from events)"""
-_DECODED = f"""with {_MESSAGES} select event_id,
-    case when event_type in ('error', 'signup') then null else cast(json_extract_string(props, '$.k') as integer) end as k,
-    case when event_type in ('error', 'signup') then value end as _corrupt_record
+_BROKEN = "(event_type in ('error', 'signup') or event_id % 11 < 3)"
+_DECODED = f"""with msg as (
+    select event_id, {_BROKEN} as broken, props, case when event_type = 'error' then substr(props, 1, length(props) - 1)
+        when event_type = 'signup' then '{{"k": "' || user_id || 'x"}}' when event_id % 11 = 0 then props || ' x'
+        when event_id % 11 = 1 then props || props when event_id % 11 = 2 then '[' || props || ']' else props end as value
+    from events)
+select event_id, if(broken, null, cast(json_extract_string(props, '$.k') as integer)) as k,
+    if(broken, value, null) as _corrupt_record
 from msg"""
 
-_PLACED = """st as (
-    select sn, station_mac, date, hour, max(rssi) as max_rssi from counted where record_count >= 9 group by all)"""
-
 # --- one statement per query -------------------------------------------------
 
 ORACLE: dict[str, str] = {
@@ -351,58 +364,51 @@ ORACLE: dict[str, str] = {
     )
     + """ from (select l_orderkey, l_linenumber, -40 - l_quantity * l_linenumber / 4 as signal,
             l_extendedprice / 200 as rate from lineitem)""",
-    "null_math": f"""with {FACT}, {STATIONS}, {VARIATION}
+    "null_math": f"""with {FACT}, {HOURS}, {STATIONS}, {VARIATION}
         select {_KEY}, least(p90_rssi_2_4g, p90_rssi_5g) as worst_rssi, coalesce(p90_rssi_2_4g, 0.0::double) as rssi_or_zero,
             nullif(son_count, 0) as son_or_null, round(snr_range, 2) as snr_range
         from pct join variation using (sn, station_mac, date, hour)""",
-    "mean_present": f"""with {FACT}, {_counted("fact")}, grp as (select {_KEY} from counted where record_count >= 9 group by all),
-        {CONSUMED}, {SPEED}, {COVERAGE},
-        both_kinds as (
-            select {_KEY}, phy_rate_score_2_4g_speed as a, phy_rate_score_5g_speed as b, rssi_score_2_4g as c, rssi_score_5g as d
-            from grp left join sp_score using (sn, station_mac, date, hour) left join cv_score using (sn, station_mac, date, hour))
-        select {_KEY}, {_mean("a", "b")} as speed_mean, {_mean("c", "d")} as coverage_mean,
-            {_mean("a", "b", "c", "d")} as overall_mean
-        from both_kinds""",
+    "mean_present": f"""with {FACT}, {HOURS}, {CONSUMED}, {SPEED}, {COVERAGE},
+        scored as (
+            select {_KEY}, [phy_rate_score_2_4g_speed, phy_rate_score_5g_speed] as s, [rssi_score_2_4g, rssi_score_5g] as c
+            from hours left join sp_base using (sn, station_mac, date, hour) join cv_base using (sn, station_mac, date, hour))
+        select {_KEY}, cast(list_avg(s) as double) as speed_mean, cast(list_avg(c) as double) as coverage_mean,
+            cast(list_avg(list_concat(s, c)) as double) as overall_mean
+        from scored""",
     "group_record_count": f"""with {HIST}, {RECORDS}
         select {_KEY}, band, rssi, phy_rate, count(*) over (partition by {_KEY}) as record_count from rec""",
-    "min_sample_gate": f"""with {HIST}, {RECORDS}, {_counted("rec")}
-        select {_KEY}, count(*) as record_count, avg(rssi) as avg_rssi from counted where record_count >= 9 group by {_KEY}""",
+    "min_sample_gate": f"""with {HIST}, {RECORDS}, {HOURS}
+        select {_KEY}, records as record_count, avg_rssi from hours""",
     "stationarity": f"with {HIST}, {MOBILITY} select * from mob",
     "hourly_fact": f"""with {FACT} select sn, station_mac, station_name, band, rssi, snr, phy_rate, tx_phy_rate, model,
         hour, date, cast(son as integer) as son, p50_rssi, p90_rssi, mobility_status from fact""",
-    "banded_percentiles": f"with {FACT}, {STATIONS} select * from pct",
-    "variation_components": f"with {HIST}, {RECORDS}, {_counted('rec')}, {VARIATION} select * from variation",
-    "station_score": f"""with {FACT}, {STATIONS}, {VARIATION},
+    "banded_percentiles": f"with {FACT}, {HOURS}, {STATIONS} select * from pct",
+    "variation_components": f"""with {HIST}, {RECORDS.replace("0 as son", "cast(abs(signal_strength) as bigint) % 2 as son")},
+        {HOURS}, {VARIATION} select * from variation""",
+    "station_score": f"""with {FACT}, {HOURS}, {STATIONS}, {VARIATION}, {CLASSES},
         laddered as (
-            select *, {_ladder("station_rssi_2_4g", "p90_rssi_2_4g")} as rs2, {_ladder("station_rssi_5g", "p90_rssi_5g")} as rs5,
-                {_ladder("station_phy_2_4g", "p90_phy_rate_2_4g")} as ps2, {_ladder("station_phy_5g", "p90_phy_rate_5g")} as ps5
-            from pct),
-        based as (select *, least(least(rs2, rs5), least(ps2, ps5)) as base from laddered),
-        final as (select *, base - variation_score as net from based join variation using (sn, station_mac, date, hour))
+            select *, [cast({_ladder("station_rssi_2_4g", "p90_rssi_2_4g")} as integer), cast({_ladder("station_rssi_5g", "p90_rssi_5g")} as integer),
+                cast({_ladder("station_phy_2_4g", "p90_phy_rate_2_4g")} as integer), cast({_ladder("station_phy_5g", "p90_phy_rate_5g")} as integer)] as steps
+            from pct join variation using (sn, station_mac, date, hour))
         select sn, station_mac, station_name, model, mobility_status, date, hour,
-            p90_rssi_2_4g as p90_rssi_2_4g_base, p90_rssi_5g as p90_rssi_5g_base,
-            p50_rssi_2_4g as p50_rssi_2_4g_base, p50_rssi_5g as p50_rssi_5g_base,
-            p95_rssi_2_4g as p95_rssi_2_4g_base, p95_rssi_5g as p95_rssi_5g_base,
+            {", ".join(f"p{p}_rssi_{n} as p{p}_rssi_{n}_base" for p in (90, 50, 95) for n in ("2_4g", "5g"))},
             p90_phy_rate_2_4g as p90_phy_rate_2_4g_base, p90_phy_rate_5g as p90_phy_rate_5g_base,
-            cast(rs2 as integer) as rssi_score_2_4g_base, cast(rs5 as integer) as rssi_score_5g_base,
-            cast(ps2 as integer) as phy_rate_score_2_4g_base, cast(ps5 as integer) as phy_rate_score_5g_base,
-            snr_range as snr_range_variation, son_count as son_count_variation,
-            phy_rate_range_2_4g as phy_rate_range_2_4g_variation, phy_rate_range_5g as phy_rate_range_5g_variation,
-            cast(base as integer) as base_score, variation_score,
-            case when net >= 4 then 'Excellent' when net = 3 then 'Good' when net = 2 then 'Fair' else 'Poor' end as station_score,
-            cast(case when net >= 4 then 4 when net = 3 then 3 when net = 2 then 2 else 1 end as integer) as station_score_num
-        from final""",
+            steps[1] as rssi_score_2_4g_base, steps[2] as rssi_score_5g_base,
+            steps[3] as phy_rate_score_2_4g_base, steps[4] as phy_rate_score_5g_base,
+            {", ".join(f"{c} as {c}_variation" for c in ("snr_range", "son_count", "phy_rate_range_2_4g", "phy_rate_range_5g"))},
+            list_min(steps) as base_score, variation_score, category as station_score, number as station_score_num
+        from laddered asof join classes on cast(coalesce(list_min(steps) - variation_score, 1) as double) > above""",
     "data_consumption": f"with {HIST}, {CONSUMED} select * from consumed",
-    "consumption_rank": f"""with {HIST}, {RECORDS}, {_counted("rec")}, {CONSUMED}, {_PLACED}
-        select {_KEY}, max_rssi, total_bytes, cast(rank() over (partition by sn, date, hour
-            order by total_bytes desc nulls last) as integer) as rank_per_sn
-        from st left join consumed using (sn, station_mac, date, hour)""",
-    "top_rest_weighted": f"""with {HIST}, {RECORDS},
-        counted as (select *, null::varchar as mobility_status, count(*) over (partition by {_KEY}) as record_count from rec),
-        {CONSUMED}, {COVERAGE}
-        select distinct sn, date, hour, avg_top, avg_rest, {_ROUND2.format("raw")} as weighted from cv_home""",
-    "speed_score": f"with {FACT}, {_counted('fact')}, {CONSUMED}, {SPEED} select * from speed",
-    "coverage_score": f"with {FACT}, {_counted('fact')}, {CONSUMED}, {COVERAGE} select * from coverage",
+    "consumption_rank": f"""with {HIST}, {RECORDS}, {HOURS}, {CONSUMED},
+        st as (select {_KEY}, max_rssi, total_bytes, coalesce(total_bytes, -1) as weight
+            from hours left join consumed using (sn, station_mac, date, hour))
+        select a.sn, a.station_mac, a.date, a.hour, any_value(a.max_rssi) as max_rssi, any_value(a.total_bytes) as total_bytes,
+            cast(1 + count(b.weight) as integer) as rank_per_sn
+        from st a left join st b on {_SAME_HOME} and b.weight > a.weight group by a.sn, a.station_mac, a.date, a.hour""",
+    "top_rest_weighted": f"""with {FACT}, {HOURS}, {CONSUMED}, {COVERAGE}
+        select sn, date, hour, avg_top, avg_rest, {_ROUND2.format("raw")} as weighted from cv_home""",
+    "speed_score": f"with {FACT}, {HOURS}, {CONSUMED}, {SPEED} select * from speed",
+    "coverage_score": f"with {FACT}, {HOURS}, {CONSUMED}, {COVERAGE} select * from coverage",
     "reliability_score": f"with {RELIABILITY} select * from reliability",
     "composite_score": _COMPOSITE,
     "composite_join": _COMPOSITE,
@@ -410,13 +416,20 @@ ORACLE: dict[str, str] = {
     "missing_days_shifted": _missing(1, 21),
     "missing_days_shifted_short": _missing(1, 20),
     "missing_days_table": _missing(0, 19),
-    "missing_days_business": _missing(1, 21, business=True),
+    "missing_days_business": _missing(1, 21, "business"),
     "rows_per_day": "select substr(cast(o_orderdate as varchar), 1, 10) as day, count(*) as row_count from orders group by 1",
     "latest_day_rowcount": """select substr(cast(o_orderdate as varchar), 1, 10) as day, count(*) as row_count
         from orders group by 1 order by 1 desc limit 1""",
     "distinct_days_topn": """select distinct substr(cast(o_orderdate as varchar), 1, 10) as day
         from orders order by 1 desc limit 20""",
     "listing_dates": f"with {FILES} select distinct name, entry, observed_date from dated",
+    "file_drop_dates": """select distinct 'in' || (user_id % 5) || '_' || kind as name,
+            kind || '_' || if(event_id % 2 = 0, strftime(ts, '%Y-%m-%d'), strftime(ts, '%Y%m%d')) || '.csv' as entry, cast(ts as date) as observed_date
+        from (select *, if(event_type = 'error', 'returns', 'sales') as kind from events) where event_id % 7 <> 0""",
+    "table_days": """select distinct 'orders' as name, cast(o_orderdate as date) as observed_date from orders
+        union select 'events', cast(ts as date) from events""",
+    "folder_listing": """select distinct 'events' as name, 'day=' || strftime(ts, '%Y-%m-%d') as entry, cast(ts as date) as observed_date
+        from events""",
     "latest_per_dataset": f"with {OBSERVED} select name, max(observed_date) as latest_date from obs group by name",
     "latest_file_drop": f"""with {FILES} select name, max(observed_date) as latest_date from dated
         where observed_date between date '2024-01-31' - 20 and date '2024-01-31' group by name""",
@@ -425,14 +438,22 @@ ORACLE: dict[str, str] = {
     "delay_days": f"""with {OBSERVED}, {REGISTRY} select name, expect_date, latest_date,
         cast(expect_date - latest_date as integer) as delayed_days
         from reg left join (select name, max(observed_date) as latest_date from obs group by name) using (name)""",
-    "freshness_report": f"""with {OBSERVED}, {REGISTRY}, {_gaps("gaps", "obs", 1, 21, True)}
+    "freshness_report": f"""with {OBSERVED}, {REGISTRY}, {_gaps("gaps", "obs", 1, 21, "business")}
         {_report("", "obs", "gaps")}""",
-    "freshness_report_paired": f"""with {OBSERVED}, {FILES}, {REGISTRY}, {_gaps("tgaps", "obs", 0, 19, True)},
-        {_gaps("fgaps", "dated", 1, 21, True)}
+    "freshness_report_paired": f"""with {OBSERVED}, {FILES}, {REGISTRY}, {_gaps("tgaps", "obs", 0, 19, "business")},
+        {_gaps("fgaps", "dated", 1, 21, "folder_business")}
         select * from ({_report("table_", "obs", "tgaps")}) join ({_report("folder_", "dated", "fgaps")}) using (name)""",
     "report_label": """select distinct cast(o_orderdate as date) as day,
         'Data availability Q' || ((month(o_orderdate) - 1) // 3 + 1) || ' ' || year(o_orderdate) as label from orders""",
     "multi_day_union": "select event_id, user_id, event_type, value from events",
+    "loader_union": """select c_custkey as k, c_name as name, null::integer as size, 'a' as source from customer
+        union all select p_partkey, null, p_size, 'b' from part""",
+    "positional_union": "select c_custkey as key, c_name as name from customer union all select p_partkey, p_name from part",
+    "full_overwrite": "select * from part",
+    "daily_feature_job": _JOB,
+    "publish_partitioned": f"with {_HALF_DAYS} select * from half",
+    "message_archive": f"select k, _corrupt_record from ({_DECODED})",
+    "whole_file_messages": "select cast(count(*) as integer) as k, null::varchar as _corrupt_record from customer group by c_nationkey",
     "dedup_rows": "select distinct user_id, event_type, cast(ts as date) as day from events",
     "wide_daily_features": _WIDE,
     "wide_daily_join": _WIDE,

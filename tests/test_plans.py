@@ -65,15 +65,71 @@ def test_staged_wifi_score_reads_the_fact_once(spark, fact):
     assert "record_count" not in plan(df) and "station_connection" not in plan(df)
 
 
+def test_percentiles_of_a_large_group(spark):
+    """Ten thousand values: approximate with the default accuracy, exact with more."""
+    from fleetlens.operators.grouping import percentiles
+
+    df = spark.range(0, 20_001, 1, 8).select((F.col("id") * 7919 % 20_001).alias("v"))
+    near, exact = df.agg(percentiles("v", 0.9)[0], percentiles("v", 0.9, accuracy=100_000)[0]).first()
+    assert exact == 18_000 and abs(near - 18_000) <= 3
+
+
 def test_correlation_is_one_pass(spark):
     df = features.correlation_matrix(A.table(spark, SF, "lineitem"), ["l_quantity", "l_tax", "l_discount"])
     assert (count(df, "FileScan"), count(df, "Exchange")) == (1, 1)
 
 
 def test_missing_days_shrinks_before_it_moves(spark):
-    df = freshness.missing_days(A.registry(spark, SF), A.observed_dates(spark, SF), A.AS_OF, (0, 20), max_delay=7)
+    df = freshness.missing_days(A.registry(spark, SF), A.observed_dates(spark, SF), A.AS_OF, (0, 20))
     assert "LeftAnti" in plan(df) and "CartesianProduct" not in plan(df)
-    assert re.search(r"Filter.*ts#", plan(df))
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)", plan(df))
+    assert any("GreaterThanOrEqual(ts" in p and "LessThan(ts" in p for p in pushed)
+
+
+def test_reports_read_recent_days_only(spark):
+    registry = A.registry(spark, SF).where("expect_delay = 0")
+    df = freshness.report(registry, A.observed_dates(spark, SF), A.AS_OF, (0, 5))
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)", plan(df))
+    assert any("GreaterThanOrEqual(ts" in p for p in pushed)
+
+
+def test_daily_features_push_their_days(spark):
+    written = stage(A.daily_features(spark, SF), "features")
+    df = features.daily_wide(written, "serial_num", "day", ["2024-01-03", "2024-01-04"], ["home_score"])
+    assert "GreaterThanOrEqual(day" in plan(df)
+
+
+def test_a_day_moves_once_for_its_copies_and_the_join(spark):
+    written = stage(A.daily_features(spark, SF), "features")
+    days = {d: written.where(F.col("day") == F.lit(d).cast("date")).drop("day") for d in ("2024-01-03", "2024-01-04")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = features.daily_wide_join(days, "serial_num", ["num_station", "poor_rssi", "poor_phyrate", "home_score"])
+        assert count(df, "Exchange") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_station_score_moves_no_raw_rows(spark):
+    history = A.station_history(spark, SF)
+    mobility = profile.stationarity(A.previous_day_history(spark, SF))
+    df = scores.station_score(profile.hourly_records(history), profile.device_signal(history), mobility)
+    text = plan(df)
+    moved = [re.search(r"Exchange.*\n[\s:+-]*(?:\*\(\d+\) )?(\w+)", part).group(1) for part in re.split(r"(?=[-+ ](?:Broadcast)?Exchange\b)", text)[1:]]
+    assert count(df, "FileScan") == 3 and "Window" not in text and "Scan" not in moved
+
+
+def test_hourly_fact_reads_the_history_twice(spark):
+    mobility = profile.stationarity(A.previous_day_history(spark, SF))
+    assert count(profile.hourly_fact(A.station_history(spark, SF), mobility), "FileScan") == 3
+
+
+def test_many_columns_correlate_in_one_small_aggregate(spark):
+    wide = spark.range(300).select(*[(F.col("id") * (k + 1) % 17).cast("double").alias(f"c{k}") for k in range(30)])
+    columns = wide.columns
+    out = features.correlation_matrix(wide, columns)
+    assert (count(out, "Exchange"), out.count()) == (1, 900)
+    assert out.where("col_a = 'c0' and col_b = 'c3'").first()["r"] == pytest.approx(wide.corr("c0", "c3"))
 
 
 def _history(spark, date, hour, macs, ts):
