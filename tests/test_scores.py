@@ -43,8 +43,7 @@ def history(spark, rows_, date="20250101", hour="05"):
 def test_same_as_naive(spark, name):
     mine, naive = QUERIES[name](spark, SF), NAIVE[name](spark, SF)
     if name == "station_score":
-        naive = naive.select("sn", "station_mac", "date", "hour", "variation_score", F.col("base").alias("base_score"))
-        mine = mine.select(naive.columns)
+        mine = mine.select(*scores.STATION, "variation_score", "base_score")
     naive = naive.select(mine.columns)
     assert rows([tuple(r) for r in mine.collect()], mine.columns) == rows([tuple(r) for r in naive.collect()], naive.columns)
 
