@@ -1,0 +1,14 @@
+"""Queries against their SQL."""
+
+import pytest
+from compare import SAME_TYPES, connect, difference
+
+from fleetlens.llm.queries import QUERIES, oracle_sql
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_same_rows(spark, name, monkeypatch):
+    monkeypatch.setitem(SAME_TYPES, "boolean", {"BOOLEAN"})
+    assert difference(QUERIES[name](spark, SF), connect(SF), oracle_sql()[name]) == []
