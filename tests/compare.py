@@ -14,6 +14,7 @@ SAME_TYPES = {
     "double": {"DOUBLE"},
     "string": {"VARCHAR"},
     "date": {"DATE"},
+    "boolean": {"BOOLEAN"},
     "decimal(38,0)": {"DECIMAL(38,0)"},
 }
 
