@@ -48,6 +48,25 @@ def test_same_as_naive(spark, name):
     assert rows([tuple(r) for r in mine.collect()], mine.columns) == rows([tuple(r) for r in naive.collect()], naive.columns)
 
 
+def test_records_are_dated_in_the_time_zone_of_the_session(spark):
+    from fleetlens.session import configure
+
+    rows_ = [("R-S1_0", "m", -50.0, 1735700400000, 1, 1)]  # 2025-01-01 03:00 UTC
+    try:
+        configure(spark, "America/New_York")
+        assert tuple(profile.hourly_records(history(spark, rows_)).select("date", "hour").first()) == ("20241231", "22")
+    finally:
+        configure(spark)
+    assert tuple(profile.hourly_records(history(spark, rows_)).select("date", "hour").first()) == ("20250101", "03")
+
+
+def test_fractions_of_airtime_count(spark):
+    radio = lambda text: [{"_2_4g": {"enable": "1", "airtime_util": text}}]
+    data = [("G-S1", radio("45.7"), "d", "h"), ("G-S1", radio("n/a"), "d", "h"), ("G-S2", radio("-0.5"), "d", "h"), ("G-S3", radio("101.2"), "d", "h")]
+    found = scores.reliability_score(spark.createDataFrame(data, schema.DEVICE_GROUPS)).collect()
+    assert {r["sn"]: r["p90_airtime_util_2_4g"] for r in found} == {"S1": 45, "S2": 0}
+
+
 # --- stationarity ------------------------------------------------------------
 
 
