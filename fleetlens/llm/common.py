@@ -6,7 +6,6 @@ rename it, so further columns never clash with their own.
 
 from __future__ import annotations
 
-import tempfile
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -14,6 +13,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,13 +37,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors, once per application, as their workers import it."""
     context, home = spark.sparkContext, Path(session.__file__).parent
-    name = f"{home.name}-{context.applicationId}.zip"
-    if not any(f.endswith(name) for f in context.listFiles):
-        path = Path(tempfile.mkdtemp(), name)
-        with zipfile.ZipFile(path, "w") as out:
-            for source in sorted(home.rglob("*.py")):
-                out.write(source, source.relative_to(home.parent))
-        context.addPyFile(str(path))
+    if any(f.endswith(".zip") and f"/{home.name}-code-" in f for f in context.listFiles):
+        return
+    path = session.scratch_path(spark, f"{home.name}-code") + ".zip"
+    store, place = fs.FileSystem.from_uri(path)
+    with store.open_output_stream(place, compression=None) as out, zipfile.ZipFile(out, "w") as archive:
+        for source in sorted(home.rglob("*.py")):
+            archive.write(source, source.relative_to(home.parent))
+    context.addPyFile(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -24,14 +24,14 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import record, stage
 
 #: Bytes of text in a block, and blocks per bucket of keys.
-BLOCK, BLOCKS_PER_BUCKET = 4 << 20, 8
+BLOCK, BLOCKS_PER_BUCKET = 4 << 20, 4
 
 Asked = tuple[np.ndarray, list[np.ndarray]]
 
 
 def configure(df: DataFrame) -> None:
     """Rows are large here, so few of them make a batch."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
 
 
 def planes(x: np.ndarray) -> bytes:

@@ -8,6 +8,9 @@ A, B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(int(STEP), -1, 1 << 64))
 
+#: Bytes that are hashed together.
+CHUNK = 1 << 17
+
 #: Bytes of a word, in UTF-8; bytes of other than ASCII characters belong to words in both.
 NOT_SPACE = np.array([b not in (0x20, *range(0x09, 0x0E)) for b in range(256)])
 ALPHANUMERIC = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
@@ -29,7 +32,7 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """STEP to the i-th power and its inverse, for i up to ``n``."""
     if len(_powers[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 2 * CHUNK)
         for k, base in enumerate((STEP, BACK)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -56,10 +59,16 @@ class Words:
         self.end = np.flatnonzero(member & (~after | edge[1:])) + 1
         self.doc = np.searchsorted(offsets, self.start, "right") - 1
         self.first = np.searchsorted(self.start, offsets)
-        up, down = powers(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(CODES[self.low] * up[:n], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        self.hash, i = np.empty(len(self.start), np.uint64), 0
+        while i < len(self.start):  # some words at a time
+            j = max(i + 1, int(np.searchsorted(self.end, self.start[i] + CHUNK, "right")))
+            a, b = self.start[i], self.end[j - 1]
+            up, down = powers(b - a + 1)
+            total = np.zeros(b - a + 1, np.uint64)
+            np.cumsum(CODES[self.low[a:b]] * up[: b - a], out=total[1:])
+            s, e = self.start[i:j] - a, self.end[i:j] - a
+            self.hash[i:j] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+            i = j
 
     def bytes_of(self, first: int, count: int) -> bytes:
         """The lowered words from number ``first``, joined by a space."""
