@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm import exchange
 from fleetlens.llm.common import components, few, flat, pieces, record, stage
-from fleetlens.llm.words import NOT_SPACE, Words, mix, runs
+from fleetlens.llm.words import NOT_SPACE, STEP, Words, mix, runs
 
-#: n-grams that the global order puts last, at most; it needs no exact counts.
-FREQUENT = 1 << 16
+#: Members of a list that are compared at once, and cells that a task compares.
+PART, CELLS = 512, 2000
 
 
 def shingle_sets(batch_text, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,62 +59,102 @@ def names_of(keys: np.ndarray, first: np.ndarray) -> list[bytes | None]:
     return [both[i].tobytes() if first[i + 1] > first[i] else None for i in range(len(first) - 1)]
 
 
-def frequent_grams(rows: DataFrame, n: int) -> np.ndarray:
-    """Hashes of frequent n-grams, the rarer ones first: what is common within pieces of text, counted together.
+def bitmap(keys: np.ndarray) -> bytes:
+    """Parity of the number of n-grams at each hash position, in about one bit for two n-grams."""
+    size = max(256, 1 << (max(1, len(keys) // 2) - 1).bit_length())
+    odd = np.bincount((keys & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
-    Only an order is made of them, which may be any; it keeps lists of a
-    prefix n-gram short.
-    """
-    schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
 
-    def count(batches) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            keys, first = shingle_sets(batch.column("text"), n)
-            found, times = np.unique(keys, return_counts=True)
-            often = times >= max(4, batch.num_rows // 100)
-            yield record(schema, found[often].view(np.int64), times[often])
+def apart(x: np.ndarray, y: np.ndarray) -> int:
+    """Least number of n-grams that only one of two sets has, by their bitmaps; the longer one is folded."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    return int(np.bitwise_count(np.bitwise_xor.reduce(y.reshape(-1, len(x)), 0) ^ x).sum())
 
-    sums = rows.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    top = sums.orderBy(F.desc("n"), "gram").limit(FREQUENT).toArrow()
-    return top.column("gram").to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
+def counted(rows: pa.RecordBatch, n: int) -> exchange.Asked:
+    """Distinct n-grams of a block, and how many of its texts hold each."""
+    keys, times = np.unique(shingle_sets(rows.column("text"), n)[0], return_counts=True)
+    return keys, [times]
 
-def signatures(rows: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_shingles``, ``node`` (name of the set), ``prefix``."""
-    shared = rows.sparkSession.sparkContext.broadcast(frequent)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    made = pa.schema([("n_shingles", pa.int64()), ("node", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
-    def sign(batches) -> Iterator[pa.RecordBatch]:
-        last = shared.value
-        by_hash = np.argsort(last)
-        for batch in pieces(batches, "text"):
-            keys, first = shingle_sets(batch.column("text"), n)
-            size = np.diff(first)
-            near = np.searchsorted(last, keys, sorter=by_hash)
-            rank = np.zeros(len(keys), np.int64)
-            if len(last):
-                place = by_hash[np.minimum(near, len(last) - 1)]
-                rank = np.where(last[place] == keys, place + 1, 0)
-            docs = np.repeat(np.arange(len(size)), size)
-            order = np.lexsort((keys, rank, docs))
-            length = np.where(size > 0, size - -(-size * percent // 100) + 1, 0)
-            inside = np.arange(len(keys)) - np.repeat(first[:-1], size) < np.repeat(length, size)
-            prefix = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(keys[order][inside].view(np.int64))
-            )
-            extra = record(made, size, names_of(keys, first), prefix)
-            own = ["doc_id", "text_hash"]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in own] + extra.columns, names=own + made.names)
-
-    return rows.mapInArrow(
-        sign, f"doc_id {kind}, text_hash long, n_shingles long, node binary, prefix array<long>"
+def signatures(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``node`` (name of the set), ``grp``, ``prefix``, ``bits``.
+
+    The global order of n-grams is by the number of texts that hold them, rare
+    ones first.  ``prefix`` has place and hash of the prefix n-grams that other texts hold
+    too; ``grp`` is equal for equal sizes and whole prefixes, up to a hash.
+    """
+    table = exchange.blocks(rows.withColumn("flag", F.lit(0)), "flag")
+    bits = exchange.bucket_bits(exchange.count_blocks(table))
+    answers = exchange.answer(exchange.ask(table, lambda r: counted(r, n), bits), [np.add], "shingle-counts")
+    posting = pa.struct([("pos", pa.int32()), ("gram", pa.int64())])
+    made = [
+        ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("grp", pa.int64()),
+        ("prefix", pa.list_(posting)), ("bits", pa.binary()),
+    ]
+    schema = pa.schema([rows.select("doc_id").limit(0).toArrow().schema.field(0), *made])
+
+    def sign(number: int, own: pa.RecordBatch, found: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys, first = shingle_sets(own.column("text"), n)
+        distinct, place = np.unique(keys, return_inverse=True)
+        texts = exchange.totals_of(found, 1)[0][place]
+        size = np.diff(first)
+        docs = np.repeat(np.arange(len(size)), size)
+        order = np.lexsort((keys, texts, docs))
+        length = np.where(size > 0, size - -(-size * percent // 100) + 1, 0)
+        nth = np.arange(len(keys)) - np.repeat(first[:-1], size)
+        inside = nth < np.repeat(length, size)
+        prefix, pos, texts, docs = keys[order][inside], nth[inside], texts[order][inside], docs[inside]
+        total = np.append(np.uint64(0), np.cumsum(mix(prefix + pos.astype(np.uint64) * STEP)))
+        ends = np.cumsum(length)
+        group = mix(total[ends] - total[ends - length] + size.astype(np.uint64) * STEP).view(np.int64)
+        shared = texts > 1
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.searchsorted(docs[shared], np.arange(len(size) + 1)), pa.int32()),
+            pa.StructArray.from_arrays(
+                [pa.array(pos[shared].astype(np.int32)), pa.array(prefix[shared].view(np.int64))], fields=list(posting)
+            ),
+        )
+        maps = [bitmap(keys[a:b]) for a, b in zip(first[:-1], first[1:])]
+        yield record(schema, own.column("doc_id"), own.column("text_hash"), size, names_of(keys, first), group, lists, maps)
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    columns = (
+        f"doc_id {kind}, text_hash long, n_shingles long, node binary, grp long, "
+        "prefix array<struct<pos: int, gram: long>>, bits binary"
     )
+    return exchange.meet(table, answers, sign, columns, schema)
+
+
+def verified(
+    pairs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, percent: int, name: str, sifted: bool = False
+) -> DataFrame:
+    """The pairs (``a``, ``b`` of classes) whose whole sets are similar enough.
+
+    Pairs that differ in more n-grams than similar sets can, by their bitmaps
+    already, are left out before whole sets are moved, unless that has been done.
+    """
+    held = classes.select("node", "n", "bits")
+    sides = [held.select(*[F.col(c).alias(f"{c}_{x}") for c in held.columns]) for x in "ab"]
+    both = pairs.join(sides[0], pairs["a"] == F.col("node_a")).join(sides[1], pairs["b"] == F.col("node_b"))
+    out = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
+    def chosen(batch: pa.RecordBatch, good: list[bool]) -> pa.RecordBatch:
+        keep = pa.array(good, pa.bool_())
+        return record(out, batch.column("a").filter(keep), batch.column("b").filter(keep))
 
-def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, percent: int, name: str) -> DataFrame:
-    """The pairs (``a``, ``b`` of classes) whose whole sets are similar enough."""
-    pairs = stage(pairs, f"{name}-pairs")
+    def sift(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            far = [
+                apart(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8))
+                for x, y in zip(batch.column("bits_a"), batch.column("bits_b"))
+            ]
+            yield chosen(batch, (np.array(far, np.int64) * (100 + percent) <= size * (100 - percent)).tolist())
+
+    both = both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    pairs = stage(pairs if sifted else both.mapInArrow(sift, "a binary, b binary"), f"{name}-pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = classes.join(nodes, "node", "left_semi").select("text_hash").distinct()
     schema = pa.schema([("node", pa.binary()), ("grams", pa.binary())])
@@ -130,7 +171,6 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, perc
     joined = pairs.join(one.select(F.col("node").alias("a"), F.col("grams").alias("left")), "a").join(
         one.select(F.col("node").alias("b"), F.col("grams").alias("right")), "b"
     )
-    out = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def compare(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,12 +182,84 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, perc
                 near[near == len(y)] = 0
                 common = int((y[near] == x).sum())
                 good.append(100 * common >= percent * (len(x) + len(y) - common))
-            keep = pa.array(good, pa.bool_())
-            yield record(out, batch.column("a").filter(keep), batch.column("b").filter(keep))
+            yield chosen(batch, good)
 
     return stage(joined.mapInArrow(compare, "a binary, b binary"), f"{name}-links")
 
 
+def close_pairs(spread: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (``a``, ``b``) of nodes of different ``root`` in one list that no filter tells apart.
+
+    ``spread`` has ``gram``, ``band``, ``pos``, ``node``, ``root``, ``n``, ``bits``; a list is a gram and a
+    size band, together with the next band.  Pairs are formed inside tasks, some thousands at a time,
+    and only those are returned that sizes, positions and bitmaps leave
+    over.  A long list is cut into parts, and each two of them meet in a cell of bounded size.
+    """
+    own = F.struct(F.col("band"), F.lit(False).alias("above"))
+    below = F.struct((F.col("band") - 1).alias("band"), F.lit(True).alias("above"))
+    listed = stage(
+        spread.withColumn("list", F.explode(F.array(own, below))).drop("band").select("*", "list.*").drop("list"), "spread"
+    )
+    lists = listed.groupBy("gram", "band").agg(
+        F.ceil(F.count("*") / float(PART)).cast("int").alias("parts"), F.min("root").alias("x"), F.max("root").alias("y")
+    )
+    lists = stage(lists.where("x <> y").select("gram", "band", "parts"), "lists")
+    dealt = listed.join(lists, ["gram", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    # Equal cells by chance do no harm: more is compared, and filters hold for any pair.
+    cell = F.xxhash64("gram", "band", F.least("part", "other"), F.greatest("part", "other"))
+    total = lists.agg(F.sum(F.col("parts") * F.col("parts"))).first()[0] or 0
+    buckets = max(1, int(total) // CELLS)
+    dealt = dealt.select(
+        F.pmod(cell, F.lit(buckets)).alias("bucket"), cell.alias("cell"), (F.col("part") < F.col("other")).alias("first"),
+        (F.col("part") == F.col("other")).alias("same"), "above", "pos", "n", "node", "root", "bits",
+    )
+    out = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(key, table):
+        cells, first, same, above, pos, n = (
+            table.column(c).to_numpy() for c in ("cell", "first", "same", "above", "pos", "n")
+        )
+        node, root = (np.array(table.column(c).to_pylist(), object) for c in ("node", "root"))
+        roots = np.unique(root, return_inverse=True)[1]
+        maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("bits")]
+        width = np.array([len(x) for x in maps])
+        order = np.argsort(cells, kind="stable")
+        ordered = cells[order]
+        end = np.searchsorted(ordered, ordered, "right")
+        following = end - np.arange(len(order)) - 1
+        reach, at, found = np.cumsum(following), 0, []
+        while at < len(order):
+            last = max(at + 1, int(np.searchsorted(reach, (reach[at - 1] if at else 0) + 500_000, "right")))
+            count = following[at:last]
+            i = np.repeat(np.arange(at, last), count)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+            i, j = order[i], order[j]
+            at = last
+            # Two parts meet once; two of the next band meet in its own list.
+            keep = (roots[i] != roots[j]) & ~(above[i] & above[j]) & (same[i] | (first[i] != first[j]))
+            keep &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            i, j = i[keep], j[keep]
+            most = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])
+            keep = most * (100 + percent) >= percent * (n[i] + n[j])
+            i, j = i[keep], j[keep]
+            least = np.minimum(width[i], width[j])
+            for w in np.unique(least):
+                x, y = i[least == w], j[least == w]
+                rows, place = np.unique(np.concatenate([x, y]), return_inverse=True)
+                folded = np.stack([np.bitwise_xor.reduce(maps[r].reshape(-1, w), 0) for r in rows])
+                apart_by = np.empty(len(x), np.int64)
+                for s in range(0, len(x), 100_000):
+                    part = slice(s, s + 100_000)
+                    apart_by[part] = np.bitwise_count(folded[place[: len(x)][part]] ^ folded[place[len(x) :][part]]).sum(1)
+                good = apart_by * (100 + percent) <= (n[x] + n[y]) * (100 - percent)
+                found += [(min(a, b), max(a, b)) for a, b in zip(node[x[good]], node[y[good]])]
+        pairs = sorted(set(found))
+        return pa.Table.from_batches([record(out, [a for a, _ in pairs], [b for _, b in pairs])])
+
+    return dealt.groupBy("bucket").applyInArrow(run, "a binary, b binary").distinct()
+
+
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``text_hash``, ``root`` for every row.
 
@@ -159,7 +271,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    signed = stage(signatures(rows, n, percent, frequent_grams(rows, n)), "signatures")
+    signed = stage(signatures(rows, n, percent), "signatures")
 
     classes = stage(
         signed.where("node is not null")
@@ -169,13 +281,13 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int
             F.min("text_hash").alias("text_hash"),
             F.min("n_shingles").alias("n"),
             F.min("prefix").alias("prefix"),
-        )
-        # Equal groups, up to a hash: members are compared in any case.
-        .withColumn("grp", F.xxhash64("n", "prefix")),
+            F.min("grp").alias("grp"),
+            F.min("bits").alias("bits"),
+        ),
         "classes",
     )
     groups = classes.groupBy("grp", "n").agg(F.min("node").alias("rep"), F.min("prefix").alias("prefix"))
-    postings = groups.select("grp", "n", F.posexplode("prefix").alias("pos", "gram"))
+    postings = groups.select("grp", "n", F.inline("prefix"))
     shared = postings.groupBy("gram").agg(F.count("*").alias("lists")).where("lists > 1").select("gram")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
     lists = stage(postings.join(shared, "gram").withColumn("band", band), "postings")
@@ -197,43 +309,18 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int
     stars = verified(firsts.union(inner).distinct(), classes, rows, n, percent, "star")
     roots = stage(components(stars, "star-components"), "star-roots")
 
-    # Then what is left: pairs within a list that lie in two components.
-    members = (
-        classes.join(roots, "node", "left")
-        .select("grp", "n", "node", F.coalesce("root", "node").alias("root"))
+    # Then what is left: pairs within a list that lie in two components, members of one group among them.
+    members = stage(
+        classes.join(roots, "node", "left").select("grp", "n", "node", "bits", F.coalesce("root", "node").alias("root")),
+        "members",
     )
-    members = stage(members, "members")
-    parts = members.groupBy("grp", "root").agg(F.count("*").alias("size"))
-    spread = lists.join(parts.select("grp", "root"), "grp")
-    mixed = spread.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("gram")
-    spread = stage(spread.join(mixed, "gram"), "spread")
-    left = spread.select("gram", "band", *[F.col(c).alias(f"{c}1") for c in ("grp", "n", "pos", "root")])
-    right = spread.select(
-        "gram",
-        F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"),
-        F.col("band").alias("own"),
-        *[F.col(c).alias(f"{c}2") for c in ("grp", "n", "pos", "root")],
-    )
-    least = F.ceil((F.col("n1") + F.col("n2")) * percent / (100.0 + percent) - 1e-9)
-    most = F.least("pos1", "pos2") + F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
-    rest = (
-        left.join(right, ["gram", "band"])
-        .where("root1 <> root2 and (own > band or (grp1, root1) < (grp2, root2))")
-        .where((100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & (most >= least))
-        .select("grp1", "root1", "grp2", "root2")
-        .distinct()
-    )
-    pairs = (
-        rest.join(members.select(F.col("grp").alias("grp1"), F.col("root").alias("root1"), F.col("node").alias("a")), ["grp1", "root1"])
-        .join(members.select(F.col("grp").alias("grp2"), F.col("root").alias("root2"), F.col("node").alias("b")), ["grp2", "root2"])
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    alike = members.groupBy("grp").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("grp")
+    carried = ["grp", "n", "node", "bits", "root"]
+    spread = lists.select("grp", "gram", "pos", "band").join(members, "grp").select("gram", "pos", "band", *carried)
+    spread = spread.unionByName(
+        members.join(alike, "grp").select(F.col("grp").alias("gram"), F.lit(0).alias("pos"), band.alias("band"), *carried)
     )
-    within = parts.groupBy("grp").agg(F.count("*").alias("roots")).where("roots > 1").select("grp")
-    own = members.join(within, "grp")
-    own = own.select("grp", F.col("node").alias("a"), F.col("root").alias("r1")).join(
-        own.select("grp", F.col("node").alias("b"), F.col("root").alias("r2")), "grp"
-    ).where("a < b and r1 <> r2").select("a", "b")
-    others = verified(pairs.union(own).distinct(), classes, rows, n, percent, "rest")
+    others = verified(close_pairs(spread.drop("grp"), percent), classes, rows, n, percent, "rest", sifted=True)
 
     final = components(stars.union(others), "components")
     low = classes.select("node", "low").join(final, "node").groupBy("root").agg(F.min("low").alias("component_id"))
@@ -241,7 +328,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int
     named = classes.select("node", "low").join(named, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "low").alias("low")
     )
-    return signed.drop("prefix").join(named, "node", "left").select(
+    return signed.drop("prefix", "bits", "grp").join(named, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id"), "text_hash", "root"
     )
 

@@ -60,10 +60,13 @@ def test_near_copies(spark, percent):
     check(spark, texts, percent)
 
 
-def test_many_near_copies(spark):
+@pytest.mark.parametrize("part", [8, 512])
+def test_many_near_copies(spark, part, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PART", part)
+    monkeypatch.setattr(ngram_join, "CELLS", 4 * part)
     r = random.Random(8)
     start = sentences(7, 1, 100, vocabulary=3000)[0]
-    check(spark, [changed(start, r, r.randint(0, 5)) for _ in range(150)] + sentences(8, 20, 100))
+    check(spark, [changed(start, r, r.randint(0, 5)) for _ in range(100)] + sentences(8, 20, 100))
 
 
 def test_links_at_the_threshold(spark):
