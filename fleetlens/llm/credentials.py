@@ -101,6 +101,12 @@ def ordered(spans: list[Span]) -> list[Span]:
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
+def found(text: str | None, reach: int = REACH) -> list[Span]:
+    """All secrets of a text, in order."""
+    strong = base_spans(text or "")
+    return ordered(strong + linked(text or "", strong, weak_spans(text or "", strong), reach))
+
+
 def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), reach: int = REACH) -> DataFrame:
     """The ``keep`` columns of every row with ``secrets``: array of (kind, start, end, linked).
 
@@ -114,17 +120,11 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "__text"):
-            found = []
-            for t in batch.column("__text").to_pylist():
-                strong = base_spans(t or "")
-                weak = linked(t or "", strong, weak_spans(t or "", strong), reach)
-                found.append(
-                    [
-                        {"kind": k, "start": s, "end": e, "linked": k in NEEDS}
-                        for s, e, k in ordered(strong + weak)
-                    ]
-                )
-            made = record(schema, found)
+            secrets = [
+                [{"kind": k, "start": s, "end": e, "linked": k in NEEDS} for s, e, k in found(t, reach)]
+                for t in batch.column("__text").to_pylist()
+            ]
+            made = record(schema, secrets)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep] + made.columns, names=[*keep, "secrets"]
             )
@@ -137,24 +137,23 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
 
 def redact(docs: DataFrame, text: str = "text", reach: int = REACH) -> DataFrame:
     """The same rows and columns, every stretch of ``text`` that secrets cover replaced by ``[kind]`` of its first."""
-    found = scan(docs, text, tuple(docs.columns), reach)
     schema = docs.schema
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [cleaned(t, x) for t, x in zip(batch.column(text).to_pylist(), batch.column("secrets").to_pylist())]
+        for batch in pieces(batches, text):
+            texts = [cleaned(t, found(t, reach)) for t in batch.column(text).to_pylist()]
             columns = [pa.array(texts, batch.column(c).type) if c == text else batch.column(c) for c in schema.names]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return found.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
-def cleaned(text: str | None, secrets: list[dict]) -> str | None:
+def cleaned(text: str | None, secrets: list[Span]) -> str | None:
     if not secrets:
         return text
     out, at = [], 0
-    for x in secrets:
-        if x["start"] >= at:
-            out += [text[at : x["start"]], f"[{x['kind']}]"]
-        at = max(at, x["end"])
+    for start, end, kind in secrets:
+        if start >= at:
+            out += [text[at:start], f"[{kind}]"]
+        at = max(at, end)
     return "".join(out) + text[at:]
