@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import record, stage
 
 #: Bytes of text in a block, and blocks per bucket of keys.
-BLOCK, BLOCKS_PER_BUCKET = 4 << 20, 4
+BLOCK, BLOCKS_PER_BUCKET = 2 << 20, 6
 
 Asked = tuple[np.ndarray, list[np.ndarray]]
 
