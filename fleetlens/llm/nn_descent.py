@@ -10,6 +10,7 @@ component grow to the component: it is compared in blocks.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm.common import components, record, stage
 
+log = logging.getLogger(__name__)
+
 #: Neighbours in a list at first and at most, directions that lists start from, rounds of refinement.
 NEIGHBOURS, MOST, DIRECTIONS, ROUNDS = 8, 64, 4, 6
 #: Nodes that are compared at once, and nodes per group when lists are merged.
@@ -195,6 +198,8 @@ def graph(vectors: DataFrame, nodes: int, threshold: float, k: int = NEIGHBOURS)
             lists = merged(lists.unionByName(refined(lists, vectors, nodes, k)), nodes, k, "lists")
         found = recall(lists, vectors, threshold, k)
         if found >= RECALL or k >= MOST:
+            if found < RECALL:
+                log.warning("lists of %d neighbours hold %.3f of the audited links", k, found)
             return lists, found, k
         k *= 2
 
