@@ -119,9 +119,11 @@ def test_station_score_moves_no_raw_rows(spark):
     assert count(df, "FileScan") == 3 and "Window" not in text and "Scan" not in moved
 
 
-def test_hourly_fact_reads_the_history_twice(spark):
+def test_hourly_fact_reads_and_moves_whole_rows_once(spark):
     mobility = profile.stationarity(A.previous_day_history(spark, SF))
-    assert count(profile.hourly_fact(A.station_history(spark, SF), mobility), "FileScan") == 3
+    text = plan(profile.hourly_fact(A.station_history(spark, SF), mobility))
+    wide = [x for x in re.findall(r"FileScan parquet \[(.*?)\]", text) if "l_extendedprice" in x]
+    assert text.count("FileScan") == 4 and len(wide) == 1
 
 
 def test_many_columns_correlate_in_one_small_aggregate(spark):
