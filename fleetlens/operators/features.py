@@ -78,12 +78,22 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for a, b in combinations_with_replacement(columns, 2)
     ]
     both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    spread = F.stddev_pop(F.when(both, F.col("x"))) * F.stddev_pop(F.when(both, F.col("y")))
     same = F.col("col_a") == F.col("col_b")
     half = (
         df.select(F.inline(F.array(*pairs)))
         .groupBy("col_a", "col_b")
-        .agg(F.corr("x", "y").alias("r"), F.count_if(both).alias("n"))
-        .withColumn("r", F.when(same & F.col("r").isNotNull(), F.lit(1.0)).otherwise(F.col("r")))
+        .agg(
+            spread.alias("spread"),
+            F.covar_pop("x", "y").alias("covar"),
+            F.count(F.when(both, F.col("x"))).alias("n"),
+        )
+        .select(
+            "col_a",
+            "col_b",
+            F.when(F.col("spread") > 0, F.when(same, F.lit(1.0)).otherwise(F.col("covar") / F.col("spread"))).alias("r"),
+            "n",
+        )
     )
     swapped = F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r", "n")
     cells = F.array(F.struct("col_a", "col_b", "r", "n"), swapped)
