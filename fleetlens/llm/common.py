@@ -51,9 +51,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and continue from the written table."""
-    return session.stage(df, name)
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write once to the shared folder, with the writer's ``options``, and continue from the written table."""
+    path = session.scratch_path(df.sparkSession, name)
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def few(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

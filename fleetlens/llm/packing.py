@@ -174,7 +174,7 @@ def pack(pieces_table: DataFrame, capacity: int = CAPACITY, group: int = GROUP)
     Pieces are dealt into groups of about ``group`` rests by ``unit``, and each group is
     packed in one task; full pieces are sequences by themselves.
     """
-    table = stage(pieces_table, "pieces")
+    table = stage(pieces_table, "pieces", compression="zstd")  # ids have many zero bytes
     rests = table.where(F.col("length") < capacity).count()
     groups = max(1, -(-rests // group))
     fields = [f for f in table.schema.fields if f.name != "unit"]
