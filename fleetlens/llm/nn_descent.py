@@ -3,9 +3,10 @@
 Equal vectors are one node.  Lists of neighbours start from vectors that lie next
 to each other along random directions, and improve by comparing the neighbours of
 each node with one another.  Recall is audited against brute force on a few nodes, and
-lists grow until it suffices.  Edges over the threshold make components; nodes
-whose lists are full of them cannot name all their links, so lists within a
-component grow to the component: it is compared in blocks.
+lists grow until it suffices.  Edges over the threshold make components.  Nodes
+whose lists are full of such edges cannot name all their links, so they look for
+neighbours in other components, again and again, until no list is full of links;
+within a component all are compared in blocks.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ log = logging.getLogger(__name__)
 NEIGHBOURS, MOST, DIRECTIONS, ROUNDS = 8, 64, 4, 6
 #: Nodes that are compared at once, and nodes per group when lists are merged.
 BLOCK, GROUP = 512, 4096
+#: Nodes, about, that stand for a component when directions are to show others next to it.
+THIN = 16
 #: Nodes of the audit, and the recall it asks for.
 AUDIT, RECALL = 256, 0.95
 
@@ -59,12 +62,14 @@ def best(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, k: int) -> tuple[np
     return node[rank < k], nbr[rank < k], sim[rank < k]
 
 
-def top(sim: np.ndarray, ids: np.ndarray, k: int, columns: np.ndarray | None = None) -> tuple:
-    """Edges to the ``k`` most similar columns of each row of a block of cosines."""
-    columns = ids if columns is None else columns
-    k = min(k + 1, len(columns))
+def top(x: np.ndarray, ids: np.ndarray, roots: np.ndarray, k: int) -> tuple:
+    """Edges to the ``k`` most similar vectors of other roots, for each vector of a block."""
+    sim = np.where(roots[:, None] == roots[None, :], -np.inf, x @ x.T)
+    k = min(k, len(ids))
     at = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-    return np.repeat(ids, k), columns[at].ravel(), np.take_along_axis(sim, at, 1).ravel()
+    node, nbr, sim = np.repeat(ids, k), ids[at].ravel(), np.take_along_axis(sim, at, 1).ravel()
+    other = sim > -np.inf
+    return node[other], nbr[other], sim[other]
 
 
 def merged(edges: DataFrame, nodes: int, k: int, name: str) -> DataFrame:
@@ -89,17 +94,17 @@ def neighbours_along(vectors: DataFrame, nodes: int, k: int, seed: int) -> DataF
             axes = np.random.default_rng([seed, x.shape[1]]).standard_normal((x.shape[1], 13))
             y = x @ axes
             signs = (y[:, 1:] > 0) @ (1 << np.arange(12))
+            place = pa.array(signs + 0.5 + np.arctan(y[:, 0]) / np.pi)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("vector"), pa.array(signs + 0.5 + np.arctan(y[:, 0]) / np.pi)],
-                names=["node", "vector", "place"],
+                [*(batch.column(c) for c in ("node", "vector", "root")), place], names=["node", "vector", "root", "place"]
             )
 
     def compare(batches) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
 
         def edges(table: pa.Table) -> pa.RecordBatch:
-            ids, x = table.column("node").to_numpy(), matrix(table.column("vector"))
-            return record(EDGES, *best(*top(x @ x.T, ids, k), k))
+            ids, roots, x = table.column("node").to_numpy(), table.column("root").to_numpy(), matrix(table.column("vector"))
+            return record(EDGES, *best(*top(x, ids, roots, k), k))
 
         for batch in batches:
             waiting.append(batch)
@@ -114,7 +119,7 @@ def neighbours_along(vectors: DataFrame, nodes: int, k: int, seed: int) -> DataF
             yield edges(pa.Table.from_batches(waiting).combine_chunks())
 
     kind = vectors.schema["vector"].dataType.simpleString()
-    placed = vectors.select("node", "vector").mapInArrow(project, f"node long, vector {kind}, place double")
+    placed = vectors.select("node", "vector", "root").mapInArrow(project, f"node long, vector {kind}, root long, place double")
     # A node id settles equal places, so the order is the same in every run.
     return placed.repartitionByRange(partitions, "place", "node").sortWithinPartitions("place", "node").mapInArrow(
         compare, EDGES_SQL
@@ -122,7 +127,7 @@ def neighbours_along(vectors: DataFrame, nodes: int, k: int, seed: int) -> DataF
 
 
 def refined(lists: DataFrame, vectors: DataFrame, nodes: int, k: int) -> DataFrame:
-    """Candidate edges between neighbours (either way) of each node, with the vectors joined to them.
+    """Candidate edges between neighbours (either way) of each node, with the vectors and roots joined to them.
 
     A node that very many others name meets them in parts of bounded size, so no
     node is a task of its own.
@@ -131,25 +136,25 @@ def refined(lists: DataFrame, vectors: DataFrame, nodes: int, k: int) -> DataFra
     both = both.distinct()
     parts = both.groupBy("node").agg(F.ceil(F.count("*") / (8.0 * k)).cast("long").alias("parts"))
     dealt = both.join(parts, "node").select("node", F.pmod(F.xxhash64("nbr"), "parts").alias("part"), "nbr")
-    carried = dealt.join(vectors.select(F.col("node").alias("nbr"), "vector"), "nbr")
+    carried = dealt.join(vectors.select(F.col("node").alias("nbr"), "vector", "root"), "nbr")
     groups = max(1, -(-nodes // (GROUP // 4)))
     carried = carried.withColumn("grp", F.pmod(F.xxhash64("node", "part"), F.lit(groups)))
 
     def run(key, table):
-        node, part, nbr = (table.column(c).to_numpy() for c in ("node", "part", "nbr"))
+        node, part, nbr, root = (table.column(c).to_numpy() for c in ("node", "part", "nbr", "root"))
         x = matrix(table.column("vector"))
         order = np.lexsort((nbr, part, node))
-        node, part, nbr, x = node[order], part[order], nbr[order], x[order]
+        node, part, nbr, root, x = node[order], part[order], nbr[order], root[order], x[order]
         first = np.flatnonzero(np.append(True, (node[1:] != node[:-1]) | (part[1:] != part[:-1])))
         found = []
         for a, b in zip(first, np.append(first[1:], len(node))):
             if b - a > 1:
-                found.append(top(x[a:b] @ x[a:b].T, nbr[a:b], k))
+                found.append(top(x[a:b], nbr[a:b], root[a:b], k))
         if not found:
             return pa.Table.from_batches([], schema=EDGES)
         return pa.Table.from_batches([record(EDGES, *best(*map(np.concatenate, zip(*found)), k))])
 
-    return carried.select("grp", "node", "part", "nbr", "vector").groupBy("grp").applyInArrow(run, EDGES_SQL)
+    return carried.select("grp", "node", "part", "nbr", "vector", "root").groupBy("grp").applyInArrow(run, EDGES_SQL)
 
 
 def recall(lists: DataFrame, vectors: DataFrame, threshold: float, k: int, audit: int = AUDIT) -> float:
@@ -180,22 +185,43 @@ def recall(lists: DataFrame, vectors: DataFrame, threshold: float, k: int, audit
     return float(sums[1] / sums[0]) if sums[0] else 1.0
 
 
+def descend(
+    vectors: DataFrame, nodes: int, threshold: float, k: int, seed: int, guide: DataFrame | None = None
+) -> DataFrame:
+    """Lists of at most ``k`` neighbours of other roots (``vectors`` has ``node``, ``vector``, ``root``).
+
+    With a ``guide`` (more edges), its neighbours are compared with those of the lists too, and lists start
+    from a few nodes of each root besides, so that a large component does not hide its surroundings.
+    """
+    tables = [(vectors, nodes)]
+    if guide is not None:
+        sizes = vectors.groupBy("root").agg(F.ceil(F.count("*") / float(THIN)).cast("long").alias("every"))
+        few = vectors.join(sizes, "root").where(F.pmod(F.xxhash64("node", F.lit(seed)), "every") == 0)
+        few = stage(few.select("node", "vector", "root"), "few")
+        tables.append((few, few.count()))
+    starts = None
+    for table, count in tables:
+        for direction in range(DIRECTIONS):
+            own = neighbours_along(table, count, k, seed + direction)
+            starts = own if starts is None else starts.unionByName(own)
+    lists = merged(starts, nodes, k, "lists")
+    before = None
+    for _ in range(ROUNDS):
+        close = lists.agg(F.count("*"), F.sum(F.round("sim", 6)), F.sum((F.col("sim") >= threshold).cast("long"))).first()
+        # Settled when lists are hardly better than the last time and no link is new.
+        if before and close[2] == before[2] and (close[1] or 0) - (before[1] or 0) <= 1e-3 * max(1, close[0]):
+            break
+        before = close
+        wide = lists if guide is None else lists.unionByName(guide)
+        lists = merged(lists.unionByName(refined(wide, vectors, nodes, k)), nodes, k, "lists")
+    return lists
+
+
 def graph(vectors: DataFrame, nodes: int, threshold: float, k: int = NEIGHBOURS) -> tuple[DataFrame, float, int]:
     """Neighbour lists, their audited recall, and the length they grew to."""
+    alone = vectors.select("node", "vector", F.col("node").alias("root"))
     while True:
-        starts = None
-        for seed in range(DIRECTIONS):
-            own = neighbours_along(vectors, nodes, k, seed + 1000 * k)
-            starts = own if starts is None else starts.unionByName(own)
-        lists = merged(starts, nodes, k, "lists")
-        before = None
-        for _ in range(ROUNDS):
-            close = lists.agg(F.count("*"), F.sum(F.round("sim", 6)), F.sum((F.col("sim") >= threshold).cast("long"))).first()
-            # Settled when lists are hardly better than the last time and no link is new.
-            if before and close[2] == before[2] and (close[1] or 0) - (before[1] or 0) <= 1e-3 * max(1, close[0]):
-                break
-            before = close
-            lists = merged(lists.unionByName(refined(lists, vectors, nodes, k)), nodes, k, "lists")
+        lists = descend(alone, nodes, threshold, k, 1000 * k)
         found = recall(lists, vectors, threshold, k)
         if found >= RECALL or k >= MOST:
             if found < RECALL:
@@ -204,6 +230,39 @@ def graph(vectors: DataFrame, nodes: int, threshold: float, k: int = NEIGHBOURS)
         k *= 2
 
 
+def rejoined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (``node``, ``root``) once the components that ``links`` (``node``, ``nbr``) touch are one."""
+    sides = [roots.select(F.col("node").alias(c), F.col("root").alias(r)) for c, r in (("node", "a"), ("nbr", "b"))]
+    pairs = links.select("node", "nbr").join(sides[0], "node").join(sides[1], "nbr").select("a", "b")
+    joint = components(pairs, "vector-components").select(F.col("node").alias("old"), F.col("root").alias("new"))
+    found = roots.join(joint, roots["root"] == joint["old"], "left")
+    return stage(found.select("node", F.coalesce("new", "root").alias("root")), "vector-roots")
+
+
+def bridged(lists: DataFrame, roots: DataFrame, vectors: DataFrame, threshold: float, k: int) -> DataFrame:
+    """``roots`` with the links that ``lists`` of ``k`` had no room for, as far as they join components.
+
+    A link is in neither end's list only if both lists are full of links.  Such nodes
+    get lists of neighbours in other components instead, until none of these is full
+    of links: each turn joins components, so the turns end.
+    """
+    guide, turn = None, 0
+    while True:
+        links = lists.where(F.col("sim") >= threshold)
+        full = links.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") >= k).select("node")
+        held = stage(vectors.select("node", "vector").join(full, "node").join(roots, "node"), "full")
+        low, high, nodes = held.agg(F.min("root"), F.max("root"), F.count("*")).first()
+        if low == high:
+            return roots
+        turn += 1
+        guide = links if guide is None else guide.unionByName(links)
+        lists = descend(held, nodes, threshold, k, 1000 * k + 10 * turn, guide)
+        links = lists.where(F.col("sim") >= threshold)
+        if links.isEmpty():
+            return roots
+        roots = rejoined(roots, links)
+
+
 def linked_within(groups: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """``node``, ``links`` of every node of ``groups`` (``node``, ``root``): all in its component that are close enough.
 
@@ -267,9 +326,10 @@ def near(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", thr
     results = []
     for length in [r[0] for r in nodes.select(F.size("vector")).distinct().collect()]:
         own = nodes.where(F.size("vector") == length)
-        lists, _, _ = graph(own, own.count(), threshold)
-        links = lists.where(F.col("sim") >= threshold).select(F.col("node").alias("a"), F.col("nbr").alias("b"))
-        groups = stage(components(links, "vector-components"), "vector-roots")
+        lists, _, k = graph(own, own.count(), threshold)
+        roots = rejoined(own.select("node", F.col("node").alias("root")), lists.where(F.col("sim") >= threshold))
+        roots = bridged(lists, roots, own, threshold, k)
+        groups = roots.join(roots.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root"), "root")
         counted = linked_within(groups, own, threshold)
         low = groups.join(own.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("c"))
         found = groups.join(low, "root").join(counted, "node", "left").select("node", "c", "links")

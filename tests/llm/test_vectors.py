@@ -79,6 +79,30 @@ def test_audit_sees_missing_links(spark):
     assert nn_descent.recall(lists.where("node % 4 > 1"), vectors, 0.95, 8) < 0.8
 
 
+def nested(seed, groups, of, dimensions=64):
+    """Pairs of tight groups: cosines are about 0.999 inside a group and 0.96 between the two."""
+    r = np.random.default_rng(seed)
+    found = []
+    for _ in range(groups):
+        a, b = np.linalg.qr(r.standard_normal((dimensions, 2)))[0].T
+        for c in (a, 0.962 * a + np.sqrt(1 - 0.962**2) * b):
+            found += [c + 0.003 * r.standard_normal(dimensions) for _ in range(of)]
+    return found
+
+
+def test_full_lists_hide_no_links(spark):
+    vectors = nested(3, 3, 20) + nested(4, 1, 700) + clusters(5, [1] * 300, 64)
+    table = nn_descent.stage(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "node long, vector array<double>"), "v")
+    lists, _, k = nn_descent.graph(table, len(vectors), 0.95)
+    alone = table.select("node", nn_descent.F.col("node").alias("root"))
+    roots = nn_descent.rejoined(alone, lists.where("sim >= 0.95"))
+    whole = {r.node: r.root for r in nn_descent.bridged(lists, roots, table, 0.95, k).collect()}
+    truth = expected(vectors)
+    assert whole == {i: root for i, (_, root) in truth.items()}
+    found = nn_descent.near(frame(spark, vectors)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == truth
+
+
 def test_vectors_of_the_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = {r.vec_id: r.embedding for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()}
