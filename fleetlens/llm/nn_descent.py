@@ -2,17 +2,19 @@
 
 Equal vectors are one node.  Lists of neighbours start from vectors that lie next
 to each other along random directions, and improve by comparing the neighbours of
-each node with one another.  Recall is audited against brute force on a few nodes, and
-lists grow until it suffices.  Edges over the threshold make components.  Nodes
+each node with one another.  Lists grow while they lack links of a few nodes that they
+have room for.  Edges over the threshold make components.  Nodes
 whose lists are full of such edges cannot name all their links, so they look for
 neighbours in other components, again and again, until no list is full of links;
-within a component all are compared in blocks.
+within a component all are compared in blocks.  The result is audited: nodes are compared
+with all vectors until enough of them have links, or all have been compared.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +33,22 @@ BLOCK, GROUP = 512, 4096
 THIN = 16
 #: Nodes of the audit, and the recall it asks for.
 AUDIT, RECALL = 256, 0.95
+#: Nodes with links that the audit of the result has to see, and the most nodes it compares in one pass.
+LINKED, PASS = 64, 4096
 
 EDGES = pa.schema([("node", pa.int64()), ("nbr", pa.int64()), ("sim", pa.float64())])
 EDGES_SQL = "node long, nbr long, sim double"
+SEEN = pa.schema([("node", pa.int64()), ("nbr", pa.int64()), ("n", pa.int64()), ("got", pa.int64())])
+
+
+class Audit(NamedTuple):
+    """Share of the true links that were found (the lower of that of all links and the mean of nodes), the links and
+    nodes with links it is from, and whether all nodes were compared: then the result is exact."""
+
+    share: float
+    links: int
+    nodes: int
+    whole: bool
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -263,6 +278,80 @@ def bridged(lists: DataFrame, roots: DataFrame, vectors: DataFrame, threshold: f
         roots = rejoined(roots, links)
 
 
+def audited(roots: DataFrame, vectors: DataFrame, nodes: int, threshold: float, at: int) -> tuple[Audit, DataFrame, int]:
+    """Audit of ``roots`` by nodes not compared so far, the links that it saw missing, and where to go on.
+
+    Nodes are dealt into slices of about ``AUDIT`` by a hash; those before ``at`` are left out.  Slices
+    are compared with all vectors, each pass more of them, until ``LINKED`` nodes had links.  A
+    link counts as found if its ends are in one component, where all are compared.
+    """
+    slices = max(1, -(-nodes // AUDIT))
+    table = stage(vectors.select("node", "vector").join(roots, "node"), "audit")
+    number = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(slices))
+    found, width, sums, links, share = None, 1, (0, 0, 0, 0.0), 0, 1.0
+    while at < slices and sums[0] < LINKED:
+        chosen = table.where((number >= at) & (number < at + width)).toArrow()
+        at, width = min(slices, at + width), min(4 * width, max(1, PASS // AUDIT))
+        if not chosen.num_rows:
+            continue
+        shared = vectors.sparkSession.sparkContext.broadcast(
+            (chosen.column("node").to_numpy(), chosen.column("root").to_numpy(), matrix(chosen.column("vector")))
+        )
+
+        def brute(batches, shared=shared) -> Iterator[pa.RecordBatch]:
+            ids, root, x = shared.value
+            n, got = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+            for batch in batches:
+                other, other_root = batch.column("node").to_numpy(), batch.column("root").to_numpy()
+                close = x @ matrix(batch.column("vector")).T >= threshold
+                close &= ids[:, None] != other[None, :]
+                i, j = np.nonzero(close)
+                same = root[i] == other_root[j]
+                n += np.bincount(i, minlength=len(ids))
+                got += np.bincount(i[same], minlength=len(ids))
+                none = np.zeros((~same).sum(), np.int64)
+                yield record(SEEN, ids[i[~same]], other[j[~same]], none, none)
+            some = np.flatnonzero(n)
+            yield record(SEEN, ids[some], pa.nulls(len(some), pa.int64()), n[some], got[some])
+
+        seen = stage(table.mapInArrow(brute, "node long, nbr long, n long, got long"), "audit-links")
+        found = seen if found is None else found.unionByName(seen)
+        own = seen.groupBy("node").agg(F.sum("n").alias("n"), F.sum("got").alias("got"))
+        own = own.agg(F.count("*"), F.sum("n"), F.sum("got"), F.sum(F.col("got") / F.col("n"))).first()
+        sums = tuple(x + (y or 0) for x, y in zip(sums, own))
+        shared.unpersist()
+    if sums[0]:
+        share = float(min(sums[2] / sums[1], sums[3] / sums[0]))
+    missing = vectors.select("node", F.col("node").alias("nbr")).where("false") if found is None else found.where("nbr is not null")
+    return Audit(share, int(sums[1]), int(sums[0]), at >= slices), missing.select("node", "nbr"), at
+
+
+def joined(vectors: DataFrame, nodes: int, threshold: float) -> tuple[DataFrame, Audit]:
+    """``node``, ``root`` (its component) for all ``vectors`` (``node``, ``vector``), and the audit that it passed.
+
+    After an audit that falls short, the search goes on from what is known, by other directions and longer
+    lists, and other nodes audit it.  Links that an audit saw missing are kept.  Raises
+    ``RuntimeError`` if the longest lists fall short as well.
+    """
+    lists, _, k = graph(vectors, nodes, threshold)
+    roots = rejoined(vectors.select("node", F.col("node").alias("root")), lists.where(F.col("sim") >= threshold))
+    at = 0
+    while True:
+        roots = bridged(lists, roots, vectors, threshold, k)
+        audit, missing, at = audited(roots, vectors, nodes, threshold, at)
+        log.info("lists of %d neighbours: %s", k, audit)
+        if not missing.isEmpty():
+            roots = rejoined(roots, missing)
+        if audit.share >= RECALL or audit.whole:
+            return roots, audit
+        if k >= MOST:
+            raise RuntimeError(f"lists of {k} neighbours lead to {audit.share:.3f} of {audit.links} audited links")
+        k *= 2
+        held = stage(vectors.select("node", "vector").join(roots, "node"), "again")
+        lists = descend(held, nodes, threshold, k, 1000 * k + 500, lists)
+        roots = rejoined(roots, lists.where(F.col("sim") >= threshold))
+
+
 def linked_within(groups: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """``node``, ``links`` of every node of ``groups`` (``node``, ``root``): all in its component that are close enough.
 
@@ -301,7 +390,14 @@ def linked_within(groups: DataFrame, vectors: DataFrame, threshold: float) -> Da
 
 
 def near(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95) -> DataFrame:
-    """``vec_id``, ``n_links``, ``component_id`` for every row.
+    """The table of ``near_audited``; no result if an audit is not passed."""
+    return near_audited(rows, vec_id, vector, threshold)[0]
+
+
+def near_audited(
+    rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95
+) -> tuple[DataFrame, dict[int, Audit]]:
+    """``vec_id``, ``n_links``, ``component_id`` for every row, and by length of vectors the audit of the result.
 
     Two rows link when the cosine of their vectors is at least ``threshold``.  Vectors that
     are null, empty, zero, or hold null or non-finite numbers link with nothing, and so do vectors of
@@ -323,12 +419,10 @@ def near(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", thr
         F.min("vec_id").alias("low"), F.count("*").alias("times"), F.first("vector").alias("vector")
     )
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    results = []
+    results, audits = [], {}
     for length in [r[0] for r in nodes.select(F.size("vector")).distinct().collect()]:
         own = nodes.where(F.size("vector") == length)
-        lists, _, k = graph(own, own.count(), threshold)
-        roots = rejoined(own.select("node", F.col("node").alias("root")), lists.where(F.col("sim") >= threshold))
-        roots = bridged(lists, roots, own, threshold, k)
+        roots, audits[length] = joined(own, own.count(), threshold)
         groups = roots.join(roots.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root"), "root")
         counted = linked_within(groups, own, threshold)
         low = groups.join(own.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("c"))
@@ -342,6 +436,7 @@ def near(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", thr
     else:
         named = named.withColumn("c", F.lit(None).cast("long")).withColumn("links", F.lit(None).cast("long"))
     named = named.select("name", F.coalesce("c", "low").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n"))
-    return base.drop("vector").join(named, "name", "left").select(
+    found = base.drop("vector").join(named, "name", "left").select(
         "vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id")
     )
+    return found, audits

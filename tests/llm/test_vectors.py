@@ -103,6 +103,28 @@ def test_full_lists_hide_no_links(spark):
     assert {r.vec_id: (r.n_links, r.component_id) for r in found} == truth
 
 
+def no_edges(vectors, *_):
+    return vectors.select("node", nn_descent.F.col("node").alias("nbr"), nn_descent.F.lit(0.0).alias("sim")).where("false")
+
+
+def test_few_links_are_audited_too(spark, monkeypatch):
+    vectors = clusters(6, [1] * 1500 + [2], 64)
+    monkeypatch.setattr(nn_descent, "neighbours_along", no_edges)  # a search that finds nothing
+    found = nn_descent.near(frame(spark, vectors)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == expected(vectors)
+
+
+def test_missed_audit_is_no_result(spark, monkeypatch):
+    vectors = clusters(7, [2] * 200, 64)
+    monkeypatch.setattr(nn_descent, "AUDIT", 16)
+    monkeypatch.setattr(nn_descent, "LINKED", 4)
+    assert nn_descent.near_audited(frame(spark, vectors))[1][64].share >= nn_descent.RECALL
+    monkeypatch.setattr(nn_descent, "MOST", 8)
+    monkeypatch.setattr(nn_descent, "neighbours_along", no_edges)
+    with pytest.raises(RuntimeError):
+        nn_descent.near(frame(spark, vectors))
+
+
 def test_vectors_of_the_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = {r.vec_id: r.embedding for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()}
