@@ -171,12 +171,12 @@ def assign(sizes: np.ndarray, capacity: int) -> np.ndarray:
 def pack(pieces_table: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """``pieces_table`` with ``sequence_id`` and ``offset`` in place of ``unit``.
 
-    Pieces are dealt into groups of about ``group`` rests by ``unit``, and each group is
-    packed in one task; full pieces are sequences by themselves.
+    Full pieces are sequences by themselves, numbered where they lie.  Rests are dealt into groups
+    of about ``group`` by ``unit``, and each group is packed in one task.
     """
     table = stage(pieces_table, "pieces", compression="zstd")  # ids have many zero bytes
-    rests = table.where(F.col("length") < capacity).count()
-    groups = max(1, -(-rests // group))
+    rests = table.where(F.col("length") < capacity)
+    groups = max(1, -(-rests.count() // group))
     fields = [f for f in table.schema.fields if f.name != "unit"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", sequence_id long, offset long"
 
@@ -185,8 +185,7 @@ def pack(pieces_table: DataFrame, capacity: int = CAPACITY, group: int = GROUP)
         # A fixed order, whatever order the rows came in.
         order = np.lexsort((batch.column("unit").to_numpy(), -sizes))
         sizes = sizes[order]
-        full = int((sizes >= capacity).sum())
-        window = np.concatenate([np.arange(full), full + assign(sizes[full:], capacity)])
+        window = assign(sizes, capacity)
         by_window = np.argsort(window, kind="stable")
         sizes, window = sizes[by_window], window[by_window]
         ends = np.cumsum(sizes)
@@ -196,5 +195,8 @@ def pack(pieces_table: DataFrame, capacity: int = CAPACITY, group: int = GROUP)
         base = key[0].as_py() << 31
         return made.append_column("sequence_id", pa.array(base + window)).append_column("offset", pa.array(offset))
 
-    dealt = table.withColumn("group", F.pmod("unit", F.lit(groups)))
-    return dealt.groupBy("group").applyInArrow(lambda key, t: run(key, t.drop(["group"])), schema)
+    dealt = rests.withColumn("group", F.pmod("unit", F.lit(groups)))
+    packed = dealt.groupBy("group").applyInArrow(lambda key, t: run(key, t.drop(["group"])), schema)
+    number = F.monotonically_increasing_id() + F.lit(groups << 31)  # above those of the groups
+    full = table.where(F.col("length") >= capacity).withColumn("sequence_id", number)
+    return full.withColumn("offset", F.lit(0).cast("long")).select(packed.columns).unionByName(packed)

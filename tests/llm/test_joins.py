@@ -130,6 +130,18 @@ def test_packing_of_the_table(spark):
     assert total / (2048 * len(by)) > 0.97
 
 
+def test_full_pieces_stay_where_they_lie(spark):
+    rows = [(i, s, n, 0, 8 * 2048 + 9, i * 10 + s // 2048) for i in range(40) for s, n in packing.cut(8 * 2048 + 9, 2048, 512)]
+    table = spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, unit long")
+    found = packing.pack(table.repartition(4)).withColumn("task", packing.F.spark_partition_id()).collect()
+    full = [r for r in found if r.length == 2048]
+    assert len(full) == 320 == len({r.sequence_id for r in full}) and {r.offset for r in full} == {0}
+    assert len({r.task for r in full}) > 1  # there is but one group of rests
+    assert {r.task for r in full}.isdisjoint({r.task for r in found if r.length < 2048})
+    windows(found, 2048)
+    assert sorted((r.doc_id, r.start, r.length) for r in found) == sorted(r[:3] for r in rows)
+
+
 def test_packing_of_nothing(spark):
     assert packing.pack(packing.tokenize(docs(spark, []), VOCABULARY, RANKS)).collect() == []
 
