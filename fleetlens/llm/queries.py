@@ -93,8 +93,8 @@ def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.tokenize(table(spark, sf_dir, "documents"), VOCABULARY, RANKS, with_ids=False)
-    return packing.pack(pieces)
+    packed = packing.pack(packing.tokenize(table(spark, sf_dir, "documents"), VOCABULARY, RANKS))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 @query

@@ -130,6 +130,18 @@ def test_packing_of_the_table(spark):
     assert total / (2048 * len(by)) > 0.97
 
 
+def test_packed_ids_are_what_the_query_sums(spark, monkeypatch):
+    own = packing.pack
+    reverse = packing.F.reverse(packing.F.hex("ids"))
+    monkeypatch.setattr(packing, "pack", lambda t: own(t).withColumn("ids", packing.F.unhex(reverse)))
+    changed_ids = {(r.doc_id, r.start): r.ids_crc32 for r in QUERIES["op7_packing"](spark, SF).collect()}
+    monkeypatch.setattr(packing, "pack", own)
+    found = {(r.doc_id, r.start): r.ids_crc32 for r in QUERIES["op7_packing"](spark, SF).collect()}
+    assert found.keys() == changed_ids.keys() and found != changed_ids
+    pieces = packing.tokenize(spark.read.parquet(f"{SF}/documents.parquet"), VOCABULARY, RANKS, with_ids=False).collect()
+    assert found == {(r.doc_id, r.start): r.ids_crc32 for r in pieces}
+
+
 def test_full_pieces_stay_where_they_lie(spark):
     rows = [(i, s, n, 0, 8 * 2048 + 9, i * 10 + s // 2048) for i in range(40) for s, n in packing.cut(8 * 2048 + 9, 2048, 512)]
     table = spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, unit long")
