@@ -2,9 +2,9 @@
 
 Suffixes are kept only where a word n-gram is the smallest (by hash) among some in
 a row, so the same passage keeps the same suffixes wherever it stands.  Kept
-suffixes are sorted by the hash of their first words, and equal neighbours are
-common to several documents.  From there matches are extended left and right to
-the length asked for: every run of that many words through a common suffix is compared in turn.
+suffixes are counted by the hash of their first words, not ordered by words: those counted
+twice are common to several documents.  Every run of the length asked for through
+a common suffix is then counted by its hash in turn.
 """
 
 from __future__ import annotations
