@@ -16,7 +16,7 @@ from fleetlens.llm.queries import RANKS, VOCABULARY
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps texts whose language is recognized; null, letterless and undecided ones go."""
+    """Keeps texts that are given a language; null and letterless ones go, and all if no language is known."""
     configure(spark)
     return langid.recognized(docs, langid.fit(docs))
 

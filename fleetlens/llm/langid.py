@@ -132,8 +132,8 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     return rows.mapInArrow(score, f"doc_id {kind}, lang_pred string, score double")
 
 
-def recognized(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows and columns of ``docs`` whose language is told with a score of at least ``least``."""
+def recognized(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows and columns of ``docs`` that ``predict`` gives a language, whatever its score."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
     found = predict(whole, model, "row", "text")
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("doc_id.*")
+    return found.where(F.col("lang_pred") != UNKNOWN).select("doc_id.*")

@@ -8,7 +8,7 @@ from helpers import changed, components, docs, sentences
 from test_filters import base, occurrences
 from test_joins import similar, windows
 
-from fleetlens.llm import ngram_join
+from fleetlens.llm import langid, ngram_join
 from fleetlens.llm.common import configure
 
 SF = "/root/testdata/sf0.001"
@@ -31,6 +31,14 @@ def test_one_row_of_each_component_stays(spark):
     assert [(x.doc_id, x.text) for x in found] == [*zip(range(5), texts[:5]), (10, None), (10, None), (11, "")]
 
 
+def test_short_clean_texts_have_a_language(spark):
+    texts = ["abcde fghij", "klmno pqrst", "uvwxy zuvwx", "Ωδη", None, "", "12 !"]
+    frame = docs(spark, texts, langs=["a", "b", "c", "a", "a", "a", "a"])
+    model = langid.fit(frame.where("doc_id < 3"))
+    assert {r.doc_id: r.score for r in langid.predict(frame, model).collect()}[3] < 0.5
+    assert sorted(r.doc_id for r in langid.recognized(frame, model).collect()) == [0, 1, 2, 3]
+
+
 def test_every_stage_takes_awkward_rows(spark):
     texts = [None, "", "...", "a", "the house " * 3000, "user: bob", *sentences(4, 4), None]
     frame = docs(spark, texts, ids=[None, 1, 1, *range(3, len(texts))])
