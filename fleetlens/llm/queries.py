@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import credentials, decontaminate, langid, lm, ngram_join, nn_descent, packing, quality, suffixes, warc
+from fleetlens.llm import credentials, decontaminate, edit_embedding, langid, lm, ngram_join, nn_descent, packing, quality, suffixes, warc
 from fleetlens.llm.common import crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,16 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = edit_embedding.neighbours(table(spark, sf_dir, "documents"))
+    text = edit_embedding.text_of
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", text("fingerprint").alias("fingerprint"),
+        text("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     from fleetlens.llm.oracle import ORACLE
 
