@@ -12,6 +12,7 @@ def _words(column: str, pattern: str) -> str:
 
 
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _NOT_SPACE = r"[^\x20\x09-\x0D]+"
 
 #: Links between documents, then the smallest document that they lead to.
@@ -23,6 +24,31 @@ reach AS (
 )
 """
 
+
+
+def _rounds(count: int) -> str:
+    """Parts assigned to the nearest entries, and entries moved to the mean of their parts, ``count`` times over."""
+    steps = []
+    for k in range(count + 1):
+        steps.append(f"""near{k} AS (
+  SELECT id, part, p, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+  FROM (
+    SELECT parts.id, part, parts.p, entry, list_sum(list_transform(list_zip(parts.p, e), lambda x: (x[1] - x[2]) ** 2))::BIGINT AS d
+    FROM parts JOIN book{k} USING (part)
+  ) GROUP BY ALL
+)""")
+        if k < count:
+            steps.append(f"""sums{k} AS (
+  SELECT part, entry, pos, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT part, entry, unnest(p) AS x, unnest(range(len(p))) AS pos FROM near{k}) GROUP BY ALL
+), means{k} AS (
+  SELECT part, entry, list(floor(s::DOUBLE / n)::BIGINT ORDER BY pos) AS e FROM sums{k} GROUP BY ALL
+), book{k + 1} AS (
+  SELECT part, entry, coalesce(means{k}.e, book{k}.e) AS e FROM book{k} LEFT JOIN means{k} USING (part, entry)
+)""")
+    return ", ".join(steps)
+
+
 ORACLE = {
     "op2_decontaminate": f"""
 WITH items AS (
@@ -117,5 +143,46 @@ WITH docs AS (
 )
 SELECT doc_id, min(k)::BIGINT AS "start", (max(k) + 50)::BIGINT AS "end", max(n)::BIGINT AS n_docs, min(low) AS first_doc
 FROM runs GROUP BY doc_id, run
+""",
+    "op12_ranked_search": rf"""
+WITH d AS (
+  SELECT doc_id, unnest({_words("text", _TERM)}) AS term FROM documents
+), held AS (
+  SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL
+), sizes AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM held GROUP BY doc_id
+), whole AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM sizes
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, whole GROUP BY term, docs
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_words("text", _TERM)}) AS term FROM benchmark) GROUP BY ALL
+), scores AS (
+  SELECT item_id, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN sizes USING (doc_id), whole GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+""",
+    "op13_vector_codes": f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v,
+    row_number() OVER (ORDER BY vec_id) - 1 AS id
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT id, part, list_slice(v, part * len(v) // 4 + 1, (part + 1) * len(v) // 4) AS p
+  FROM kept, (SELECT unnest(range(4)) AS part)
+), book0 AS (
+  SELECT part, id AS entry, p AS e FROM parts WHERE id < 256
+), {_rounds(4)}, digest AS (
+  SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(e) AS x, unnest(range(len(e))) AS pos FROM book4)
+), coded AS (
+  SELECT id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near4 GROUP BY id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (id), digest
 """,
 }

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import credentials, decontaminate, edit_embedding, langid, lm, ngram_join, nn_descent, packing, quality, suffixes, warc
+from fleetlens.llm import credentials, decontaminate, edit_embedding, langid, lm, ngram_join, nn_descent, packing, quality, ranked_search, suffixes, vector_codes, warc
 from fleetlens.llm.common import crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +125,21 @@ def op11_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.codes(table(spark, sf_dir, "embeddings"))
+    digest = hashlib.sha256(",".join(str(x) for book in books for entry in book.tolist() for x in entry).encode()).hexdigest()
+    digits = F.transform("code", lambda x: F.lpad(F.lower(F.hex(x)), 2, "0"))
+    return vector_codes.with_label_errors(coded).select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256")
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     from fleetlens.llm.oracle import ORACLE
 
