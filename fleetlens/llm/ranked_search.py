@@ -277,18 +277,22 @@ def ranked(rows: DataFrame, block: list, doc_type: pa.Field, kind: str, top: int
         return run
 
     result = f"query int, doc {kind}, score long"
-    # The longest vectors, in one task, give every query a score that its tenth best has at least.
-    longest = measured.orderBy(F.desc("length")).limit(FIRST).drop("length")
-    first = longest.mapInArrow(scan(np.zeros(len(block))), result).toArrow()
-    number, score = first.column("query").to_numpy(), first.column("score").to_numpy()
-    least = np.zeros(len(block), np.int64)
-    for k in range(len(block)):
-        own = np.sort(score[number == k])[::-1]
-        least[k] = own[top - 1] if len(own) >= top else 0
-    ordered = measured.repartitionByRange(F.desc("length")).sortWithinPartitions(F.desc("length")).drop("length")
-    scored = ordered.mapInArrow(scan(least), result)
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("doc").asc_nulls_last())
-    scored = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+    def leading(scored: DataFrame) -> DataFrame:
+        return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+    # Some thousand longest vectors, where they lie, give every query a score that its tenth best has at least.
+    shortest = measured.select("length").orderBy(F.desc("length")).limit(FIRST).agg(F.min("length")).first()[0]
+    longest = measured.where(F.col("length") >= F.lit(shortest)).drop("length")
+    tenth = leading(longest.mapInArrow(scan(np.zeros(len(block))), result)).where(F.col("rank") == top)
+    least = np.zeros(len(block), np.int64)
+    for row in tenth.select("query", "score").collect():
+        least[row.query] = row.score
+    # Equal lengths (of copies, say) may lie in several ranges.
+    by_length = [F.desc("length"), F.xxhash64("doc", F.monotonically_increasing_id())]
+    ordered = measured.repartitionByRange(*by_length).sortWithinPartitions(F.desc("length")).drop("length")
+    scored = leading(ordered.mapInArrow(scan(least), result))
     names = spark.createDataFrame(
         [(k, r.item) for k, r in enumerate(block)], f"query int, item {item_field.dataType.simpleString()}"
     )
