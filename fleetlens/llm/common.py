@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -23,6 +24,8 @@ from fleetlens import session
 BROADCAST_ROWS = 500_000
 #: Bytes of text that a task looks at together.
 PIECE_BYTES = 1 << 20
+#: Paths of the tables that are staged, in order.
+_staged: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -55,9 +58,21 @@ def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write once to the shared folder, with the writer's ``options``, and continue from the written table."""
     path = session.scratch_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables that are staged inside are deleted at the end; what is made of them has to be written by then."""
+    before = len(_staged)
+    yield
+    for path in _staged[before:]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    del _staged[before:]
+
+
 def few(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, to be broadcast if it is counted to have at most ``limit`` rows."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

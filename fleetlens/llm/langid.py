@@ -132,8 +132,16 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     return rows.mapInArrow(score, f"doc_id {kind}, lang_pred string, score double")
 
 
-def recognized(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows and columns of ``docs`` that ``predict`` gives a language, whatever its score."""
+def recognized(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows and columns of ``docs`` whose text has a letter, ``lang`` being the predicted language, whatever its score.
+
+    A model that knows no language rejects the same rows and leaves ``lang`` as it is.
+    """
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
-    found = predict(whole, model, "row", "text")
-    return found.where(F.col("lang_pred") != UNKNOWN).select("doc_id.*")
+    if not model.langs:
+        return whole.where(F.col("text").rlike(r"\p{L}")).select("row.*")
+    found = predict(whole, model, "row", "text").where(F.col("lang_pred") != UNKNOWN)
+    kind = docs.schema[lang].dataType
+    return found.select(
+        *[F.col("lang_pred").cast(kind).alias(c) if c == lang else F.col(f"doc_id.`{c}`") for c in docs.columns]
+    )

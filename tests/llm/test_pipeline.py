@@ -39,6 +39,27 @@ def test_short_clean_texts_have_a_language(spark):
     assert sorted(r.doc_id for r in langid.recognized(frame, model).collect()) == [0, 1, 2, 3]
 
 
+def test_language_stage_uses_its_model(spark):
+    texts = ["abab baba abba", "cdcd dcdc cddc"] * 6 + ["abba abab", "dccd cdcd", "...", None]
+    labels = ["a", "c"] * 6 + [None, "a", "c", "a"]
+    found = corpus_pipeline.language(spark, docs(spark, texts, langs=labels), SF)
+    assert {r.doc_id: r.lang for r in found.collect()} == {i: "ac"[i % 2] for i in range(14)}
+    unknown = corpus_pipeline.language(spark, docs(spark, texts, langs=[None] * 16), SF)
+    assert {r.doc_id: r.lang for r in unknown.collect()} == dict.fromkeys(range(14))
+
+
+def test_staged_tables_go(spark):
+    from fleetlens.llm.common import stage, temporary
+
+    frame = stage(docs(spark, ["a"]), "kept")
+    with temporary(spark):
+        lost = stage(docs(spark, ["b"]), "lost")
+        assert lost.count() == 1
+    assert frame.count() == 1
+    with pytest.raises(Exception, match="does not exist|FILE_NOT_EXIST|PATH_NOT_FOUND"):
+        lost.count()
+
+
 def test_every_stage_takes_awkward_rows(spark):
     texts = [None, "", "...", "a", "the house " * 3000, "user: bob", *sentences(4, 4), None]
     frame = docs(spark, texts, ids=[None, 1, 1, *range(3, len(texts))])
