@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm import credentials, decontaminate, langid, ngram_join, packing
-from fleetlens.llm.common import configure, stage, table
+from fleetlens.llm.common import configure, table, temporary
 from fleetlens.llm.queries import RANKS, VOCABULARY
+from fleetlens.session import stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps texts that are given a language; null and letterless ones go, and all if no language is known."""
+    """Keeps texts that are given a language, which becomes their ``lang``; null and letterless ones go."""
     configure(spark)
     return langid.recognized(docs, langid.fit(docs))
 
@@ -60,5 +61,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name)
+        with temporary(spark):
+            docs = stage(function(spark, docs, sf_dir), name)
     return docs
