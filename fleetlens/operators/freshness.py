@@ -7,7 +7,7 @@ expected day of a dataset is ``as_of - expect_delay``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -107,6 +107,23 @@ def _open_day(day: Column, excluded: Sequence[str]) -> Column:
     return workday & ~day.isin([F.lit(d).cast("date") for d in excluded]) if excluded else workday
 
 
+def _calendar(column: str) -> Column:
+    """A dataset without a calendar is expected daily."""
+    return F.coalesce(F.col(column), F.lit("daily"))
+
+
+def probed_days(as_of: Column | str, span: tuple[int, int], calendar_column: str, excluded: Sequence[str] = ()) -> Column:
+    """The days to probe of a dataset, newest first."""
+    first, last = span
+    days = F.reverse(F.sequence(F.date_sub(_expected(as_of), last), F.date_sub(_expected(as_of), first)))
+    workdays = F.filter(days, lambda d: _open_day(d, excluded))
+    return F.when(_calendar(calendar_column) == "business", workdays).otherwise(days)
+
+
+def delayed_days(as_of: Column | str) -> Column:
+    return F.datediff(_expected(as_of), "latest_date")
+
+
 def calendar(registry: DataFrame, as_of: Column | str, span: tuple[int, int], excluded: Sequence[str] = ()) -> DataFrame:
     """``(name, day)`` to probe; business calendars leave out weekends and ``excluded`` days."""
     first, last = span
@@ -115,7 +132,7 @@ def calendar(registry: DataFrame, as_of: Column | str, span: tuple[int, int], ex
         "calendar",
         F.explode(F.sequence(F.date_sub(_expected(as_of), last), F.date_sub(_expected(as_of), first))).alias("day"),
     )
-    probed = (F.col("calendar") != "business") | _open_day(F.col("day"), excluded)
+    probed = (_calendar("calendar") != "business") | _open_day(F.col("day"), excluded)
     return days.where(probed).select("name", "day")
 
 
@@ -160,7 +177,6 @@ def report(
     A dataset never seen stays in the report, with null latest day and delay and
     every probed day missing.
     """
-    first, last = span
     bounds = probed_span(registry, as_of, span)
     day = F.col("observed_date")
     recent = observed.where(day >= bounds[0]) if bounds else observed.limit(0)
@@ -173,14 +189,11 @@ def report(
         older = observed.where(day < bounds[0]).join(unseen, "name", "left_semi")
         older = older.groupBy("name").agg(F.max("observed_date").alias("latest_date"))
         seen = seen.unionByName(older, allowMissingColumns=True)
-    probed = F.reverse(F.sequence(F.date_sub(_expected(as_of), last), F.date_sub(_expected(as_of), first)))
-    probed = F.when(
-        F.col(calendar_column) == "business", F.filter(probed, lambda d: _open_day(d, excluded))
-    ).otherwise(probed)
+    probed = probed_days(as_of, span, calendar_column, excluded)
     return registry.join(seen, "name", "left").select(
         "name",
         "latest_date",
-        F.datediff(_expected(as_of), "latest_date").alias("delayed_days"),
+        delayed_days(as_of).alias("delayed_days"),
         F.array_except(probed, F.coalesce("days", F.array().cast("array<date>"))).alias("miss_days"),
     )
 
@@ -195,14 +208,16 @@ def paired_report(
     excluded: Sequence[str] = (),
     table_calendar: str = "calendar",
     folder_calendar: str = "calendar",
+    one: Callable[..., DataFrame] = report,
 ) -> DataFrame:
     """The reports on a dataset's table and on its folder side by side.
 
-    ``table_calendar`` and ``folder_calendar`` name the registry column that holds the calendar of that side.
+    ``table_calendar`` and ``folder_calendar`` name the registry column that holds the calendar of that side;
+    ``one`` makes the report of a side from its observations (``daymaps.report`` from its maps).
     """
     sides = {"table": (table_days, table_span, table_calendar), "folder": (folder_days, folder_span, folder_calendar)}
     table, folder = (
-        report(registry, days, as_of, span, excluded, column).withColumnsRenamed(
+        one(registry, days, as_of, span, excluded, column).withColumnsRenamed(
             {c: f"{side}_{c}" for c in ("latest_date", "delayed_days", "miss_days")}
         )
         for side, (days, span, column) in sides.items()

@@ -20,6 +20,12 @@ MIN_RECORDS = 9
 # Sub-groups a group is cut into before its parts are brought together, unless told otherwise.
 CUTS = 64
 
+# Rows of a group that one task may hold, unless told otherwise.
+LARGE = 1_000_000
+
+# Ranges that the values of a group are ranked in, unless told otherwise.
+RANGES = 64
+
 # Accuracy of percentiles, unless told otherwise: groups of up to half as many values are exact.
 ACCURACY = 10_000
 
@@ -46,12 +52,47 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
     return df.join(right, on, how).drop(*[f"__{k}" for k in keys])
 
 
+def large_groups(df: DataFrame, group: Column, large: int) -> dict[int, int]:
+    """Groups (by the hash ``group``) that may have more than ``large`` rows, and in how many cuts they fall apart.
+
+    From one frequent-items sketch of at most 4,096 groups, which may overestimate a
+    group; one of more than ``large`` rows is missed only in a table of over 2,000 such groups, where no
+    single one weighs much.  A table of no more than ``large`` rows is not looked at.
+    """
+    if df.limit(large + 1).count() <= large:
+        return {}
+    found = df.select(group.alias("g")).agg(F.expr("approx_top_k(g, 2048, 4096)").alias("top")).first()["top"]
+    return {x["item"]: -(-x["count"] // large) for x in found if x["count"] > large}
+
+
 def group_record_count(df: DataFrame, keys: Sequence[str], name: str = "record_count") -> DataFrame:
-    """Every row with the size of its group."""
+    """Every row with the size of its group, by a join; ``df`` is computed twice, a stage or a scan say."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     return attach(df, sizes, keys, "inner")
 
 
+def record_count_by_cuts(df: DataFrame, keys: Sequence[str], name: str = "record_count", large: int = LARGE) -> DataFrame:
+    """The same for rows that are costly to compute, which are moved once.
+
+  Groups of more than ``large`` rows, found by a sketch of the keys, are cut into
+    several tasks and get their size from a count of their own.
+    """
+    group = F.xxhash64(*keys)
+    cuts = large_groups(df, group, large)
+    rows = df.withColumn("__group", group)
+    if not cuts:
+        sizes = F.count(F.lit(1)).over(Window.partitionBy("__group", *keys))
+        return rows.repartition("__group").withColumn(name, sizes).drop("__group")
+    many = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
+    cut = F.coalesce(F.pmod(F.monotonically_increasing_id(), F.try_element_at(many, F.col("__group"))), F.lit(0))
+    rows = rows.withColumn("__cut", cut).repartition("__group", "__cut")
+    rows = rows.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy("__group", "__cut", *keys)))
+    is_large = F.col("__group").isin(list(cuts))
+    own = df.withColumn("__group", group).where(is_large).groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
+    whole = attach(rows, F.broadcast(own), keys)  # no more rows than the sketch has groups, or hashes that meet
+    return whole.withColumn(name, F.coalesce("__size", name)).drop("__group", "__cut", "__size")
+
+
 def gated(df: DataFrame, keys: Sequence[str], *aggs: Column, min_records: int = MIN_RECORDS) -> DataFrame:
     """Aggregate the groups that have at least ``min_records`` rows."""
     return (
@@ -62,15 +103,29 @@ def gated(df: DataFrame, keys: Sequence[str], *aggs: Column, min_records: int =
     )
 
 
-def rank_within(df: DataFrame, keys: Sequence[str], order: str, width: float, name: str) -> DataFrame:
+def range_bounds(values: DataFrame, keys: Sequence[str], order: str, ranges: int, accuracy: int = ACCURACY) -> DataFrame:
+    """``keys`` and ``__bounds``: the values that cut the rows of each group into ``ranges`` of about equal size."""
+    cuts = [k / ranges for k in range(1, ranges)]
+    return values.groupBy(*keys).agg(F.array_distinct(percentiles(order, *cuts, accuracy=accuracy)).alias("__bounds"))
+
+
+def rank_within(
+    df: DataFrame, keys: Sequence[str], order: str, width: float | None, name: str, ranges: int = RANGES, accuracy: int = ACCURACY
+) -> DataFrame:
     """``rank()`` by ``order`` descending within ``keys``: ties share a rank, nulls come last.
 
-    Equal values are counted map-side, the distinct values are ranked inside
-    value ranges of ``width``, and the sizes of the higher ranges are added.  No
-    task sees more of a group than the distinct values of one range.
+    Equal values are counted map-side, the distinct values are ranked inside value ranges, and the sizes of
+    the higher ranges are added.  Ranges have the given ``width``, or without one hold about equally many
+    distinct values: their bounds come from a quantile sketch of the group, so however values are
+    spread, no task sees more of a group than about one ``ranges``-th (and 1 / ``accuracy`` more).
     """
-    bucket = F.floor(F.col(order) / F.lit(width)).alias("__bucket")
-    values = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("__n")).select("*", bucket)
+    values = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("__n"))
+    if width is not None:
+        values = values.withColumn("__bucket", F.floor(F.col(order) / F.lit(width)))
+    else:
+        values = attach(values, range_bounds(values, keys, order, ranges, accuracy), keys, "inner")
+        above = F.size(F.filter("__bounds", lambda b: b <= F.col(order)))
+        values = values.withColumn("__bucket", F.when(F.col(order).isNotNull(), above)).drop("__bounds")
 
     above_in_bucket = (
         Window.partitionBy(*keys, "__bucket").orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1)

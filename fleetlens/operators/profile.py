@@ -37,9 +37,7 @@ def stationarity(history: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
     ``p10 - 2 * (p90 - p10)``; the label depends on the group alone, so a station
     keeps its label exactly if its strongest signal is no outlier.
     """
-    p3, p10, p50, p90 = (F.col("p")[i] for i in range(4))
-    fence = F.least(p10 - 2 * (p90 - p10), p3)
-    return (
+    return mobility_label(
         fields_of(history, "station_mac", "signal_strength")
         .where(F.col("signal_strength").isNotNull())
         .groupBy(clean.serial("rowkey").alias("sn"), "station_mac")
@@ -47,15 +45,17 @@ def stationarity(history: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
             percentiles("signal_strength", 0.03, 0.1, 0.5, 0.9, accuracy=accuracy).alias("p"),
             F.max("signal_strength").alias("strongest"),
         )
-        .where(F.col("strongest") > fence)
-        .select(
-            "sn",
-            "station_mac",
-            F.when(p90 - p50 <= STATIONARY_SPREAD, "Stationary").otherwise("Non-stationary").alias("mobility_status"),
-        )
     )
 
 
+def mobility_label(stations: DataFrame) -> DataFrame:
+    """The label from ``p``, the percentiles 3, 10, 50 and 90 of a station's signal, and ``strongest``."""
+    p3, p10, p50, p90 = (F.col("p")[i] for i in range(4))
+    fence = F.least(p10 - 2 * (p90 - p10), p3)
+    label = F.when(p90 - p50 <= STATIONARY_SPREAD, "Stationary").otherwise("Non-stationary")
+    return stations.where(F.col("strongest") > fence).select("sn", "station_mac", label.alias("mobility_status"))
+
+
 def hourly_records(history: DataFrame) -> DataFrame:
     """Raw history rows, flattened to the needed fields, parsed and renamed."""
     flat = fields_of(

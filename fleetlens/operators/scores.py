@@ -239,7 +239,7 @@ def consumption_rank(
 ) -> DataFrame:
     """Stations with their bytes and their rank in the home, heaviest first, unknown last."""
     joined = stage(stations.join(consumption, STATION, "left"), "ranked_stations")
-    return rank_within(joined, HOME, "total_bytes", max_bytes / 4096, "rank_per_sn")
+    return rank_within(joined, HOME, "total_bytes", None, "rank_per_sn")
 
 
 # --- speed and coverage ------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fleetlens import adapters as A
 from fleetlens.functions import clean, scoring
-from fleetlens.operators import features, freshness, grouping, profile, scores
+from fleetlens.operators import daymaps, features, freshness, grouping, profile, scores, sketches
 from fleetlens.plans.daily import wide_features
 from fleetlens.session import configure, scratch_path, stage
 from fleetlens.sinks import files as sinks
@@ -144,7 +144,7 @@ def mean_present(spark, sf):
 @query
 def group_record_count(spark, sf):
     rows = records(spark, sf).select(*scores.STATION, "band", "rssi", "phy_rate")
-    return grouping.group_record_count(rows, scores.STATION)
+    return grouping.record_count_by_cuts(rows, scores.STATION)
 
 
 @query
@@ -158,6 +158,22 @@ def stationarity(spark, sf):
     return mobility(spark, sf)
 
 
+@query
+def stationarity_merged(spark, sf):
+    """The label from the stored sketches of the day's hours; raw rows are read once, to make them."""
+    hours = stage(sketches.station_hours(A.previous_day_history(spark, sf)), "sketches")
+    return sketches.stationarity(hours)
+
+
+@query
+def hourly_fact_merged(spark, sf):
+    """The fact with device signals and stations from stored sketches of its hours."""
+    history = A.nested_history(spark, sf)
+    hours = stage(sketches.station_hours(history), "sketches")
+    day_before = stage(sketches.station_hours(A.previous_day_history(spark, sf)), "sketches")
+    return sketches.hourly_fact(history, hours, sketches.stationarity(day_before))
+
+
 @query
 def hourly_fact(spark, sf):
     return profile.hourly_fact(A.nested_history(spark, sf), mobility(spark, sf))
@@ -368,6 +384,40 @@ def freshness_report_paired(spark, sf):
     ))
 
 
+#: The day up to which the kept maps were made; later observations are merged into them.
+_KEPT = "2024-01-20"
+
+
+def _kept_maps(spark, observed: DataFrame) -> DataFrame:
+    """Maps of an earlier run, brought up to date by one scan of what came after it."""
+    path, late = scratch_path(spark, "day_maps"), F.col("observed_date") > F.lit(_KEPT).cast("date")
+    daymaps.update(path, observed.where(~late))
+    return daymaps.update(path, observed.where(late))
+
+
+@query
+def freshness_report_maps(spark, sf):
+    registry, observed = _checked(spark, sf)
+    maps = _kept_maps(spark, observed)
+    return _as_text(daymaps.report(registry, maps, A.AS_OF, freshness.window("folder"), A.EXCLUDED_DAYS))
+
+
+@query
+def freshness_report_paired_maps(spark, sf):
+    registry, observed = _checked(spark, sf)
+    folder = freshness.days_in_names(A.file_names(spark, sf))
+    return _as_text(freshness.paired_report(
+        registry, _kept_maps(spark, observed), _kept_maps(spark, folder), A.AS_OF, excluded=A.EXCLUDED_DAYS,
+        folder_calendar="folder_calendar", one=daymaps.report,
+    ))
+
+
+@query
+def missing_days_maps(spark, sf):
+    registry, observed = _checked(spark, sf)
+    return daymaps.missing(registry, _kept_maps(spark, observed), A.AS_OF, freshness.window("folder"), A.EXCLUDED_DAYS)
+
+
 @query
 def report_label(spark, sf):
     days = A.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()

@@ -44,6 +44,18 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def replace(df: DataFrame, path: str) -> None:
+    """Replace a table that ``df`` may read itself; the old one keeps its name until the new one is complete."""
+    spark, (folder, name) = df.sparkSession, path.rstrip("/").rsplit("/", 1)
+    growing, old = f"{folder}/_growing_{name}", f"{folder}/_old_{name}"
+    df.write.mode("overwrite").parquet(growing)
+    delete(spark, old)
+    if exists(spark, path):
+        rename(spark, path, old)
+    rename(spark, growing, path)
+    delete(spark, old)
+
+
 def overwrite_partitions(
     df: DataFrame, path: str, keys: Sequence[str] = ("date", "hour"), rebalance: bool = True
 ) -> None:

@@ -473,3 +473,12 @@ ORACLE: dict[str, str] = {
     "message_decode": _DECODED,
     "message_stream": _DECODED,
 }
+
+# The same results by other means.
+ORACLE |= {
+    "stationarity_merged": ORACLE["stationarity"],
+    "hourly_fact_merged": ORACLE["hourly_fact"],
+    "freshness_report_maps": ORACLE["freshness_report"],
+    "freshness_report_paired_maps": ORACLE["freshness_report_paired"],
+    "missing_days_maps": ORACLE["missing_days_business"],
+}
