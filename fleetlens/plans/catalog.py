@@ -15,8 +15,10 @@ from fleetlens.operators import daymaps, features, freshness, grouping, profile,
 from fleetlens.plans.daily import wide_features
 from fleetlens.session import configure, scratch_path, stage
 from fleetlens.sinks import files as sinks
+from fleetlens.sinks import published
 from fleetlens.sources import files as sources
-from fleetlens.streaming import messages
+from fleetlens.sources import metadata
+from fleetlens.streaming import messages, redelivery
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -336,10 +338,40 @@ def folder_listing(spark, sf):
     base = scratch_path(spark, "listed")
     events = A.table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     sinks.overwrite_partitions(events, base, ["day"])
-    listed = sources.list_names(spark, {"events": base, "absent": f"{base}/absent"})
+    listed = metadata.list_folders(metadata.folders_of(spark, {"events": base, "absent": f"{base}/absent"}))
     return freshness.days_in_names(listed, "dashed")
 
 
+def _orders_by_month(spark, sf) -> DataFrame:
+    """Files of a table written in order of its day, and one written in none."""
+    base = scratch_path(spark, "orders")
+    orders = A.table(spark, sf, "orders")
+    orders.repartitionByRange(12, "o_orderdate").sortWithinPartitions("o_orderdate").write.parquet(f"{base}/ordered")
+    orders.repartition(3, "o_orderkey").write.parquet(f"{base}/dealt")
+    names = {"ordered": f"{base}/ordered", "dealt": f"{base}/dealt", "absent": f"{base}/absent"}
+    return metadata.data_files(metadata.folders_of(spark, names))
+
+
+@query
+def newest_days_footers(spark, sf):
+    """The newest days of tables from their footers; of the ordered one, few row groups are read."""
+    return metadata.newest_days(_orders_by_month(spark, sf), "o_orderdate", freshness.LOOKBACK)
+
+
+@query
+def latest_day_footers(spark, sf):
+    """The newest day of tables and its rows."""
+    return metadata.newest_day_rows(_orders_by_month(spark, sf), "o_orderdate")
+
+
+@query
+def folder_days(spark, sf):
+    """Days of a foldered table by its folder names; no file is opened."""
+    base = scratch_path(spark, "half_days")
+    sinks.overwrite_partitions(_events_by_half_day(spark, sf), base)
+    return metadata.folder_days(metadata.folders_of(spark, {"events": base, "absent": f"{base}/absent"}))
+
+
 @query
 def latest_per_dataset(spark, sf):
     return freshness.latest(A.observed_dates(spark, sf))
@@ -474,6 +506,7 @@ def _installs(spark, sf):
     )
 
 
+BUCKETS = 8
 # The features of a home.
 FEATURES = ["num_station", "poor_rssi", "poor_phyrate", "home_score"]
 
@@ -494,6 +527,17 @@ def wide_daily_join(spark, sf):
     return _installs(spark, sf).join(wide, "serial_num")
 
 
+@query
+def wide_daily_bucketed(spark, sf):
+    """Day tables bucketed by home when they are written; the join of all days then moves nothing."""
+    base, daily = scratch_path(spark, "bucketed"), stage(A.daily_features(spark, sf), "daily")
+    name = lambda x: f"{base.rsplit('/', 1)[-1]}_{x}".replace("-", "_")
+    store = lambda df, x: features.store_bucketed(df, name(x), f"{base}/{x}", "serial_num", BUCKETS)
+    days = {d: store(daily.where(F.col("day") == F.lit(d).cast("date")).drop("day"), d) for d in _days(3, 9)}
+    wide = features.bucketed_wide_join(days, "serial_num", FEATURES)
+    return store(_installs(spark, sf), "installs").join(wide.hint("merge"), "serial_num")
+
+
 @query
 def daily_feature_job(spark, sf):
     """The feature table of seven days before a day: models filtered, columns dropped, copies removed, targets joined."""
@@ -593,6 +637,25 @@ def single_csv_report(spark, sf):
     )
 
 
+@query
+def single_csv_parts(spark, sf):
+    """The same kind of file of a whole table, in order, made of the parts that tasks wrote."""
+    folder = scratch_path(spark, "csv_parts")
+    table = A.table(spark, sf, "part").orderBy("p_partkey")
+    path = published.csv_from_parts(table, folder, "parts.csv")
+    return sources.load_csv(spark, path, table.schema)
+
+
+@query
+def publish_verified(spark, sf):
+    """Published by two in turn: the first copy counts, and is what its manifest says."""
+    base, customers = scratch_path(spark, "verified"), A.table(spark, sf, "customer")
+    won = [published.publish_verified(spark, rows, base) for rows in (customers, customers.where("c_custkey % 2 = 0"))]
+    if won != [True, False]:
+        raise RuntimeError(f"published {won}")
+    return published.read_published(spark, base, verify=True)
+
+
 @query
 def publish_if_absent(spark, sf):
     """Published once; the second call finds the target and leaves it alone."""
@@ -663,6 +726,29 @@ def message_stream(spark, sf):
     return _received(spark, table)
 
 
+@query
+def message_redelivery(spark, sf):
+    """Messages of every fourth user are understood on the second attempt only; broken ones are given up after three."""
+    base = scratch_path(spark, "retries")
+    encoded = _messages(A.table(spark, sf, "events")).select("value")
+    encoded.repartition(2).write.text(f"{base}/in")
+
+    def handle(due: DataFrame) -> DataFrame:
+        rows = messages.decode(due.withColumn("text", F.col("value")), MESSAGE, "text")
+        late = (F.col("k") % 4 == 0) & (F.col("attempts") < 2)
+        return rows.withColumn("ok", F.col(messages.CORRUPT).isNull() & ~F.coalesce(late, F.lit(False))).select("value", "attempts", "k", "ok")
+
+    table, state = f"{base}/out", f"{base}/state"
+    run = redelivery.receive_with_retries(
+        messages.message_folder(spark, f"{base}/in", max_files=1), handle, table, state, f"{base}/checkpoint"
+    )
+    run.awaitTermination()
+    while redelivery.redeliver(spark, handle, table, state, str(run.id)):
+        pass
+    found = [redelivery.handled(spark, table, "value string, attempts int, k int", x).withColumn("status", F.lit(x)) for x in ("ok", "dead")]
+    return found[0].unionByName(found[1])
+
+
 @query
 def message_archive(spark, sf):
     """Files of text lines received as a stream, which archives what it has consumed."""

@@ -481,4 +481,15 @@ ORACLE |= {
     "freshness_report_maps": ORACLE["freshness_report"],
     "freshness_report_paired_maps": ORACLE["freshness_report_paired"],
     "missing_days_maps": ORACLE["missing_days_business"],
+    "newest_days_footers": """select name, observed_date from (select distinct cast(o_orderdate as date) as observed_date from orders
+        order by 1 desc limit 20), (select unnest(['ordered', 'dealt']) as name)""",
+    "latest_day_footers": """select name, day, row_count from (select cast(o_orderdate as date) as day, count(*) as row_count from orders
+        group by 1 order by 1 desc limit 1), (select unnest(['ordered', 'dealt']) as name)""",
+    "folder_days": "select distinct 'events' as name, cast(ts as date) as observed_date from events",
+    "wide_daily_bucketed": ORACLE["wide_daily_join"],
+    "message_redelivery": _DECODED.split("select event_id, if(")[0] + """select value, k, attempts, if(broken, 'dead', 'ok') as status
+        from (select value, broken, if(broken, null, cast(json_extract_string(props, '$.k') as integer)) as k from msg),
+        lateral (select cast(if(broken, 3, if(k % 4 = 0, 2, 1)) as integer) as attempts)""",
+    "single_csv_parts": "select * from part",
+    "publish_verified": "select * from customer",
 }
