@@ -7,7 +7,7 @@ rename it, so further columns never clash with their own.
 from __future__ import annotations
 
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -78,6 +78,13 @@ def few(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def apart(kept: tuple[str, ...], made: Iterable[str]) -> None:
+    """Refuses to keep columns that bear the name of a result."""
+    clash = sorted(set(kept) & set(made))
+    if clash:
+        raise ValueError(f"columns to keep have names of results: {', '.join(clash)}; rename them")
+
+
 def crc(column: str, parts: int):
     """crc32 of the number as text, modulo ``parts``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts

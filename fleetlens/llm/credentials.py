@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import pieces, record
+from fleetlens.llm.common import apart, pieces, record
 
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -111,9 +111,11 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     """The ``keep`` columns of every row with ``secrets``: array of (kind, start, end, linked).
 
     Code points, end exclusive, by start and then kind.  ``linked`` marks the
-    weak spans that were kept for their neighbours.  Rows are kept one for one;
+    weak spans that were kept for their neighbours.  Rows are kept one for one, a
+    column to keep that is named ``secrets`` is refused;
     null and empty texts have no secrets.  Whole texts are scanned.
     """
+    apart(keep, ("secrets", "__text"))
     rows = docs.select(F.col(text).alias("__text"), *keep)
     kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("linked", pa.bool_())])
     schema = pa.schema([("secrets", pa.list_(kind))])

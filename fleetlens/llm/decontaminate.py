@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import flat, pieces, record, stage
+from fleetlens.llm.common import apart, flat, pieces, record, stage
 from fleetlens.llm.words import ALPHANUMERIC, Words, runs
 
 #: Start positions that one stretch of text covers.
@@ -121,13 +121,14 @@ def search(
 
     ``spans``: merged word ranges (``start``, ``end``) that occurrences cover;
     ``items``: sorted distinct ids (as strings) of items with an occurrence.
-    Rows are kept one for one, repeated ones too; null texts have no words and an empty
+    Rows are kept one for one, repeated ones too, and columns named as a result are refused; null texts have no words and an empty
     benchmark has no occurrences.
 
     Patterns are broadcast in blocks of about ``pattern_bytes``, measured before
     and dealt by their hash.  With more than one block, each makes a pass and its
     finds are staged with the rows.
     """
+    apart(keep, ("n_words", "spans", "items", "__text"))
     spark = docs.sparkSession
     found = stage(windows(items, item_id, item_text, length), "patterns")
     size = found.agg(F.sum(F.length("pattern") + F.length("item"))).first()[0] or 0

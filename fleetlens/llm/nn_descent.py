@@ -434,7 +434,7 @@ def near_audited(
     if results:
         named = named.join(together, "node", "left")
     else:
-        named = named.withColumn("c", F.lit(None).cast("long")).withColumn("links", F.lit(None).cast("long"))
+        named = named.withColumn("c", F.lit(None).cast(base.schema["vec_id"].dataType)).withColumn("links", F.lit(None).cast("long"))
     named = named.select("name", F.coalesce("c", "low").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n"))
     found = base.drop("vector").join(named, "name", "left").select(
         "vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id")

@@ -16,9 +16,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from fleetlens.llm import exchange
-from fleetlens.llm.common import flat, record
+from fleetlens.llm.common import flat, record, stage
 from fleetlens.llm.words import ALPHANUMERIC, Words, runs
 
 #: Words in a passage, in an n-gram, and n-grams among which one is chosen.
@@ -95,10 +96,12 @@ def repeated(
     to ``end`` of a document are all in such passages, which overlap; ``n_docs``
     is the most rows that hold one of them, ``first_doc`` the smallest id among them all.
     Nothing for documents without any, and for null, empty and shorter texts.  Repeated
-    rows count as documents; null ids come last.
+    rows count as documents; null ids come last.  Ids may be of any type that has an order.
     """
     if length - among + 1 < gram:
         raise ValueError("length must leave room for an n-gram after the kept suffix")
+    if not isinstance(docs.schema[doc_id].dataType, IntegralType):
+        return by_number(docs, doc_id, text, length=length, gram=gram, among=among, block=block)
     rows = docs.select(F.lit(0).alias("flag"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     table = exchange.blocks(rows, "flag", block)
     bits = exchange.bucket_bits(exchange.count_blocks(table))
@@ -156,3 +159,15 @@ def repeated(
 
     both = first.withColumn("step", F.lit(1)).unionByName(second.withColumn("step", F.lit(2)))
     return exchange.meet(table, both, stretches, "doc_id long, start long, end long, n_docs long, first_doc long", out)
+
+
+def by_number(docs: DataFrame, doc_id: str, text: str, **options) -> DataFrame:
+    """``repeated`` for ids that are no integers: by numbers in the order of the ids, put back afterwards."""
+    ids = docs.select(F.col(doc_id).alias("id")).where("id is not null").distinct()
+    # Ranges of ids, numbered range by range.
+    ids = stage(ids.repartitionByRange("id").sortWithinPartitions("id").withColumn("number", F.monotonically_increasing_id()), "ids")
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(ids, "id", "left")
+    found = repeated(rows, "number", "text", **options)
+    names = lambda c: ids.select(F.col("id").alias(f"{c}_id"), F.col("number").alias(c))
+    named = found.join(names("doc_id"), "doc_id", "left").join(names("first_doc"), "first_doc", "left")
+    return named.select(F.col("doc_id_id").alias("doc_id"), "start", "end", "n_docs", F.col("first_doc_id").alias("first_doc"))

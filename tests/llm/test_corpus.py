@@ -167,6 +167,17 @@ def test_passages_of_awkward_tables(spark):
     assert sorted([(x.doc_id, x.n_docs, x.first_doc) for x in found], key=str) == [(5, 2, 5), (None, 2, 5)]
 
 
+def test_passages_of_documents_with_text_ids(spark):
+    text = sentences(3, 1, 80)[0]
+    frame = docs(spark, [text, "x " + text, text, "short"]).selectExpr(
+        "case doc_id when 0 then 'b' when 1 then 'a' when 3 then 'c' end as number", "text", "lang as doc_id"
+    )
+    found = suffixes.repeated(frame, "number").collect()
+    assert sorted((r.doc_id or "", r.start, r.end, r.n_docs, r.first_doc) for r in found) == [
+        ("", 0, 80, 3, "a"), ("a", 1, 81, 3, "a"), ("b", 0, 80, 3, "a")
+    ]
+
+
 def test_kept_suffixes_depend_on_content_only():
     words = " ".join(sentences(5, 1, 400, vocabulary=4000))
     one = suffixes.Passages(pa.record_batch({"text": pa.array([words])}), 50, 8, 16)

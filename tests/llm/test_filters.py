@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import alnum, changed, crc, docs, sentences
 
 from fleetlens.llm import credentials, decontaminate, langid
@@ -191,3 +192,39 @@ def test_changed_words_break_a_window(spark):
     table = spark.createDataFrame([(1, item)], "item_id long, text string")
     found = decontaminate.search(docs(spark, [item, changed(item, random.Random(1), 1)]), table).collect()
     assert sorted(len(r.spans) for r in found) == [0, 1]
+
+
+def test_columns_to_keep_must_not_clash(spark):
+    frame = docs(spark, ["a"]).withColumns({"items": F.lit(1), "secrets": F.lit(2)})
+    with pytest.raises(ValueError, match="items"):
+        decontaminate.search(frame, frame, keep=("doc_id", "items"), item_id="doc_id")
+    with pytest.raises(ValueError, match="secrets"):
+        credentials.scan(frame, keep=("doc_id", "secrets"))
+    assert credentials.scan(frame, keep=("doc_id", "items")).columns == ["doc_id", "items", "secrets"]
+
+
+def test_linked_parts_against_all_pairs():
+    parts = [
+        "user: alice", "login=bob_1", "token: abcdef12", "AKIA" + "Z9" * 8, "0f" * 14, "https://db.example.org/x", "\n\n", "\n \t\n",
+        "Abc123" * 6, "xYz789" * 7, "plain words here", "é漢", "password=hunter22", "ftp://h:1", "\n",
+    ]
+    r = random.Random(12)
+    seen = 0
+    for _ in range(400):
+        text = "".join(r.choice(parts) + r.choice([" ", "  ", "\n", " " * r.randint(0, 90)]) for _ in range(r.randint(1, 25)))
+        reach = r.choice([0, 5, 40, 200])
+        strong = credentials.base_spans(text)
+        weak = credentials.weak_spans(text, strong)
+        cuts = [m.start() for m in re.finditer(r"\n[\x20\t\r]*\n", text)]
+        scope = lambda s: sum(c <= s for c in cuts)
+
+        def meets(x, kinds):
+            return any(
+                y[2] in kinds and y != x and scope(y[0]) == scope(x[0]) and max(x[0], y[0]) - min(x[1], y[1]) <= reach
+                for y in strong + weak
+            )
+
+        wanted = [x for x in weak if all(meets(x, kinds) for kinds in credentials.NEEDS[x[2]])]
+        assert sorted(credentials.linked(text, strong, weak, reach)) == sorted(wanted), text
+        seen += len(wanted)
+    assert seen > 500

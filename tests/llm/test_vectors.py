@@ -177,3 +177,8 @@ def test_quality_held_out(spark):
     rows = [r for r in QUERIES["op1_quality"](spark, sf).collect() if r.held_out and r.doc_id in truth]
     assert len(rows) > 500 and all(crc(r.doc_id, 5) == 0 for r in rows)
     assert sum(r.predicted == truth[r.doc_id] for r in rows) / len(rows) > 0.97
+
+
+def test_text_ids_without_any_vector(spark):
+    rows = spark.createDataFrame([("a", None), ("b", [0.0])], "vec_id string, embedding array<double>")
+    assert sorted(map(tuple, nn_descent.near(rows).select("vec_id", "n_links", "component_id").collect())) == [("a", 0, "a"), ("b", 0, "b")]
