@@ -60,11 +60,13 @@ def min_sample_gate(spark, sf):
     )
 
 
-def _by_band(rows: DataFrame, values: dict[str, tuple[str, list[float]]], *others) -> DataFrame:
+def _by_band(rows: DataFrame, values: dict[str, tuple[str, list[float]]], *others, spread: bool = False) -> DataFrame:
     """Percentiles per band, the bands side by side by a pivot, joined with aggregates over all of them."""
     bands = rows.withColumn("kind", F.expr("case substring(band, 1, 2) when '2.' then '2_4g' when '5G' then '5g' end"))
     aggs = [F.percentile_approx(F.col(c).cast("double"), p).alias(n) for n, (c, p) in values.items()]
-    aggs.append((F.max(F.col("phy_rate").cast("double")) - F.min("phy_rate")).alias("range"))
+    # A pivot of one aggregate would not name it.
+    rate = (F.max(F.col("phy_rate").cast("double")) - F.min("phy_rate")).alias("range")
+    aggs.append(rate if spread else F.count(F.lit(1)).alias("n"))
     wide = bands.groupBy(*scores.STATION).pivot("kind", ["2_4g", "5g"]).agg(*aggs)
     return rows.groupBy(*scores.STATION).agg(*scores.attribute_aggregates(), *others).join(wide, scores.STATION)
 
@@ -73,7 +75,8 @@ def station_score(spark, sf):
     rows = _often(hourly_fact(spark, sf))
     spread = (F.max("snr") - F.min("snr")).alias("snr_range")
     wide = _by_band(
-        rows, {"r": ("p90_rssi", [0.9, 0.5, 0.95]), "p": ("phy_rate", [0.9])}, spread, F.count_if(F.col("son") > 0).alias("son_count")
+        rows, {"r": ("p90_rssi", [0.9, 0.5, 0.95]), "p": ("phy_rate", [0.9])}, spread, F.count_if(F.col("son") > 0).alias("son_count"),
+        spread=True,
     )
     wide = wide.selectExpr(
         "*", "2_4g_r[0] as p90_rssi_2_4g", "5g_r[0] as p90_rssi_5g", "2_4g_p[0] as p90_phy_rate_2_4g", "5g_p[0] as p90_phy_rate_5g"
@@ -114,7 +117,7 @@ def _speed_stations(spark, sf):
     valid = F.when(F.col("snr").between(0, 50), F.col("snr"))
     spread = rows.withColumn("snr_range_variation", F.max(valid).over(_over(scores.STATION)) - F.min(valid).over(_over(scores.STATION)))
     wide = _by_band(
-        spread.where("tx_phy_rate > 24"), {"r": ("tx_phy_rate", [0.9]), "x": ("tx_phy_rate", [0.5])},
+        spread.where("tx_phy_rate > 24"), {"r": ("tx_phy_rate", [0.9])},
         F.max("snr_range_variation").alias("snr_range_variation"),
     )
     wide = wide.selectExpr("*", "2_4g_r[0] as p90_phy_rate_2_4g_speed", "5g_r[0] as p90_phy_rate_5g_speed")
@@ -130,7 +133,7 @@ def speed_score(spark, sf):
 
 
 def _coverage_stations(rows: DataFrame) -> DataFrame:
-    wide = _by_band(rows, {"r": ("rssi", [0.9]), "x": ("rssi", [0.5])})
+    wide = _by_band(rows, {"r": ("rssi", [0.9])})
     wide = wide.selectExpr("*", "2_4g_r[0] as p90_rssi_2_4g", "5g_r[0] as p90_rssi_5g")
     ladders = scores.with_scores(wide, scores.COVERAGE_SCORES)
     return ladders.withColumn(scores.COVERAGE_MEAN, scoring.mean_present(*scores.COVERAGE_SCORES))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,9 +41,16 @@ def local_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``, or where that is unset the warehouse."""
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or where that is unset the warehouse.
+
+    A warehouse on a machine's own disk will do for a local session only.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and re.match(r"(file:)?/", root):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
