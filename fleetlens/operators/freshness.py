@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import clean
-from fleetlens.session import stage
 
 # Fixed value: days that a check looks back.
 LOOKBACK = 20
@@ -185,7 +184,6 @@ def report(
         F.max("observed_date").alias("latest_date"),
         F.collect_set(F.when(day <= bounds[1], day) if bounds else day).alias("days"),
     )
-    seen = stage(seen, "seen")  # one row per dataset; looked at twice
     unseen = registry.select("name").join(seen, "name", "left_anti")
     if bounds and not unseen.isEmpty():
         older = observed.where(day < bounds[0]).join(unseen, "name", "left_semi")
