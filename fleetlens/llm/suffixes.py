@@ -1,20 +1,23 @@
 """Passages that several documents share, by a sparse suffix array.
 
 Suffixes are kept only where a word n-gram is the smallest (by hash) among some in
-a row, so the same passage keeps the same suffixes wherever it stands.  Kept
-suffixes are counted by the hash of their first words, not ordered by words: those counted
-twice are common to several documents.  Every run of the length asked for through
-a common suffix is then counted by its hash in turn.
+a row, so the same passage keeps the same suffix wherever it stands.  Suffixes are put in
+the order of their words, in ranges over tasks; neighbours with the same first words make
+a run, whose members are extended left and right, word by word.  Hashes choose
+suffixes and set aside those that nothing else begins like; whether words are equal is
+told by the words.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -24,40 +27,72 @@ from fleetlens.llm.words import ALPHANUMERIC, Words, runs
 
 #: Words in a passage, in an n-gram, and n-grams among which one is chosen.
 LENGTH, GRAM, AMONG = 50, 8, 16
+#: Bytes of a word; a longer one is moved as its SHA-256.
+LONG = 65
+#: Bytes of suffixes that are compared at a time, and suffixes that are cut out of a text at a time.
+CELL, SLICE = 8 << 20, 4096
 
 NOBODY = np.iinfo(np.int64).max
 
+#: A suffix: its first words, the text, words before and after them, how far back passages through it begin, where it is.
+SUFFIX = pa.schema([
+    ("run", pa.string()), ("row", pa.int64()), ("doc_id", pa.int64()), ("left", pa.string()), ("right", pa.string()),
+    ("near", pa.int32()), ("far", pa.int32()), ("at", pa.list_(pa.int32())),
+])
+#: What comparing gives: stretches (0), passages of a run that goes on in another cell (1), and their words and counts in this cell (2).
+DONE, OPEN, COUNTED = range(3)
+FOUND = pa.schema([
+    ("kind", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int64()), ("last", pa.int64()),
+    ("n_docs", pa.int64()), ("low", pa.int64()), ("cell", pa.int64()), ("passage", pa.int64()), ("words", pa.string()),
+])
 
-def minimizers(w: Words, gram: int, among: int) -> np.ndarray:
-    """Word numbers of the smallest of every ``among`` n-grams in a row (the leftmost of equal ones)."""
-    hashes = runs(w.hash, gram)
-    n = len(hashes) - among + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
-    # The row's minimum, by doubling; hashes across texts may take part, which only keeps more suffixes.
-    place = np.arange(len(hashes))
-    low, span = hashes, 1
+
+def ddl(schema: pa.Schema) -> str:
+    names = {pa.string(): "string", pa.int64(): "long", pa.int32(): "int", pa.list_(pa.int32()): "array<int>"}
+    return ", ".join(f"`{f.name}` {names[f.type]}" for f in schema)
+
+
+def smallest(hashes: np.ndarray, among: int) -> np.ndarray:
+    """Where the smallest of every ``among`` hashes in a row is (the leftmost of equal ones), by doubling."""
+    place, low, span = np.arange(len(hashes)), hashes, 1
     while span < among:
         step = min(span, among - span)
+        if len(low) <= step:
+            return np.zeros(0, np.int64)
         left, right = low[: len(low) - step], low[step:]
         take = right < left
         place = np.where(take, place[step:], place[: len(place) - step])
         low = np.where(take, right, left)
         span += step
-    return np.unique(place[:n])
+    return place
+
+
+def slices(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Texts made of the bytes from ``begin`` to ``end``."""
+    size = np.maximum(end - begin, 0)
+    ends = np.append(0, np.cumsum(size))
+    source = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], size)
+    return pa.Array.from_buffers(pa.string(), len(begin), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[source])])
 
 
 class Passages:
-    """Kept suffixes and passages of the texts of a block."""
+    """Kept suffixes of the texts of a block, and from where to where passages through them begin.
+
+    A passage belongs to the smallest n-gram among its own, which its words alone decide.
+    ``near`` and ``far``: how many words before the suffix its passages begin, at least and at most.
+    """
 
     def __init__(self, rows: pa.RecordBatch, length: int, gram: int, among: int):
         self.w = w = Words(*flat(rows.column("text")), ALPHANUMERIC)
-        self.length, self.among = length, among
-        self.right = length - among + 1  # words that a passage has from its first kept suffix on, at least
-        begins = minimizers(w, gram, among)
-        begins = begins[begins + self.right <= w.first[w.doc[begins] + 1]]
-        self.begins = begins
-        self.suffix = runs(w.hash, self.right)[begins] if len(begins) else np.zeros(0, np.uint64)
+        self.among = among
+        self.right = length - among + 1  # words that a passage has from its suffix on, at least
+        starts = np.flatnonzero(np.arange(len(w.doc)) + length <= w.first[w.doc + 1])
+        own = smallest(runs(w.hash, gram), among)[starts] if len(starts) else starts
+        self.begins, one = np.unique(own, return_index=True)  # passages of a suffix follow one another
+        back = own - starts
+        last = np.append(one[1:], len(own)) - 1
+        self.far, self.near = back[one], back[last] if len(one) else back[one]
+        self.suffix = runs(w.hash, self.right)[self.begins] if len(one) else np.zeros(0, np.uint64)
 
     def suffixes(self) -> exchange.Asked:
         """Distinct suffix hashes, and in how many documents of the block they are."""
@@ -65,19 +100,167 @@ class Passages:
         keys, documents = np.unique(pairs[:, 0], return_counts=True)
         return keys, [documents]
 
-    def around(self, shared: np.ndarray) -> np.ndarray:
-        """Word numbers at which a passage through one of the suffixes may begin."""
-        w, found = self.w, np.zeros(len(self.w.hash) + 1, bool)
-        own = self.begins[shared]
-        for back in range(self.among):
-            at = own - back
-            good = at >= w.first[w.doc[own]]
-            good &= at + self.length <= w.first[w.doc[own] + 1]
-            found[at[good]] = True
-        return np.flatnonzero(found)
+    def joined(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words ``i`` to ``j``, a space after each, and where each begins."""
+        w = self.w
+        data = w.low[w.start[i] : w.end[j - 1]]
+        start, end = w.start[i:j] - w.start[i], w.end[i:j] - w.start[i]
+        long = np.flatnonzero(end - start > LONG)
+        if len(long):
+            digests = [b"\x01" + hashlib.sha256(data[s:e].tobytes()).hexdigest().encode() for s, e in zip(start[long], end[long])]
+            start[long] = len(data) + LONG * np.arange(len(long))
+            end[long] = start[long] + LONG
+            data = np.append(data, np.frombuffer(b"".join(digests), np.uint8))
+        at = np.append(0, np.cumsum(end - start + 1))
+        source = np.arange(at[-1]) + np.repeat(start - at[:-1], np.diff(at))
+        out = data[np.minimum(source, len(data) - 1)]
+        out[at[1:] - 1] = 32
+        return out, at
+
+    def cut(self, chosen: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The chosen suffixes (``SUFFIX``); those that a text has twice with all words around are one."""
+        w, i = self.w, 0
+        while i < len(chosen):
+            first = self.begins[chosen[i]]
+            j = min(i + SLICE, i + int(np.searchsorted(self.begins[chosen[i:]], first + 16 * SLICE)))
+            own = chosen[i:j]
+            p, near, far = self.begins[own], self.near[own], self.far[own]
+            after = p + self.right + self.among - 1 - near
+            base = int((p - far).min())
+            data, at = self.joined(base, int(after.max()))
+            where = lambda x: at[x - base]
+            doc = w.doc[p]
+            columns = [
+                slices(data, where(p), where(p + self.right) - 1), rows[doc], ids[doc],
+                slices(data, where(p - far), where(p) - 1),
+                slices(data, where(p + self.right), where(after) - 1),
+                near, far, p - w.first[doc],
+            ]
+            names, kinds = SUFFIX.names, [*SUFFIX.types[:-1], pa.int32()]
+            table = pa.table([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+            table = table.group_by(names[:-1], use_threads=False).aggregate([("at", "list")]).rename_columns(names)
+            yield from table.cast(SUFFIX).to_batches()
+            i = j
+
+
+def matrix(texts: pa.Array, counts: np.ndarray, width: int, backwards: bool) -> np.ndarray:
+    """A number per distinct word: row by row, those of a text from its beginning (or end) on, then -1."""
+    words = pc.split_pattern(texts, " ").flatten()
+    codes = words.filter(pc.not_equal(words, "")).dictionary_encode().indices.to_numpy()
+    out = np.full((len(counts), width), -1, np.int32)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    k = np.arange(len(codes)) - np.repeat(np.cumsum(counts) - counts, counts)
+    out[owner, np.repeat(counts, counts) - 1 - k if backwards else k] = codes
+    return out
+
+
+def ranks(group: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Row k: equal numbers for members of a group whose first k words are equal.
+
+    Members are ordered by words; how many words neighbours share tells the rest.
+    """
+    n, width = words.shape
+    order = np.lexsort((*words.T[::-1], group))
+    ordered, own = words[order], group[order]
+    apart = np.concatenate([ordered[1:] != ordered[:-1], np.ones((n - 1, 1), bool)], 1)
+    shared = np.where(own[1:] != own[:-1], -1, apart.argmax(1))
+    out = np.empty((width + 1, n), np.int64)
+    for k in range(width + 1):
+        out[k, order] = np.append(0, np.cumsum(shared < k))
+    return out
+
+
+def compare(rows: pa.Table, cell: int, among: int, before: bool, after: bool) -> Iterator[pa.RecordBatch]:
+    """Passages (``FOUND``) of suffixes in order.
+
+    ``before``, ``after``: the first and the last run may go on in other cells.
+    """
+    if not rows.num_rows:
+        return
+    rows = rows.combine_chunks()
+    column = lambda name: rows.column(name).combine_chunks()
+    run, left, right, at = (column(c) for c in ("run", "left", "right", "at"))
+    row, ids, near, far = (column(c).to_numpy() for c in ("row", "doc_id", "near", "far"))
+    n = len(row)
+    group = np.append(0, np.cumsum(pc.not_equal(run[1:], run[:-1]).to_numpy(zero_copy_only=False)))
+    is_open = ((group == 0) & before) | ((group == group[-1]) & after)
+    lefts = ranks(group, matrix(left, far, among - 1, True))
+    rights = ranks(group, matrix(right, among - 1 - near, among - 1, False))
+    most, low = np.zeros(n, np.int64), np.full(n, NOBODY)
+    nearest, farthest = np.full(n, among), np.full(n, -1)
+    lists = at.value_lengths().to_numpy().astype(np.int64)
+    places, begin = at.flatten().to_numpy().astype(np.int64), np.cumsum(lists) - lists
+    made = 0
+
+    def found(kind: int, size: int, **columns) -> pa.RecordBatch:
+        empty = pa.nulls(size, pa.int64())
+        return record(FOUND, [kind] * size, *[columns.get(f.name, empty if f.type != pa.string() else pa.nulls(size, f.type)) for f in FOUND][1:])
+
+    def positions(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Members, once for every place at which they stand, and the places."""
+        size = lists[of]
+        return np.repeat(of, size), places[np.repeat(begin[of], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
+
+    for back in range(among):
+        own = np.flatnonzero((near <= back) & (back <= far))
+        if not len(own):
+            continue
+        key = lefts[back, own] * n + rights[among - 1 - back, own]
+        order = np.argsort(key, kind="stable")  # texts stay in order
+        own, key = own[order], key[order]
+        opens = np.append(True, key[1:] != key[:-1])
+        fresh = opens | np.append(True, row[own[1:]] != row[own[:-1]])
+        start, number = np.flatnonzero(opens), np.cumsum(opens) - 1
+        docs, least = np.add.reduceat(fresh.astype(np.int64), start), np.minimum.reduceat(ids[own], start)
+        good = (docs[number] > 1) & ~is_open[own]
+        m, k = own[good], number[good]
+        most[m], low[m] = np.maximum(most[m], docs[k]), np.minimum(low[m], least[k])
+        nearest[m], farthest[m] = np.minimum(nearest[m], back), np.maximum(farthest[m], back)
+        kept = is_open[own]
+        if kept.any():
+            m, p = positions(own[kept])
+            which = np.repeat(number[kept], lists[own[kept]]) + made
+            yield found(OPEN, len(m), row=row[m], doc_id=ids[m], first=p - back, last=p - back, cell=np.full(len(m), cell), passage=which)
+            k = np.unique(number[kept])
+            one = own[start[k]]
+            words = [
+                " ".join([*left[i].as_py().split(" ")[far[i] - back : far[i]], run[i].as_py(), *right[i].as_py().split(" ")[: among - 1 - back]])
+                for i in one.tolist()
+            ]
+            yield found(COUNTED, len(k), n_docs=docs[k], low=least[k], cell=np.full(len(k), cell), passage=k + made, words=words)
+        made += len(start)
+    m, p = positions(np.flatnonzero(most > 1))
+    yield found(DONE, len(m), row=row[m], doc_id=ids[m], first=p - farthest[m], last=p - nearest[m], n_docs=most[m], low=low[m])
 
-    def passages(self, at: np.ndarray) -> np.ndarray:
-        return runs(self.w.hash, self.length)[at] if len(at) else np.zeros(0, np.uint64)
+
+def cells(batches, among: int, size: int = CELL) -> Iterator[pa.RecordBatch]:
+    """Compares the ordered suffixes of a task some megabytes at a time.
+
+    They are cut between runs; a run that is longer is cut between texts and, like the
+    first and the last of the task, stays open.
+    """
+    held, full, made, before = [], 0, 0, True
+    base = TaskContext.get().partitionId() << 32 if TaskContext.get() else 0
+    last = lambda c: int(np.flatnonzero(np.append(True, pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)))[-1])
+    for batch in batches:
+        held.append(batch)
+        full += batch.nbytes
+        if full < size:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        at = last(table.column("run").combine_chunks())
+        inside = not at
+        if inside:
+            at = last(table.column("row").combine_chunks())
+        if at:
+            yield from compare(table.slice(0, at), base + made, among, before, inside)
+            made, before = made + 1, inside
+            table = table.slice(at)
+        held = table.to_batches()
+        # What is left over of one text in one run waits for as much again.
+        full = 0 if at else -table.nbytes
+    if held:
+        yield from compare(pa.Table.from_batches(held), base + made, among, before, True)
 
 
 def repeated(
@@ -88,6 +271,7 @@ def repeated(
     gram: int = GRAM,
     among: int = AMONG,
     block: int = exchange.BLOCK,
+    cell: int = CELL,
 ) -> DataFrame:
     """``doc_id``, ``start``, ``end``, ``n_docs``, ``first_doc``: every stretch of repeated passages.
 
@@ -97,68 +281,48 @@ def repeated(
     is the most rows that hold one of them, ``first_doc`` the smallest id among them all.
     Nothing for documents without any, and for null, empty and shorter texts.  Repeated
     rows count as documents; null ids come last.  Ids may be of any type that has an order.
+    Words are compared as such, those of more than ``LONG`` bytes by SHA-256.
     """
     if length - among + 1 < gram:
         raise ValueError("length must leave room for an n-gram after the kept suffix")
     if not isinstance(docs.schema[doc_id].dataType, IntegralType):
-        return by_number(docs, doc_id, text, length=length, gram=gram, among=among, block=block)
-    rows = docs.select(F.lit(0).alias("flag"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        return by_number(docs, doc_id, text, length=length, gram=gram, among=among, block=block, cell=cell)
+    row = F.monotonically_increasing_id().alias("row")
+    rows = docs.select(F.lit(0).alias("flag"), row, F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     table = exchange.blocks(rows, "flag", block)
     bits = exchange.bucket_bits(exchange.count_blocks(table))
-    first = exchange.ask(table, lambda r: Passages(r, length, gram, among).suffixes(), bits)
-    first = exchange.answer(first, [np.add], "suffixes")
-
-    def shared(p: Passages, answers: pa.Table) -> np.ndarray:
-        keys = p.suffixes()[0]
-        return exchange.totals_of(answers, 1)[0][np.searchsorted(keys, p.suffix)] > 1 if len(keys) else np.zeros(0, bool)
-
-    def candidates(p: Passages, answers: pa.Table, ids: np.ndarray) -> tuple[np.ndarray, exchange.Asked]:
-        at = p.around(shared(p, answers))
-        passage, doc = p.passages(at), p.w.doc[at]
-        order = np.lexsort((doc, passage))
-        passage, doc = passage[order], doc[order]
-        fresh = np.append(True, (passage[1:] != passage[:-1]) | (doc[1:] != doc[:-1]))[: len(passage)]
-        passage, doc = passage[fresh], doc[fresh]
-        start = np.flatnonzero(np.append(True, passage[1:] != passage[:-1])[: len(passage)])
-        low = np.minimum.reduceat(ids[doc], start) if len(start) else np.zeros(0, np.int64)
-        return at, (passage[start], [np.diff(np.append(start, len(passage))), low])
-
-    def ids_of(own: pa.RecordBatch) -> np.ndarray:
-        return own.column("doc_id").fill_null(NOBODY).to_numpy()
-
-    request = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("values", pa.list_(pa.binary()))])
-
-    def extend(number: int, own: pa.RecordBatch, answers: pa.Table) -> Iterator[pa.RecordBatch]:
-        yield exchange.requests_of(number, candidates(Passages(own, length, gram, among), answers, ids_of(own))[1], bits)
-
-    second = exchange.answer(exchange.meet(table, first, extend, exchange.REQUESTS, request), [np.add, np.minimum], "passages")
-    out = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "end", "n_docs", "first_doc")])
-
-    def stretches(number: int, own: pa.RecordBatch, answers: pa.Table) -> Iterator[pa.RecordBatch]:
-        p, ids = Passages(own, length, gram, among), ids_of(own)
-        step = lambda k: answers.filter(pc.equal(answers.column("step"), k))
-        at, (keys, _) = candidates(p, step(1), ids)
-        held, low = exchange.totals_of(step(2), 2)
-        place = np.searchsorted(keys, p.passages(at))
-        good = held[place] > 1 if len(keys) else np.zeros(0, bool)
-        at, place = at[good], place[good]
-        doc = p.w.doc[at]
-        opens = np.flatnonzero(np.append(True, (at[1:] > at[:-1] + length) | (doc[1:] != doc[:-1]))[: len(at)])
-        if len(opens):
-            last = np.append(opens[1:], len(at)) - 1
-            who, smallest = ids[doc[opens]], np.minimum.reduceat(low[place], opens)
-            base = p.w.first[doc[opens]]
-            yield record(
-                out,
-                pa.array(who, pa.int64(), mask=who == NOBODY),
-                at[opens] - base,
-                at[last] + length - base,
-                np.maximum.reduceat(held[place], opens),
-                pa.array(smallest, pa.int64(), mask=smallest == NOBODY),
-            )
-
-    both = first.withColumn("step", F.lit(1)).unionByName(second.withColumn("step", F.lit(2)))
-    return exchange.meet(table, both, stretches, "doc_id long, start long, end long, n_docs long, first_doc long", out)
+    counted = exchange.ask(table, lambda r: Passages(r, length, gram, among).suffixes(), bits)
+    counted = exchange.answer(counted, [np.add], "suffixes")
+
+    def suffixes(number: int, own: pa.RecordBatch, answers: pa.Table) -> Iterator[pa.RecordBatch]:
+        p, keys = Passages(own, length, gram, among), exchange.totals_of(answers, 1)[0]
+        if len(keys):
+            chosen = np.flatnonzero(keys[np.searchsorted(p.suffixes()[0], p.suffix)] > 1)
+            yield from p.cut(chosen, own.column("row").to_numpy(), own.column("doc_id").fill_null(NOBODY).to_numpy())
+
+    kept = exchange.meet(table, counted, suffixes, ddl(SUFFIX), SUFFIX)
+    # Equal first words go on in the next range with another text, so that no passage is too much for a task.
+    ordered = kept.repartitionByRange("run", "row").sortWithinPartitions("run", "row")
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
+    found = stage(ordered.mapInArrow(lambda batches: cells(batches, among, cell), ddl(FOUND)), "passages")
+
+    parts = found.where(F.col("kind") == COUNTED).select("cell", "passage", "words", "n_docs", "low")
+    whole = parts.groupBy("words").agg(F.sum("n_docs").alias("n_docs"), F.min("low").alias("low")).where("n_docs > 1")
+    whole = parts.select("cell", "passage", "words").join(whole, "words").drop("words")
+    far = found.where(F.col("kind") == OPEN).drop("n_docs", "low").join(whole, ["cell", "passage"])
+    columns = ["row", "doc_id", "first", "last", "n_docs", "low"]
+    every = found.where(F.col("kind") == DONE).select(columns).unionByName(far.select(columns))
+
+    order = Window.partitionBy("row").orderBy("first", "last")
+    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = every.withColumn("opens", F.coalesce(F.col("first") > reach + length, F.lit(True)).cast("int"))
+    parted = opened.withColumn("stretch", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    stretches = parted.groupBy("row", "stretch").agg(
+        F.first("doc_id").alias("doc_id"), F.min("first").alias("start"), (F.max("last") + length).alias("end"),
+        F.max("n_docs").alias("n_docs"), F.min("low").alias("first_doc"),
+    )
+    known = lambda c: F.when(F.col(c) != int(NOBODY), F.col(c)).alias(c)
+    return stretches.select(known("doc_id"), "start", "end", "n_docs", known("first_doc"))
 
 
 def by_number(docs: DataFrame, doc_id: str, text: str, **options) -> DataFrame:

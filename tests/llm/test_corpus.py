@@ -184,3 +184,71 @@ def test_kept_suffixes_depend_on_content_only():
     two = suffixes.Passages(pa.record_batch({"text": pa.array(["extra words first " + words])}), 50, 8, 16)
     assert set(one.suffix.tolist()) <= set(two.suffix.tolist()) | set(one.suffix[:2].tolist())
     assert len(one.suffix) < 400 / 4
+
+
+def shared_passages(seed, count):
+    """Texts of which most hold one passage, with equal or different words around it."""
+    r = random.Random(seed)
+    own, passage = sentences(seed, count, 70, vocabulary=3000), sentences(seed + 1, 1, 66, vocabulary=3000)[0]
+    texts = [f"{t} {passage} {r.choice(own)}" if i % 4 else t for i, t in enumerate(own)]
+    return [*texts, texts[1], f"{passage} {passage} {passage}", "la " * 300, "la " * 200, "x" * 200 + " " + passage, None, ""]
+
+
+def test_a_hot_passage_over_many_tasks(spark):
+    texts = shared_passages(21, 160)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        found = suffixes.repeated(docs(spark, texts), block=4000, cell=1).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {tuple(x) for x in found} == stretches(texts, 50)
+    assert max(x.n_docs for x in found) > 100
+
+
+@pytest.mark.parametrize("rows,size", [(1, 1), (7, 1), (50, 4000), (10**6, 1 << 30)])
+def test_words_decide_and_cells_agree(rows, size):
+    """All suffixes are compared, as if all their hashes were the same; cells of any size give the same passages."""
+    texts = shared_passages(23, 24)
+    p = suffixes.Passages(pa.record_batch({"text": pa.array(texts)}), 50, 8, 16)
+    numbers = np.arange(len(texts))
+    table = pa.Table.from_batches(p.cut(np.arange(len(p.begins)), numbers, numbers), schema=suffixes.SUFFIX)
+    table = table.sort_by([("run", "ascending"), ("row", "ascending")]).combine_chunks()
+    found = [x for b in suffixes.cells(table.to_batches(max_chunksize=rows), 16, size) for x in b.to_pylist()]
+    total, low, held = Counter(), {}, {}
+    for x in found:
+        if x["kind"] == suffixes.COUNTED:
+            total[x["words"]] += x["n_docs"]
+            low[x["words"]] = min(x["low"], low.get(x["words"], x["low"]))
+            held[x["cell"], x["passage"]] = x["words"]
+    got = {(x["row"], x["first"], x["last"], x["n_docs"], x["low"]) for x in found if x["kind"] == suffixes.DONE}
+    for x in found:
+        if x["kind"] == suffixes.OPEN:
+            words = held[x["cell"], x["passage"]]
+            assert "\x01" in words or alnum(texts[x["row"]])[x["first"] : x["first"] + 50] == words.split(" ")
+            if total[words] > 1:
+                got.add((x["row"], x["first"], x["first"], total[words], low[words]))
+    merged = defaultdict(list)
+    for row, first, last, n, least in sorted(got):
+        if merged[row] and first <= merged[row][-1][1] + 50:
+            a, b, m, k = merged[row][-1]
+            merged[row][-1] = a, max(b, last), max(m, n), min(k, least)
+        else:
+            merged[row].append((first, last, n, least))
+    assert {(r, a, b + 50, n, k) for r, all_of in merged.items() for a, b, n, k in all_of} == stretches(texts, 50)
+
+
+def test_equal_hashes_of_different_words_are_told_apart(spark, monkeypatch):
+    """Suffix hashes that are all the same set nothing aside, and make nothing equal."""
+
+    class Same(suffixes.Passages):
+        def __init__(self, *options):
+            super().__init__(*options)
+            self.suffix = np.full(len(self.begins), 7, np.uint64)
+
+    monkeypatch.setattr(suffixes, "Passages", Same)
+    texts = shared_passages(25, 30)
+    found = suffixes.repeated(docs(spark, texts), block=5000).collect()
+    assert {tuple(x) for x in found} == stretches(texts, 50)
