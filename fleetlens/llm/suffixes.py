@@ -39,16 +39,19 @@ SUFFIX = pa.schema([
     ("run", pa.string()), ("row", pa.int64()), ("doc_id", pa.int64()), ("left", pa.string()), ("right", pa.string()),
     ("near", pa.int32()), ("far", pa.int32()), ("at", pa.list_(pa.int32())),
 ])
-#: What comparing gives: stretches (0), passages of a run that goes on in another cell (1), and their words and counts in this cell (2).
-DONE, OPEN, COUNTED = range(3)
+#: What comparing gives.  ``DONE``: suffixes with the same words around them, where they are, and from how far to how near before
+#: them repeated passages begin.  Of runs that may go on in another cell ``OPEN``: where such suffixes are; ``AROUND``: a passage through
+#: them, which begins ``far`` words before; ``COUNTED``: its words and count in this cell.
+DONE, OPEN, AROUND, COUNTED = range(4)
 FOUND = pa.schema([
-    ("kind", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int64()), ("last", pa.int64()),
-    ("n_docs", pa.int64()), ("low", pa.int64()), ("cell", pa.int64()), ("passage", pa.int64()), ("words", pa.string()),
+    ("kind", pa.int32()), ("cell", pa.int64()), ("context", pa.int64()), ("passage", pa.int64()), ("words", pa.string()),
+    ("far", pa.int64()), ("near", pa.int64()), ("n_docs", pa.int64()), ("low", pa.int64()),
+    ("row", pa.list_(pa.int64())), ("doc_id", pa.list_(pa.int64())), ("at", pa.list_(pa.int64())),
 ])
 
 
 def ddl(schema: pa.Schema) -> str:
-    names = {pa.string(): "string", pa.int64(): "long", pa.int32(): "int", pa.list_(pa.int32()): "array<int>"}
+    names = {pa.string(): "string", pa.int64(): "long", pa.int32(): "int", pa.list_(pa.int32()): "array<int>", pa.list_(pa.int64()): "array<long>"}
     return ", ".join(f"`{f.name}` {names[f.type]}" for f in schema)
 
 
@@ -96,9 +99,12 @@ class Passages:
 
     def suffixes(self) -> exchange.Asked:
         """Distinct suffix hashes, and in how many documents of the block they are."""
-        pairs = np.unique(np.stack([self.suffix, self.w.doc[self.begins].astype(np.uint64)], 1), axis=0)
-        keys, documents = np.unique(pairs[:, 0], return_counts=True)
-        return keys, [documents]
+        order = np.argsort(self.suffix, kind="stable")  # documents stay in order
+        keys, doc = self.suffix[order], self.w.doc[self.begins[order]]
+        opens = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+        fresh = opens | np.append(True, doc[1:] != doc[:-1])[: len(keys)]
+        start = np.flatnonzero(opens)
+        return keys[start], [np.add.reduceat(fresh.astype(np.int64), start) if len(start) else start]
 
     def joined(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
         """Words ``i`` to ``j``, a space after each, and where each begins."""
@@ -170,6 +176,16 @@ def ranks(group: np.ndarray, words: np.ndarray) -> np.ndarray:
     return out
 
 
+def same(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for every combination of values, and whether a member is the first with its own."""
+    order = np.lexsort(columns)
+    opens = np.append(True, np.any([c[order[1:]] != c[order[:-1]] for c in columns], axis=0))
+    numbers, one = np.empty(len(order), np.int64), np.zeros(len(order), bool)
+    numbers[order] = np.cumsum(opens) - 1
+    one[order[opens]] = True
+    return numbers, one
+
+
 def compare(rows: pa.Table, cell: int, among: int, before: bool, after: bool) -> Iterator[pa.RecordBatch]:
     """Passages (``FOUND``) of suffixes in order.
 
@@ -190,11 +206,12 @@ def compare(rows: pa.Table, cell: int, among: int, before: bool, after: bool) ->
     nearest, farthest = np.full(n, among), np.full(n, -1)
     lists = at.value_lengths().to_numpy().astype(np.int64)
     places, begin = at.flatten().to_numpy().astype(np.int64), np.cumsum(lists) - lists
+    contexts, ones = same(near, far, lefts[far, np.arange(n)], rights[among - 1 - near, np.arange(n)])
     made = 0
 
-    def found(kind: int, size: int, **columns) -> pa.RecordBatch:
-        empty = pa.nulls(size, pa.int64())
-        return record(FOUND, [kind] * size, *[columns.get(f.name, empty if f.type != pa.string() else pa.nulls(size, f.type)) for f in FOUND][1:])
+    def found(kind, size: int, **columns) -> pa.RecordBatch:
+        kinds = np.full(size, kind, np.int32) if np.isscalar(kind) else kind
+        return record(FOUND, kinds, np.full(size, cell), *[columns.get(f.name, pa.nulls(size, f.type)) for f in FOUND][2:])
 
     def positions(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Members, once for every place at which they stand, and the places."""
@@ -218,19 +235,25 @@ def compare(rows: pa.Table, cell: int, among: int, before: bool, after: bool) ->
         nearest[m], farthest[m] = np.minimum(nearest[m], back), np.maximum(farthest[m], back)
         kept = is_open[own]
         if kept.any():
-            m, p = positions(own[kept])
-            which = np.repeat(number[kept], lists[own[kept]]) + made
-            yield found(OPEN, len(m), row=row[m], doc_id=ids[m], first=p - back, last=p - back, cell=np.full(len(m), cell), passage=which)
+            around = ones[own] & kept
+            m, k = own[around], number[around]
+            yield found(AROUND, len(m), far=np.full(len(m), back), context=contexts[m], passage=k + made)
             k = np.unique(number[kept])
             one = own[start[k]]
             words = [
                 " ".join([*left[i].as_py().split(" ")[far[i] - back : far[i]], run[i].as_py(), *right[i].as_py().split(" ")[: among - 1 - back]])
                 for i in one.tolist()
             ]
-            yield found(COUNTED, len(k), n_docs=docs[k], low=least[k], cell=np.full(len(k), cell), passage=k + made, words=words)
+            yield found(COUNTED, len(k), n_docs=docs[k], low=least[k], passage=k + made, words=words)
         made += len(start)
-    m, p = positions(np.flatnonzero(most > 1))
-    yield found(DONE, len(m), row=row[m], doc_id=ids[m], first=p - farthest[m], last=p - nearest[m], n_docs=most[m], low=low[m])
+    listed = np.flatnonzero(is_open | (most > 1))
+    m, p = positions(listed[np.argsort(contexts[listed], kind="stable")])
+    if len(m):
+        begins = np.flatnonzero(np.append(True, contexts[m[1:]] != contexts[m[:-1]]))
+        bounds, one = pa.array(np.append(begins, len(m)), pa.int32()), m[begins]
+        members = {k: pa.ListArray.from_arrays(bounds, pa.array(v, pa.int64())) for k, v in (("row", row[m]), ("doc_id", ids[m]), ("at", p))}
+        kinds = np.where(is_open[one], OPEN, DONE).astype(np.int32)
+        yield found(kinds, len(one), context=contexts[one], far=farthest[one], near=nearest[one], n_docs=most[one], low=low[one], **members)
 
 
 def cells(batches, among: int, size: int = CELL) -> Iterator[pa.RecordBatch]:
@@ -295,9 +318,9 @@ def repeated(
     counted = exchange.answer(counted, [np.add], "suffixes")
 
     def suffixes(number: int, own: pa.RecordBatch, answers: pa.Table) -> Iterator[pa.RecordBatch]:
-        p, keys = Passages(own, length, gram, among), exchange.totals_of(answers, 1)[0]
-        if len(keys):
-            chosen = np.flatnonzero(keys[np.searchsorted(p.suffixes()[0], p.suffix)] > 1)
+        p, held = Passages(own, length, gram, among), exchange.totals_of(answers, 1)[0]
+        if len(held):
+            chosen = np.flatnonzero(held[np.unique(p.suffix, return_inverse=True)[1]] > 1)
             yield from p.cut(chosen, own.column("row").to_numpy(), own.column("doc_id").fill_null(NOBODY).to_numpy())
 
     kept = exchange.meet(table, counted, suffixes, ddl(SUFFIX), SUFFIX)
@@ -309,10 +332,16 @@ def repeated(
     parts = found.where(F.col("kind") == COUNTED).select("cell", "passage", "words", "n_docs", "low")
     whole = parts.groupBy("words").agg(F.sum("n_docs").alias("n_docs"), F.min("low").alias("low")).where("n_docs > 1")
     whole = parts.select("cell", "passage", "words").join(whole, "words").drop("words")
-    far = found.where(F.col("kind") == OPEN).drop("n_docs", "low").join(whole, ["cell", "passage"])
-    columns = ["row", "doc_id", "first", "last", "n_docs", "low"]
-    every = found.where(F.col("kind") == DONE).select(columns).unionByName(far.select(columns))
-
+    # Suffixes with the same words around them have the same passages and are one row until they go back to their texts.
+    around = found.where(F.col("kind") == AROUND).select("cell", "context", "passage", F.col("far").alias("back"))
+    around = around.join(whole, ["cell", "passage"]).groupBy("cell", "context").agg(
+        F.max("back").alias("far"), F.min("back").alias("near"), F.max("n_docs").alias("n_docs"), F.min("low").alias("low")
+    )
+    resolved = found.where(F.col("kind") == OPEN).select("cell", "context", "row", "doc_id", "at").join(around, ["cell", "context"])
+    columns = ["far", "near", "n_docs", "low", F.explode(F.arrays_zip("row", "doc_id", "at")).alias("m")]
+    every = found.where(F.col("kind") == DONE).select(resolved.columns).unionByName(resolved).select(columns)
+    first, last = F.col("m.at") - F.col("far"), F.col("m.at") - F.col("near")
+    every = every.select("m.row", "m.doc_id", first.alias("first"), last.alias("last"), "n_docs", "low")
     order = Window.partitionBy("row").orderBy("first", "last")
     reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opened = every.withColumn("opens", F.coalesce(F.col("first") > reach + length, F.lit(True)).cast("int"))

@@ -217,19 +217,23 @@ def test_words_decide_and_cells_agree(rows, size):
     table = pa.Table.from_batches(p.cut(np.arange(len(p.begins)), numbers, numbers), schema=suffixes.SUFFIX)
     table = table.sort_by([("run", "ascending"), ("row", "ascending")]).combine_chunks()
     found = [x for b in suffixes.cells(table.to_batches(max_chunksize=rows), 16, size) for x in b.to_pylist()]
-    total, low, held = Counter(), {}, {}
-    for x in found:
-        if x["kind"] == suffixes.COUNTED:
-            total[x["words"]] += x["n_docs"]
-            low[x["words"]] = min(x["low"], low.get(x["words"], x["low"]))
-            held[x["cell"], x["passage"]] = x["words"]
-    got = {(x["row"], x["first"], x["last"], x["n_docs"], x["low"]) for x in found if x["kind"] == suffixes.DONE}
-    for x in found:
-        if x["kind"] == suffixes.OPEN:
-            words = held[x["cell"], x["passage"]]
-            assert "\x01" in words or alnum(texts[x["row"]])[x["first"] : x["first"] + 50] == words.split(" ")
-            if total[words] > 1:
-                got.add((x["row"], x["first"], x["first"], total[words], low[words]))
+    kind = lambda k: [x for x in found if x["kind"] == k]
+    total, low, held, around = Counter(), {}, {}, defaultdict(list)
+    for x in kind(suffixes.COUNTED):
+        total[x["words"]] += x["n_docs"]
+        low[x["words"]] = min(x["low"], low.get(x["words"], x["low"]))
+        held[x["cell"], x["passage"]] = x["words"]
+    for x in kind(suffixes.AROUND):
+        around[x["cell"], x["context"]].append((x["far"], held[x["cell"], x["passage"]]))
+    places = lambda x: zip(x["row"], x["at"])
+    got = {(row, at - x["far"], at - x["near"], x["n_docs"], x["low"]) for x in kind(suffixes.DONE) for row, at in places(x)}
+    for x in kind(suffixes.OPEN):
+        for back, words in around[x["cell"], x["context"]]:
+            for row, at in places(x):
+                first = at - back
+                assert "\x01" in words or alnum(texts[row])[first : first + 50] == words.split(" ")
+                if total[words] > 1:
+                    got.add((row, first, first, total[words], low[words]))
     merged = defaultdict(list)
     for row, first, last, n, least in sorted(got):
         if merged[row] and first <= merged[row][-1][1] + 50:
