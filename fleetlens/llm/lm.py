@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm import exchange
-from fleetlens.llm.common import flat, record
+from fleetlens.llm.common import flat, record, stage
 from fleetlens.llm.words import A, NOT_SPACE, Words, mix
 
 #: Hash of the end of a text, which is a token and the context of the first word.
@@ -113,32 +113,46 @@ def histogram(rows: pa.RecordBatch, answers: pa.Table, sizes: Sizes) -> pa.Recor
 CELLS = pa.schema([(n, pa.int64()) for n in ("bucket", "bigram", "unigram", "n")])
 
 
-def learn(cells: pa.Table, sizes: Sizes, rounds: int = 100) -> np.ndarray:
-    """Mixture weights by bucket: expectation-maximisation over counted cells.
+#: Bucket under which the cells of all buckets are counted together.
+EVERY = -1
 
+
+def expected(cells: pa.Table, words: int, rounds: int) -> np.ndarray:
+    """Mixture weights of one bucket: expectation-maximisation over its counted cells."""
+    two, one, n = (cells.column(c).to_numpy().astype(np.float64) for c in CELLS.names[1:])
+    chance = np.stack([np.where(x == 1, 0.0, np.exp2(np.minimum(x, 0) / STEPS)) for x in (two, one)], 1)
+    chance = np.concatenate([chance, np.full((len(n), 1), 1 / (words + 1))], 1)
+    # After an unseen context no bigram has an estimate.
+    weights = np.array([0, 0.5, 0.5]) if cells.column("bucket")[0].as_py() == 0 else np.full(3, 1 / 3)
+    for _ in range(rounds):
+        part = chance * weights
+        weights = (part * (n / part.sum(1))[:, None]).sum(0) / n.sum()
+    return weights
+
+
+def learn(cells: DataFrame, sizes: Sizes, rounds: int = 100) -> np.ndarray:
+    """Mixture weights by bucket, from ``cells`` (``CELLS``, once each).
+
+    A task learns those of a bucket; at most 66 rows reach the driver.  A bucket of contexts that occur c times has up to 16 log2(c)
+    bigram and 16 log2(tokens) unigram estimates, so half a million cells (20 MB) for a corpus of 10^14 tokens.
     Buckets without any cell take the weights of the next lower bucket, or else of all cells
     together; no weight is quite zero but that of a bigram after an unseen context.
     """
-    at, two, one, n = (cells.column(c).to_numpy().astype(np.float64) for c in CELLS.names)
-    chance = np.stack([np.where(x == 1, 0.0, np.exp2(np.minimum(x, 0) / STEPS)) for x in (two, one)], 1)
-    chance = np.concatenate([chance, np.full((len(n), 1), 1 / (sizes.words + 1))], 1)
-    at = at.astype(np.int64)
-    weights = np.full((65, 3), 1 / 3)
-    weights[0] = 0, 0.5, 0.5
-    if len(n):
-        shared = np.full(3, 1 / 3)
-        for _ in range(rounds):
-            part = chance * weights[at]
-            part *= (n / part.sum(1))[:, None]
-            sums = np.zeros((65, 3))
-            np.add.at(sums, at, part)
-            every = chance * shared
-            shared = (every * (n / every.sum(1))[:, None]).sum(0) / n.sum()
-            total = sums.sum(1, keepdims=True)
-            weights = np.where(total > 0, sums / np.maximum(total, 1e-300), shared)
-        seen = np.maximum.accumulate(np.where(total[:, 0] > 0, np.arange(65), -1))
-        weights = np.where((seen < 1)[:, None], weights, weights[seen])
-    weights = np.maximum(weights, 1e-9)
+    every = cells.groupBy("bigram", "unigram").agg(F.sum("n").alias("n"))
+    every = every.select(F.lit(EVERY).cast("long").alias("bucket"), "bigram", "unigram", "n")
+    out = pa.schema([("bucket", pa.int64()), ("weights", pa.list_(pa.float64()))])
+
+    def run(key, own):
+        return pa.Table.from_batches([record(out, [key[0].as_py()], [expected(own, sizes.words, rounds).tolist()])])
+
+    made = cells.unionByName(every).groupBy("bucket").applyInArrow(run, "bucket long, weights array<double>")
+    found = {r.bucket: r.weights for r in made.collect()}
+    last = found.get(EVERY, [1 / 3] * 3)
+    weights = [found.get(0, last if found else [0, 0.5, 0.5])]
+    for k in range(1, 65):
+        last = found.get(k, last)
+        weights.append(last)
+    weights = np.maximum(np.array(weights), 1e-9)
     weights[0, 0] = 0
     return weights / weights.sum(1, keepdims=True)
 
@@ -174,8 +188,8 @@ def score(
     held_out = table.where(F.col("flag") == WEIGH)
     known = answers.join(held_out.select("block"), "block", "left_semi")
     counted = exchange.meet(held_out, known, cells, "bucket long, bigram long, unigram long, n long", CELLS)
-    learned = counted.groupBy("bucket", "bigram", "unigram").agg(F.sum("n").alias("n")).toArrow()
-    shared = docs.sparkSession.sparkContext.broadcast(Model(sizes[1], learn(learned, sizes[0])))
+    cells_of_all = stage(counted.groupBy("bucket", "bigram", "unigram").agg(F.sum("n").alias("n")), "ngram-cells")
+    shared = docs.sparkSession.sparkContext.broadcast(Model(sizes[1], learn(cells_of_all, sizes[0])))
 
     numbers = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
     out = pa.schema([pa.field("doc_id", pa.int64() if kind == "bigint" else pa.string()), *numbers])

@@ -256,3 +256,28 @@ def test_equal_hashes_of_different_words_are_told_apart(spark, monkeypatch):
     texts = shared_passages(25, 30)
     found = suffixes.repeated(docs(spark, texts), block=5000).collect()
     assert {tuple(x) for x in found} == stretches(texts, 50)
+
+
+def test_weights_by_bucket(spark):
+    """Weights of every bucket, and of those without cells, against a plain loop over all cells."""
+    r = random.Random(9)
+    cells = [(b, -r.randrange(200) if b else 1, -r.randrange(300), r.randrange(1, 50)) for b in (0, 2, 5) for _ in range(40)]
+    cells = list({c[:3]: c for c in cells}.values())
+
+    def plain(own, w):
+        for _ in range(100):
+            total = np.zeros(3)
+            for _, two, one, n in own:
+                part = w * np.array([*(2 ** (x / lm.STEPS) if x <= 0 else 0 for x in (two, one)), 1 / 101])
+                total += n * part / part.sum()
+            w = total / total.sum()
+        return w
+
+    names = "bucket long, bigram long, unigram long, n long"
+    found = lm.learn(spark.createDataFrame(cells, names), lm.Sizes(1000, 100))
+    own = {b: plain([c for c in cells if c[0] == b], np.array([0, 0.5, 0.5]) if b == 0 else np.full(3, 1 / 3)) for b in (0, 2, 5)}
+    every = plain(cells, np.full(3, 1 / 3))
+    for k, expected in {0: own[0], 1: every, 2: own[2], 4: own[2], 5: own[5], 64: own[5]}.items():
+        assert found[k] == pytest.approx(expected, rel=1e-6, abs=1e-8)
+    nothing = lm.learn(spark.createDataFrame([], names), lm.Sizes(0, 0))
+    assert nothing.sum(1) == pytest.approx(1) and nothing[0, 0] == 0 and nothing[1] == pytest.approx(1 / 3)
