@@ -4,8 +4,8 @@ Equal vectors are one node.  Lists of neighbours start from vectors that lie nex
 to each other along random directions, and improve by comparing the neighbours of
 each node with one another.  Lists grow while they lack links of a few nodes that they
 have room for.  Edges over the threshold make components.  Nodes
-whose lists are full of such edges cannot name all their links, so they look for
-neighbours in other components, again and again, until no list is full of links;
+whose lists are full of such edges cannot name all their links: a few of them are compared with each other,
+more look for neighbours in other components, again and again, until no list is full of links;
 within a component all are compared in blocks.  The result is audited: nodes are compared
 with all vectors until enough of them have links, or all have been compared.
 """
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import components, record, stage
+from fleetlens.llm.forest import Union
 
 log = logging.getLogger(__name__)
 
@@ -35,9 +36,14 @@ THIN = 16
 AUDIT, RECALL = 256, 0.95
 #: Nodes with links that the audit of the result has to see, and the most nodes it compares in one pass.
 LINKED, PASS = 64, 4096
+#: Nodes with full lists that are compared with each other directly, and links that a task joins into components.
+DIRECT, SMALL = 4096, 1 << 20
+#: Bytes of vectors that are one side of a cell when the members of a component are compared.
+TILE = 4 << 20
 
 EDGES = pa.schema([("node", pa.int64()), ("nbr", pa.int64()), ("sim", pa.float64())])
 EDGES_SQL = "node long, nbr long, sim double"
+PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 SEEN = pa.schema([("node", pa.int64()), ("nbr", pa.int64()), ("n", pa.int64()), ("got", pa.int64())])
 
 
@@ -99,31 +105,45 @@ def merged(edges: DataFrame, nodes: int, k: int, name: str) -> DataFrame:
     return stage(dealt.groupBy("grp").applyInArrow(run, EDGES_SQL), name)
 
 
-def neighbours_along(vectors: DataFrame, nodes: int, k: int, seed: int) -> DataFrame:
-    """Edges among vectors that a random direction (with signs of some more) puts next to each other."""
-    partitions = max(1, -(-nodes // GROUP))
+def neighbours_along(vectors: DataFrame, nodes: int, k: int, seed: int, directions: int = DIRECTIONS) -> DataFrame:
+    """Edges among vectors that one of some random directions (with signs of more) puts next to each other.
+
+    All directions are sorted in one exchange, one after another.
+    """
+    partitions = max(1, -(-nodes // GROUP)) * directions
 
     def project(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = matrix(batch.column("vector"))
-            axes = np.random.default_rng([seed, x.shape[1]]).standard_normal((x.shape[1], 13))
-            y = x @ axes
-            signs = (y[:, 1:] > 0) @ (1 << np.arange(12))
-            place = pa.array(signs + 0.5 + np.arctan(y[:, 0]) / np.pi)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("node", "vector", "root")), place], names=["node", "vector", "root", "place"]
-            )
+            own = [batch.column(c) for c in ("node", "vector", "root")]
+            for turn in range(directions):
+                axes = np.random.default_rng([seed + turn, x.shape[1]]).standard_normal((x.shape[1], 13))
+                y = x @ axes
+                signs = (y[:, 1:] > 0) @ (1 << np.arange(12))
+                place = pa.array(signs + 0.5 + np.arctan(y[:, 0]) / np.pi)
+                turns = pa.array(np.full(len(x), turn, np.int32))
+                yield pa.RecordBatch.from_arrays([*own, turns, place], names=["node", "vector", "root", "turn", "place"])
 
     def compare(batches) -> Iterator[pa.RecordBatch]:
-        waiting, size = [], 0
+        waiting, size, now = [], 0, None
 
         def edges(table: pa.Table) -> pa.RecordBatch:
             ids, roots, x = table.column("node").to_numpy(), table.column("root").to_numpy(), matrix(table.column("vector"))
             return record(EDGES, *best(*top(x, ids, roots, k), k))
 
-        for batch in batches:
+        def by_turn() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                turns = batch.column("turn").to_numpy()
+                cuts = [0, *(np.flatnonzero(np.diff(turns)) + 1).tolist(), len(turns)]
+                yield from (batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:]) if b > a)
+
+        for batch in by_turn():
+            turn = batch.column("turn")[0].as_py()
+            if size and turn != now:
+                yield edges(pa.Table.from_batches(waiting).combine_chunks())
+                waiting, size = [], 0
             waiting.append(batch)
-            size += batch.num_rows
+            size, now = size + batch.num_rows, turn
             while size >= BLOCK:
                 table = pa.Table.from_batches(waiting).combine_chunks()
                 yield edges(table.slice(0, BLOCK))
@@ -134,11 +154,12 @@ def neighbours_along(vectors: DataFrame, nodes: int, k: int, seed: int) -> DataF
             yield edges(pa.Table.from_batches(waiting).combine_chunks())
 
     kind = vectors.schema["vector"].dataType.simpleString()
-    placed = vectors.select("node", "vector", "root").mapInArrow(project, f"node long, vector {kind}, root long, place double")
-    # A node id settles equal places, so the order is the same in every run.
-    return placed.repartitionByRange(partitions, "place", "node").sortWithinPartitions("place", "node").mapInArrow(
-        compare, EDGES_SQL
+    placed = vectors.select("node", "vector", "root").mapInArrow(
+        project, f"node long, vector {kind}, root long, turn int, place double"
     )
+    # A node id settles equal places, so the order is the same in every run.
+    order = ("turn", "place", "node")
+    return placed.repartitionByRange(partitions, *order).sortWithinPartitions(*order).mapInArrow(compare, EDGES_SQL)
 
 
 def refined(lists: DataFrame, vectors: DataFrame, nodes: int, k: int) -> DataFrame:
@@ -208,17 +229,12 @@ def descend(
     With a ``guide`` (more edges), its neighbours are compared with those of the lists too, and lists start
     from a few nodes of each root besides, so that a large component does not hide its surroundings.
     """
-    tables = [(vectors, nodes)]
+    starts = neighbours_along(vectors, nodes, k, seed)
     if guide is not None:
         sizes = vectors.groupBy("root").agg(F.ceil(F.count("*") / float(THIN)).cast("long").alias("every"))
         few = vectors.join(sizes, "root").where(F.pmod(F.xxhash64("node", F.lit(seed)), "every") == 0)
         few = stage(few.select("node", "vector", "root"), "few")
-        tables.append((few, few.count()))
-    starts = None
-    for table, count in tables:
-        for direction in range(DIRECTIONS):
-            own = neighbours_along(table, count, k, seed + direction)
-            starts = own if starts is None else starts.unionByName(own)
+        starts = starts.unionByName(neighbours_along(few, few.count(), k, seed))
     lists = merged(starts, nodes, k, "lists")
     before = None
     for _ in range(ROUNDS):
@@ -245,21 +261,84 @@ def graph(vectors: DataFrame, nodes: int, threshold: float, k: int = NEIGHBOURS)
         k *= 2
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node of the links (``a``, ``b``) and the smallest that they lead it to."""
+    ids, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    union = Union(np.arange(len(ids)))
+    union.joined(place[: len(a)], place[len(a) :])
+    return ids, ids[union.labels()]
+
+
+def connected(links: DataFrame, name: str) -> DataFrame:
+    """``node``, ``root`` (the smallest of its component) for the nodes of ``links`` (``a``, ``b``).
+
+    Tasks reduce their links, ``SMALL`` at a time, to one per node.  If no more than ``SMALL`` are left, one task
+    joins them; more are joined by ``components``.
+    """
+
+    def reduced(batches) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+
+        def joined() -> pa.RecordBatch:
+            node, root = stars(*(np.concatenate([b.column(c).to_numpy() for b in waiting]) for c in PAIRS.names))
+            return record(PAIRS, node, root)
+
+        for batch in batches:
+            waiting.append(batch)
+            size += batch.num_rows
+            if size >= SMALL:
+                yield joined()
+                waiting, size = [], 0
+        if size:
+            yield joined()
+
+    kind = "a long, b long"
+    forest = stage(links.select("a", "b").mapInArrow(reduced, kind), name)
+    if forest.count() > SMALL:
+        return components(forest, name)
+    # Fewer links than one reduction takes, so it is the last.
+    return forest.coalesce(1).mapInArrow(reduced, kind).select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
 def rejoined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """``roots`` (``node``, ``root``) once the components that ``links`` (``node``, ``nbr``) touch are one."""
     sides = [roots.select(F.col("node").alias(c), F.col("root").alias(r)) for c, r in (("node", "a"), ("nbr", "b"))]
     pairs = links.select("node", "nbr").join(sides[0], "node").join(sides[1], "nbr").select("a", "b")
-    joint = components(pairs, "vector-components").select(F.col("node").alias("old"), F.col("root").alias("new"))
+    joint = connected(pairs, "vector-components").select(F.col("node").alias("old"), F.col("root").alias("new"))
     found = roots.join(joint, roots["root"] == joint["old"], "left")
     return stage(found.select("node", F.coalesce("new", "root").alias("root")), "vector-roots")
 
 
+def crossing(held: DataFrame, threshold: float) -> DataFrame:
+    """Links (``node``, ``nbr``) that join all components between which nodes of ``held`` (few enough for a task) link."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        own = [b for b in batches if b.num_rows]
+        if not own:
+            return
+        table = pa.Table.from_batches(own)
+        node, x = table.column("node").to_numpy(), matrix(table.column("vector"))
+        root = np.unique(table.column("root").to_numpy(), return_inverse=True)[1]
+        union, found = Union(np.arange(root.max() + 1)), []
+        for s in range(0, len(node), BLOCK):
+            i, j = np.nonzero(x[s : s + BLOCK] @ x.T >= threshold)
+            label = union.labels()
+            apart = label[root[i + s]] != label[root[j]]
+            i, j = i[apart] + s, j[apart]
+            chosen = union.joined(root[i], root[j])
+            found += zip(node[i[chosen]].tolist(), node[j[chosen]].tolist())
+        yield record(PAIRS, [a for a, _ in found], [b for _, b in found])
+
+    made = held.select("node", "root", "vector").coalesce(1).mapInArrow(run, "a long, b long")
+    return stage(made.select(F.col("a").alias("node"), F.col("b").alias("nbr")), "crossing")
+
+
 def bridged(lists: DataFrame, roots: DataFrame, vectors: DataFrame, threshold: float, k: int) -> DataFrame:
     """``roots`` with the links that ``lists`` of ``k`` had no room for, as far as they join components.
 
-    A link is in neither end's list only if both lists are full of links.  Such nodes
-    get lists of neighbours in other components instead, until none of these is full
-    of links: each turn joins components, so the turns end.
+    A link is in neither end's list only if both lists are full of links.  At most ``DIRECT`` such
+    nodes are all compared with each other.  More of them get lists of neighbours in other components
+    instead, until none of these is full of links: each turn joins components, so the turns end.
     """
     guide, turn = None, 0
     while True:
@@ -269,6 +348,9 @@ def bridged(lists: DataFrame, roots: DataFrame, vectors: DataFrame, threshold: f
         low, high, nodes = held.agg(F.min("root"), F.max("root"), F.count("*")).first()
         if low == high:
             return roots
+        if nodes <= DIRECT:
+            links = crossing(held, threshold)
+            return roots if links.isEmpty() else rejoined(roots, links)
         turn += 1
         guide = links if guide is None else guide.unionByName(links)
         lists = descend(held, nodes, threshold, k, 1000 * k + 10 * turn, guide)
@@ -278,18 +360,20 @@ def bridged(lists: DataFrame, roots: DataFrame, vectors: DataFrame, threshold: f
         roots = rejoined(roots, links)
 
 
-def audited(roots: DataFrame, vectors: DataFrame, nodes: int, threshold: float, at: int) -> tuple[Audit, DataFrame, int]:
+def audited(
+    roots: DataFrame, vectors: DataFrame, nodes: int, threshold: float, at: int, whole: bool = False
+) -> tuple[Audit, DataFrame, int]:
     """Audit of ``roots`` by nodes not compared so far, the links that it saw missing, and where to go on.
 
     Nodes are dealt into slices of about ``AUDIT`` by a hash; those before ``at`` are left out.  Slices
-    are compared with all vectors, each pass more of them, until ``LINKED`` nodes had links.  A
+    are compared with all vectors, each pass more of them, until ``LINKED`` nodes had links, or to the last if ``whole``.  A
     link counts as found if its ends are in one component, where all are compared.
     """
     slices = max(1, -(-nodes // AUDIT))
     table = stage(vectors.select("node", "vector").join(roots, "node"), "audit")
     number = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(slices))
     found, width, sums, links, share = None, 1, (0, 0, 0, 0.0), 0, 1.0
-    while at < slices and sums[0] < LINKED:
+    while at < slices and (whole or sums[0] < LINKED):
         chosen = table.where((number >= at) & (number < at + width)).toArrow()
         at, width = min(slices, at + width), min(4 * width, max(1, PASS // AUDIT))
         if not chosen.num_rows:
@@ -326,15 +410,18 @@ def audited(roots: DataFrame, vectors: DataFrame, nodes: int, threshold: float,
     return Audit(share, int(sums[1]), int(sums[0]), at >= slices), missing.select("node", "nbr"), at
 
 
-def joined(vectors: DataFrame, nodes: int, threshold: float) -> tuple[DataFrame, Audit]:
+def joined(vectors: DataFrame, nodes: int, threshold: float, exact: bool = False) -> tuple[DataFrame, Audit]:
     """``node``, ``root`` (its component) for all ``vectors`` (``node``, ``vector``), and the audit that it passed.
 
     After an audit that falls short, the search goes on from what is known, by other directions and longer
-    lists, and other nodes audit it.  Links that an audit saw missing are kept.  Raises
-    ``RuntimeError`` if the longest lists fall short as well.
+    lists, and other nodes audit it.  Links that an audit saw missing are kept.  If the longest lists fall
+    short as well, the audit goes on to the last node when ``exact``, so that every component is
+    known, and raises ``RuntimeError`` otherwise.
     """
     lists, _, k = graph(vectors, nodes, threshold)
-    roots = rejoined(vectors.select("node", F.col("node").alias("root")), lists.where(F.col("sim") >= threshold))
+    links = lists.where(F.col("sim") >= threshold).select(F.col("node").alias("a"), F.col("nbr").alias("b"))
+    first = vectors.select("node").join(connected(links, "vector-components"), "node", "left")
+    roots = stage(first.select("node", F.coalesce("root", "node").alias("root")), "vector-roots")
     at = 0
     while True:
         roots = bridged(lists, roots, vectors, threshold, k)
@@ -344,6 +431,9 @@ def joined(vectors: DataFrame, nodes: int, threshold: float) -> tuple[DataFrame,
             roots = rejoined(roots, missing)
         if audit.share >= RECALL or audit.whole:
             return roots, audit
+        if k >= MOST and exact:
+            audit, missing, _ = audited(roots, vectors, nodes, threshold, at, whole=True)
+            return (roots if missing.isEmpty() else rejoined(roots, missing)), audit
         if k >= MOST:
             raise RuntimeError(f"lists of {k} neighbours lead to {audit.share:.3f} of {audit.links} audited links")
         k *= 2
@@ -356,9 +446,12 @@ def linked_within(groups: DataFrame, vectors: DataFrame, threshold: float) -> Da
     """``node``, ``links`` of every node of ``groups`` (``node``, ``root``): all in its component that are close enough.
 
     Links count as often as their vector occurs (``times``).  Components are
-    compared block by block, so none has to fit into a task.
+    compared in cells of two tiles of at most about ``TILE`` bytes, so none has to fit into a task, and a vector is
+    copied once per tile of its component.
     """
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / float(BLOCK)).cast("long").alias("blocks"))
+    length = vectors.select(F.size("vector")).first()
+    tile = max(BLOCK, TILE // (8 * max(1, length[0]))) if length else BLOCK
+    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / float(tile)).cast("long").alias("blocks"))
     dealt = groups.join(sizes, "root").select("node", "root", "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("own"))
     dealt = dealt.join(vectors.select("node", "vector", "times"), "node")
     # Each block once as rows of every pair of blocks it is in.
@@ -389,13 +482,15 @@ def linked_within(groups: DataFrame, vectors: DataFrame, threshold: float) -> Da
     return counted.groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def near(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95) -> DataFrame:
-    """The table of ``near_audited``; no result if an audit is not passed."""
-    return near_audited(rows, vec_id, vector, threshold)[0]
+def near(
+    rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, exact: bool = False
+) -> DataFrame:
+    """The table of ``near_audited``."""
+    return near_audited(rows, vec_id, vector, threshold, exact)[0]
 
 
 def near_audited(
-    rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95
+    rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, exact: bool = False
 ) -> tuple[DataFrame, dict[int, Audit]]:
     """``vec_id``, ``n_links``, ``component_id`` for every row, and by length of vectors the audit of the result.
 
@@ -403,6 +498,8 @@ def near_audited(
     are null, empty, zero, or hold null or non-finite numbers link with nothing, and so do vectors of
     different lengths.  ``component_id`` is the smallest id that links lead to; repeated
     rows link with each other; a null id is its own component unless it is linked.
+    If the longest lists do not pass their audit, all vectors are compared, some at a time, when ``exact``; otherwise
+    there is no result (``RuntimeError``).
     """
     base = rows.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -422,7 +519,7 @@ def near_audited(
     results, audits = [], {}
     for length in [r[0] for r in nodes.select(F.size("vector")).distinct().collect()]:
         own = nodes.where(F.size("vector") == length)
-        roots, audits[length] = joined(own, own.count(), threshold)
+        roots, audits[length] = joined(own, own.count(), threshold, exact)
         groups = roots.join(roots.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root"), "root")
         counted = linked_within(groups, own, threshold)
         low = groups.join(own.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("c"))

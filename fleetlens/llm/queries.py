@@ -105,7 +105,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = nn_descent.near(table(spark, sf_dir, "embeddings"))
+    found = nn_descent.near(table(spark, sf_dir, "embeddings"), exact=True)
     own = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
     return found.select("vec_id", "n_links", "component_id", own.alias("kept"))
 

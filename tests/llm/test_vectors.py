@@ -125,6 +125,43 @@ def test_missed_audit_is_no_result(spark, monkeypatch):
         nn_descent.near(frame(spark, vectors))
 
 
+def test_missed_audit_goes_on_exactly(spark, monkeypatch):
+    vectors = clusters(7, [2] * 200 + [1] * 50, 64)
+    for name, value in (("AUDIT", 16), ("LINKED", 4), ("MOST", 8), ("PASS", 64)):
+        monkeypatch.setattr(nn_descent, name, value)
+    monkeypatch.setattr(nn_descent, "neighbours_along", no_edges)
+    found, audits = nn_descent.near_audited(frame(spark, vectors), exact=True)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found.collect()} == expected(vectors)
+    assert audits[64].whole and audits[64].share < nn_descent.RECALL
+
+
+def test_many_full_lists_look_in_other_components(spark, monkeypatch):
+    vectors = nested(3, 3, 20) + nested(8, 1, 60) + clusters(5, [1] * 100, 64)
+    monkeypatch.setattr(nn_descent, "DIRECT", 0)
+    found = nn_descent.near(frame(spark, vectors)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == expected(vectors)
+
+
+def test_components_in_one_task_and_in_many(spark, monkeypatch):
+    r = np.random.default_rng(9)
+    pairs = [tuple(map(int, p)) for p in r.integers(0, 400, (220, 2))] + [(1000 + i, 1001 + i) for i in range(60)]
+    truth = components(sorted({x for p in pairs for x in p}), pairs)
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    for small in (1 << 20, 16):
+        monkeypatch.setattr(nn_descent, "SMALL", small)
+        found = {x.node: x.root for x in nn_descent.connected(links, "c").collect()}
+        assert {n: found.get(n, n) for n in truth} == truth
+    assert nn_descent.connected(links.where("false"), "c").collect() == []
+
+
+def test_components_of_several_tiles(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "TILE", 1)
+    monkeypatch.setattr(nn_descent, "BLOCK", 16)
+    vectors = clusters(10, [1] * 20 + [100, 37, 3], 32, 0.04)
+    found = nn_descent.near(frame(spark, vectors)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == expected(vectors)
+
+
 def test_vectors_of_the_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = {r.vec_id: r.embedding for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()}
