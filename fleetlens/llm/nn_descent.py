@@ -40,6 +40,8 @@ LINKED, PASS = 64, 4096
 DIRECT, SMALL = 4096, 1 << 20
 #: Bytes of vectors that are one side of a cell when the members of a component are compared.
 TILE = 4 << 20
+#: Tiles into which a component is cut anyway, as far as they have so many members.
+SPREAD, LEAST = 8, 64
 
 EDGES = pa.schema([("node", pa.int64()), ("nbr", pa.int64()), ("sim", pa.float64())])
 EDGES_SQL = "node long, nbr long, sim double"
@@ -447,11 +449,14 @@ def linked_within(groups: DataFrame, vectors: DataFrame, threshold: float) -> Da
 
     Links count as often as their vector occurs (``times``).  Components are
     compared in cells of two tiles of at most about ``TILE`` bytes, so none has to fit into a task, and a vector is
-    copied once per tile of its component.
+    copied once per tile of its component.  Components of more than ``LEAST`` are cut into up to ``SPREAD`` tiles in any case, so
+    that more tasks share the largest.
     """
     length = vectors.select(F.size("vector")).first()
     tile = max(BLOCK, TILE // (8 * max(1, length[0]))) if length else BLOCK
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / float(tile)).cast("long").alias("blocks"))
+    n = F.count("*")
+    blocks = F.greatest(F.ceil(n / float(tile)), F.least(F.lit(SPREAD), F.ceil(n / float(LEAST)))).cast("long")
+    sizes = groups.groupBy("root").agg(blocks.alias("blocks"))
     dealt = groups.join(sizes, "root").select("node", "root", "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("own"))
     dealt = dealt.join(vectors.select("node", "vector", "times"), "node")
     # Each block once as rows of every pair of blocks it is in.
