@@ -1,7 +1,7 @@
-"""Log-probability of texts under a bigram model smoothed by deleted interpolation.
+"""Log-probability of texts under an n-gram model smoothed by deleted interpolation.
 
-Maximum-likelihood estimates of the bigram, the unigram and a uniform
-distribution are mixed; the weights depend on how often the context occurred,
+Maximum-likelihood estimates of n-grams of every length up to ``order`` and a uniform
+distribution are mixed; the weights depend on how often the contexts (one bucket per length) occurred,
 and are learned by expectation-maximisation on texts that the estimates have not seen.
 """
 
@@ -23,8 +23,9 @@ from fleetlens.llm.words import A, NOT_SPACE, Words, mix
 END = mix(np.array([3], np.uint64))[0]
 #: Flags of blocks: texts that estimates come from, those that weights come from, all others.
 ESTIMATE, WEIGH, OTHER = 0, 1, 2
-#: Steps per octave in which probabilities are told apart while weights are learned.
+#: Steps per octave in which probabilities are told apart while weights are learned, by order: fewer for more estimates.
 STEPS = 16
+STEPS_OF = {2: STEPS, 3: 4}
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -40,18 +41,28 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return token, context, first
 
 
-def grams(token: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of unigrams (even numbers) and bigrams (odd numbers)."""
-    one = np.uint64(1)
-    return mix(token) & ~one, mix(context * A + token + one) | one
-
+def grams(token: np.ndarray, context: np.ndarray, starts: np.ndarray | None = None, order: int = 2) -> list[np.ndarray]:
+    """Keys of unigrams (even numbers) and of n-grams up to ``order`` (odd numbers), shortest first.
 
-def asked(rows: pa.RecordBatch) -> exchange.Asked:
+    ``starts`` are the places where texts begin, before which there are as many ends as a context needs.
+    """
+    one = np.uint64(1)
+    last = context * A + token + one
+    found = [mix(token) & ~one, mix(last) | one]
+    for n in range(3, order + 1):
+        before = np.full(len(token), END, np.uint64)
+        before[1:] = last[:-1]
+        before[starts] = END
+        last = mix(before) * A + token + np.uint64(n)
+        found.append(mix(last) | one)
+    return found
+
+
+def asked(rows: pa.RecordBatch, order: int = 2) -> exchange.Asked:
     """Distinct keys of a block, with how often texts of either training part hold them."""
     token, context, first = tokens(rows.column("text"))
     flag = rows.column("flag")[0].as_py()
-    both = np.concatenate(grams(token, context))
-    keys, times = np.unique(both, return_counts=True)
+    keys, times = np.unique(np.concatenate(grams(token, context, first[:-1], order)), return_counts=True)
     nothing = np.zeros(len(keys), np.int64)
     return keys, [times if flag == part else nothing for part in (ESTIMATE, WEIGH)]
 
@@ -72,7 +83,7 @@ class Sizes:
 
 @dataclass
 class Model:
-    """``weights`` of bigram, unigram and uniform estimate (columns) by context bucket (rows)."""
+    """``weights`` of the estimates from the longest n-gram to the uniform (last axis) by context buckets, longest first."""
 
     sizes: Sizes
     weights: np.ndarray
@@ -84,77 +95,111 @@ def bucket(count: np.ndarray) -> np.ndarray:
 
 
 class Counted:
-    """Counts of every token of a block: its own, its context's, and that of both."""
+    """Counts of every token of a block: of the n-grams that end with it and of their contexts, shortest first."""
 
-    def __init__(self, rows: pa.RecordBatch, answers: pa.Table, parts: int):
+    def __init__(self, rows: pa.RecordBatch, answers: pa.Table, parts: int, order: int = 2):
         token, context, self.first = tokens(rows.column("text"))
-        one, two = grams(token, context)
-        keys, place = np.unique(np.concatenate([one, two]), return_inverse=True)
+        made = grams(token, context, self.first[:-1], order)
+        keys, place = np.unique(np.concatenate(made), return_inverse=True)
         totals = exchange.totals_of(answers, 2)
         total = totals[0] if parts == 1 else totals[0] + totals[1]
-        self.own, self.both = total[place[: len(one)]], total[place[len(one) :]]
-        self.before = np.empty_like(self.own)
-        self.before[1:] = self.own[:-1]
+        self.counts = [total[x] for x in np.split(place, order)]
+        self.own = self.counts[0]
         # The end of a text is counted as often as a text begins.
         at_end = total[np.searchsorted(keys, grams(np.array([END]), np.array([END]))[0][0])] if len(token) else 0
-        self.before[self.first[:-1]] = at_end
+        self.before = []
+        for count in self.counts[:-1]:
+            before = np.empty_like(count)
+            before[1:] = count[:-1]
+            before[self.first[:-1]] = at_end
+            self.before.append(before)
+
+    def buckets(self) -> list[np.ndarray]:
+        """Buckets of the contexts, longest first."""
+        return [bucket(x) for x in reversed(self.before)]
+
+    def estimates(self, sizes: Sizes) -> list[np.ndarray]:
+        """Maximum-likelihood estimates, longest n-gram first."""
+        longer = [c / np.maximum(b, 1) for c, b in zip(self.counts[1:], self.before)]
+        return [*reversed(longer), self.own / max(1, sizes.tokens)]
 
 
-def histogram(rows: pa.RecordBatch, answers: pa.Table, sizes: Sizes) -> pa.RecordBatch:
-    """How many tokens have which context bucket and (in steps) which estimates."""
-    c = Counted(rows, answers, 1)
-    step = lambda p: np.where(p > 0, np.round(np.log2(np.maximum(p, 1e-300)) * STEPS), 1).astype(np.int64)
-    bigram = step(c.both / np.maximum(c.before, 1))
-    unigram = step(c.own / max(1, sizes.tokens))
-    cells, times = np.unique(np.stack([bucket(c.before), bigram, unigram], 1), axis=0, return_counts=True)
-    return record(CELLS, *cells.T, times)
+def cell_names(order: int) -> list[str]:
+    """Columns of cells: context buckets, estimates in steps (longest first), and how many tokens have them."""
+    longer = range(order, 2, -1)
+    return [*(f"bucket{n}" for n in longer), "bucket", *(f"gram{n}" for n in longer), "bigram", "unigram", "n"]
 
 
-CELLS = pa.schema([(n, pa.int64()) for n in ("bucket", "bigram", "unigram", "n")])
+def cell_schema(order: int) -> pa.Schema:
+    return pa.schema([(n, pa.int64()) for n in cell_names(order)])
+
+
+def histogram(rows: pa.RecordBatch, answers: pa.Table, sizes: Sizes, order: int = 2) -> pa.RecordBatch:
+    """How many tokens have which context buckets and (in steps) which estimates."""
+    c, steps = Counted(rows, answers, 1, order), STEPS_OF[order]
+    step = lambda p: np.where(p > 0, np.round(np.log2(np.maximum(p, 1e-300)) * steps), 1).astype(np.int64)
+    cells, times = np.unique(np.stack([*c.buckets(), *map(step, c.estimates(sizes))], 1), axis=0, return_counts=True)
+    return record(cell_schema(order), *cells.T, times)
 
 
 #: Bucket under which the cells of all buckets are counted together.
 EVERY = -1
 
 
-def expected(cells: pa.Table, words: int, rounds: int) -> np.ndarray:
-    """Mixture weights of one bucket: expectation-maximisation over its counted cells."""
-    two, one, n = (cells.column(c).to_numpy().astype(np.float64) for c in CELLS.names[1:])
-    chance = np.stack([np.where(x == 1, 0.0, np.exp2(np.minimum(x, 0) / STEPS)) for x in (two, one)], 1)
-    chance = np.concatenate([chance, np.full((len(n), 1), 1 / (words + 1))], 1)
-    # After an unseen context no bigram has an estimate.
-    weights = np.array([0, 0.5, 0.5]) if cells.column("bucket")[0].as_py() == 0 else np.full(3, 1 / 3)
+def expected(cells: pa.Table, words: int, rounds: int, order: int = 2) -> np.ndarray:
+    """Mixture weights of one group of buckets: expectation-maximisation over its counted cells."""
+    names, steps = cell_names(order), STEPS_OF[order]
+    *steps_of, n = (cells.column(c).to_numpy().astype(np.float64) for c in names[order - 1 :])
+    chance = [np.where(x == 1, 0.0, np.exp2(np.minimum(x, 0) / steps)) for x in steps_of]
+    chance = np.stack([*chance, np.full(len(n), 1 / (words + 1))], 1)
+    # After an unseen context no n-gram has an estimate.
+    weights = possible([cells.column(c)[0].as_py() for c in names[: order - 1]])
+    weights = weights / weights.sum()
     for _ in range(rounds):
         part = chance * weights
         weights = (part * (n / part.sum(1))[:, None]).sum(0) / n.sum()
     return weights
 
 
-def learn(cells: DataFrame, sizes: Sizes, rounds: int = 100) -> np.ndarray:
-    """Mixture weights by bucket, from ``cells`` (``CELLS``, once each).
+def possible(buckets: list[int] | tuple[int, ...]) -> np.ndarray:
+    """1 for estimates that may have a weight, 0 for those of contexts which did not occur."""
+    return np.array([*(float(b != 0) for b in buckets), 1.0, 1.0])
+
 
-    A task learns those of a bucket; at most 66 rows reach the driver.  A bucket of contexts that occur c times has up to 16 log2(c)
-    bigram and 16 log2(tokens) unigram estimates, so half a million cells (20 MB) for a corpus of 10^14 tokens.
-    Buckets without any cell take the weights of the next lower bucket, or else of all cells
-    together; no weight is quite zero but that of a bigram after an unseen context.
+def learn(cells: DataFrame, sizes: Sizes, rounds: int = 100, order: int = 2) -> np.ndarray:
+    """Mixture weights by context buckets, from ``cells`` (``cell_names``, once each).
+
+    A task learns those of a group of buckets; at most 66 rows reach the driver for bigrams, and 65 times as many with
+    each length more.  A bucket of contexts that occur c times has up to 16 log2(c)
+    bigram and 16 log2(tokens) unigram estimates, so half a million cells (20 MB) for a corpus of 10^14 tokens; with
+    trigrams, told apart in 4 steps an octave, up to some millions.
+    Groups without any cell take the weights of the next lower bucket, or else of all cells
+    together; no weight is quite zero but those of n-grams after an unseen context.
     """
-    every = cells.groupBy("bigram", "unigram").agg(F.sum("n").alias("n"))
-    every = every.select(F.lit(EVERY).cast("long").alias("bucket"), "bigram", "unigram", "n")
-    out = pa.schema([("bucket", pa.int64()), ("weights", pa.list_(pa.float64()))])
+    names = cell_names(order)
+    groups, grades = names[: order - 1], names[order - 1 : -1]
+    every = cells.groupBy(*grades).agg(F.sum("n").alias("n"))
+    every = every.select(*[F.lit(EVERY).cast("long").alias(g) for g in groups], *grades, "n")
+    out = pa.schema([("buckets", pa.list_(pa.int64())), ("weights", pa.list_(pa.float64()))])
 
     def run(key, own):
-        return pa.Table.from_batches([record(out, [key[0].as_py()], [expected(own, sizes.words, rounds).tolist()])])
-
-    made = cells.unionByName(every).groupBy("bucket").applyInArrow(run, "bucket long, weights array<double>")
-    found = {r.bucket: r.weights for r in made.collect()}
-    last = found.get(EVERY, [1 / 3] * 3)
-    weights = [found.get(0, last if found else [0, 0.5, 0.5])]
-    for k in range(1, 65):
-        last = found.get(k, last)
-        weights.append(last)
-    weights = np.maximum(np.array(weights), 1e-9)
-    weights[0, 0] = 0
-    return weights / weights.sum(1, keepdims=True)
+        return pa.Table.from_batches([record(out, [[k.as_py() for k in key]], [expected(own, sizes.words, rounds, order).tolist()])])
+
+    made = cells.select(*names).unionByName(every).groupBy(*groups).applyInArrow(run, "buckets array<long>, weights array<double>")
+    found = {tuple(r.buckets): np.array(r.weights) for r in made.collect()}
+    all_cells = found.get((EVERY,) * len(groups))
+    weights = np.zeros((65,) * len(groups) + (order + 1,))
+    for at in np.ndindex(weights.shape[:-1]):
+        lower = next((k for k, b in enumerate(at) if b > 1), None)
+        if at in found:
+            weights[at] = found[at]
+        elif lower is not None:
+            weights[at] = weights[(*at[:lower], at[lower] - 1, *at[lower + 1 :])]
+        else:
+            weights[at] = possible(at) / possible(at).sum() if all_cells is None else all_cells
+        weights[at] = np.maximum(weights[at], 1e-9) * possible(at)
+        weights[at] /= weights[at].sum()
+    return weights
 
 
 def score(
@@ -164,6 +209,7 @@ def score(
     doc_id: str = "doc_id",
     text: str = "text",
     block: int = exchange.BLOCK,
+    order: int = 2,
 ) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` for every row.
 
@@ -171,34 +217,40 @@ def score(
     whether (being so) it is kept apart while the weights are learned.  After that
     estimates come from all training rows.  ``base_score`` is that of the unigram with 0.1
     added to each count.  Null and empty texts are one token, the end.  With nothing to
-    learn from, every token is as likely as any.
+    learn from, every token is as likely as any.  ``order`` (2 or 3) is the length of the longest n-grams.
     """
+    if order not in STEPS_OF:
+        raise ValueError(f"order {order} is none of {sorted(STEPS_OF)}")
     trained = F.coalesce(F.expr(train), F.lit(False))
     flag = F.when(trained & F.coalesce(F.expr(weigh), F.lit(False)), WEIGH).when(trained, ESTIMATE).otherwise(OTHER)
     rows = docs.select(flag.alias("flag"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     table = exchange.blocks(rows, "flag", block)
-    bits = exchange.bucket_bits(exchange.count_blocks(table))
-    answers = exchange.answer(exchange.ask(table, asked, bits), [np.add, np.add], "ngram-counts", word_counts)
+    # A length more brings about half as many keys again as words and bigrams do.
+    bits = exchange.bucket_bits(exchange.count_blocks(table) * order // 2)
+    answers = exchange.answer(
+        exchange.ask(table, lambda own: asked(own, order), bits), [np.add, np.add], "ngram-counts", word_counts
+    )
     sizes = corpus_sizes(answers)
 
     def cells(number: int, own: pa.RecordBatch, found: pa.Table) -> Iterator[pa.RecordBatch]:
-        yield histogram(own, found, sizes[0])
+        yield histogram(own, found, sizes[0], order)
 
     held_out = table.where(F.col("flag") == WEIGH)
     known = answers.join(held_out.select("block"), "block", "left_semi")
-    counted = exchange.meet(held_out, known, cells, "bucket long, bigram long, unigram long, n long", CELLS)
-    cells_of_all = stage(counted.groupBy("bucket", "bigram", "unigram").agg(F.sum("n").alias("n")), "ngram-cells")
-    shared = docs.sparkSession.sparkContext.broadcast(Model(sizes[1], learn(cells_of_all, sizes[0])))
+    names = cell_names(order)
+    counted = exchange.meet(held_out, known, cells, ", ".join(f"{n} long" for n in names), cell_schema(order))
+    cells_of_all = stage(counted.groupBy(*names[:-1]).agg(F.sum("n").alias("n")), "ngram-cells")
+    shared = docs.sparkSession.sparkContext.broadcast(Model(sizes[1], learn(cells_of_all, sizes[0], order=order)))
 
     numbers = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
     out = pa.schema([pa.field("doc_id", pa.int64() if kind == "bigint" else pa.string()), *numbers])
 
     def scored(number: int, own: pa.RecordBatch, found: pa.Table) -> Iterator[pa.RecordBatch]:
-        m, c = shared.value, Counted(own, found, 2)
+        m, c = shared.value, Counted(own, found, 2, order)
         n, v = m.sizes.tokens, m.sizes.words
-        w = m.weights[bucket(c.before)] if n else np.tile([0.0, 0.0, 1.0], (len(c.own), 1))
-        p = w[:, 0] * c.both / np.maximum(c.before, 1) + w[:, 1] * c.own / max(n, 1) + w[:, 2] / (v + 1)
+        w = m.weights[tuple(c.buckets())] if n else np.eye(order + 1)[[order] * len(c.own)]
+        p = sum(w[:, k] * x for k, x in enumerate(c.estimates(m.sizes))) + w[:, order] / (v + 1)
         base = np.log10((c.own + 0.1) / (n + 0.1 * (v + 1)))
         start = c.first[:-1]
         total = lambda x: np.add.reduceat(x, start)

@@ -86,7 +86,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = "crc32(cast(cast(doc_id AS string) AS binary)) % 10"
-    found = lm.score(table(spark, sf_dir, "documents"), f"{part} <> 0", f"{part} = 1")
+    found = lm.score(table(spark, sf_dir, "documents"), f"{part} <> 0", f"{part} = 1", order=3)
     return found.select(
         "doc_id", (crc("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

@@ -92,6 +92,88 @@ def test_interpolation(spark):
         assert found[i] == pytest.approx(expected[i], rel=0.01)
 
 
+def interpolated_by_length(texts, estimate, weigh, order, rounds=100):
+    """Exact estimates of n-grams up to ``order``, weights by the buckets of all contexts."""
+
+    def counted(ids):
+        found = [Counter() for _ in range(order + 1)]
+        for i in ids:
+            tokens = [*spaced(texts[i]), None]
+            padded = [None] * (order - 1) + tokens
+            for k in range(len(tokens)):
+                for n in range(1, order + 1):
+                    found[n][tuple(padded[k + order - n : k + order])] += 1
+        return found
+
+    def rows(text, counts):
+        total, starts = sum(counts[1].values()), counts[1][(None,)]
+        tokens = [*spaced(text), None]
+        padded = [None] * (order - 1) + tokens
+        for k in range(len(tokens)):
+            p, seen = [counts[1][(tokens[k],)] / total, 1 / (len(counts[1]) + 1)], []
+            for n in range(2, order + 1):
+                h = tuple(padded[k + order - n : k + order - 1])
+                c = starts if k == 0 else counts[n - 1][h]
+                p.insert(0, counts[n][(*h, tokens[k])] / c if c else 0)
+                seen.insert(0, c.bit_length())
+            yield tuple(seen), p
+
+    EVERY = (-1,) * (order - 1)
+    counts = counted(estimate)
+    cells = [row for i in weigh for row in rows(texts[i], counts)]
+    weights = {}
+    for b in {b for b, _ in cells} | {EVERY}:
+        own = np.array([p for x, p in cells if b in (x, EVERY)])
+        w = np.array([*(float(x != 0) for x in b), 1, 1])
+        w /= w.sum()
+        for _ in range(rounds):
+            part = own * w
+            w = (part / part.sum(1, keepdims=True)).mean(0)
+        weights[b] = w
+    counts = counted([*estimate, *weigh])
+
+    def chance(b, p):
+        able = np.array([*(float(x != 0) for x in b), 1, 1])
+        while b not in weights:
+            at = next((k for k, x in enumerate(b) if x > 1), None)
+            b = EVERY if at is None else (*b[:at], b[at] - 1, *b[at + 1 :])
+        w = np.maximum(weights[b], 1e-9) * able
+        return float(w @ p / w.sum())
+
+    return [sum(math.log10(chance(b, p)) for b, p in rows(text, counts)) for text in texts]
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_longer_contexts(spark, order):
+    r = random.Random(5)
+    texts = []
+    for _ in range(90):
+        words = r.choices("abc", k=2)
+        while len(words) < 40:
+            words.append({"aa": "b", "ab": "c", "bc": "a"}.get(words[-2] + words[-1]) if r.random() < 0.7 and words[-2] + words[-1] in ("aa", "ab", "bc") else r.choice("abc"))
+        texts.append(" ".join(words))
+    table = docs(spark, texts)
+    found = {x.doc_id: x.score for x in lm.score(table, "doc_id % 3 <> 0", "doc_id % 3 = 1", block=900, order=order).collect()}
+    truth = interpolated_by_length(texts, range(2, 90, 3), range(1, 90, 3), order)
+    for i in range(90):
+        assert found[i] == pytest.approx(truth[i], rel=0.03 if order > 2 else 0.01)
+    if order == 3:
+        plain = {x.doc_id: x.score for x in lm.score(table, "doc_id % 3 <> 0", "doc_id % 3 = 1", block=900).collect()}
+        assert sum(found[i] for i in range(0, 90, 3)) > sum(plain[i] for i in range(0, 90, 3))
+
+
+def test_longer_contexts_of_awkward_texts(spark):
+    order = 3
+    found = lm.score(docs(spark, TEXTS), "doc_id % 4 <> 0", "doc_id % 4 = 1", order=order).collect()
+    assert len(found) == len(TEXTS) and all(np.isfinite(r.score) and r.score <= 0 for r in found)
+    same = {r.doc_id: r.score for r in found}
+    assert same[6] == same[7] and same[0] == same[1] == same[2]
+    assert len({r.score for r in lm.score(docs(spark, [None, "", "a"]), "false", "true", order=order).collect()}) == 2
+    assert lm.score(docs(spark, []), "true", "false", order=order).collect() == []
+    with pytest.raises(ValueError):
+        lm.score(docs(spark, TEXTS), "true", "false", order=4)
+
+
 def test_model_beats_the_base_on_held_out_texts(spark):
     rows = [r for r in QUERIES["op6_lm"](spark, "/root/testdata/sf0.01").collect() if r.held_out]
     assert len(rows) > 50 and all(crc(r.doc_id, 10) == 0 for r in rows)
