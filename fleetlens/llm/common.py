@@ -73,6 +73,18 @@ def temporary(spark: SparkSession) -> Iterator[None]:
     del _staged[before:]
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that end inside are deleted at their end, not when the driver next collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def few(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, to be broadcast if it is counted to have at most ``limit`` rows."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -97,6 +97,7 @@ def bucket_bits(count: int) -> int:
 
 
 REQUESTS = "bucket long, block long, keys binary, values array<binary>"
+REQUEST = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("values", pa.list_(pa.binary()))])
 
 
 def requests_of(block: int, asked: Asked, bits: int) -> pa.RecordBatch:
@@ -104,11 +105,10 @@ def requests_of(block: int, asked: Asked, bits: int) -> pa.RecordBatch:
     keys, values = asked
     bounds = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
     cuts = np.append(np.searchsorted(keys, bounds), len(keys))
-    schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("values", pa.list_(pa.binary()))])
     full = np.flatnonzero(np.diff(cuts))
     parts = [slice(cuts[k], cuts[k + 1]) for k in full]
     return record(
-        schema, full, [block] * len(full),
+        REQUEST, full, [block] * len(full),
         [planes(np.diff(keys[p], prepend=np.uint64(0))) for p in parts],
         [[planes(v[p].astype(np.int64)) for v in values] for p in parts],
     )

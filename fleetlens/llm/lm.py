@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm import exchange
-from fleetlens.llm.common import flat, record, stage
+from fleetlens.llm.common import flat, record, shuffles_deleted, stage
 from fleetlens.llm.words import A, NOT_SPACE, Words, mix
 
 #: Hash of the end of a text, which is a token and the context of the first word.
@@ -58,13 +58,23 @@ def grams(token: np.ndarray, context: np.ndarray, starts: np.ndarray | None = No
     return found
 
 
-def asked(rows: pa.RecordBatch, order: int = 2) -> exchange.Asked:
-    """Distinct keys of a block, with how often texts of either training part hold them."""
-    token, context, first = tokens(rows.column("text"))
-    flag = rows.column("flag")[0].as_py()
-    keys, times = np.unique(np.concatenate(grams(token, context, first[:-1], order)), return_counts=True)
+def distinct(made: list[np.ndarray], flag: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys of a block, the place of every key among them, and how often texts of either training part hold them."""
+    keys, place, times = np.unique(np.concatenate(made), return_inverse=True, return_counts=True)
     nothing = np.zeros(len(keys), np.int64)
-    return keys, [times if flag == part else nothing for part in (ESTIMATE, WEIGH)]
+    return keys, place, [times if flag == part else nothing for part in (ESTIMATE, WEIGH)]
+
+
+def asked(rows: pa.RecordBatch) -> exchange.Asked:
+    """Words and bigrams of a block."""
+    token, context, _ = tokens(rows.column("text"))
+    keys, _, own = distinct(grams(token, context), rows.column("flag")[0].as_py())
+    return keys, own
+
+
+def asked_next(rows: pa.RecordBatch, answers: pa.Table, order: int) -> exchange.Asked:
+    """N-grams of length ``order`` that may occur in other blocks, given ``answers`` on all shorter ones."""
+    return Counted(rows, answers, 2, order, answered=order - 1).open
 
 
 def word_counts(keys: np.ndarray, totals: list[np.ndarray]) -> list[int]:
@@ -95,23 +105,48 @@ def bucket(count: np.ndarray) -> np.ndarray:
 
 
 class Counted:
-    """Counts of every token of a block: of the n-grams that end with it and of their contexts, shortest first."""
+    """Counts of every token of a block: of the n-grams that end with it and of their contexts, shortest first.
+
+    An n-gram of three tokens or more occurs in another block only if the two n-grams in it that are a token shorter do.
+    ``answers`` cover those that may, all others are counted in this block.  ``open`` are those of the length after
+    ``answered``, if that is not ``order``.
+    """
 
-    def __init__(self, rows: pa.RecordBatch, answers: pa.Table, parts: int, order: int = 2):
+    def __init__(self, rows: pa.RecordBatch, answers: pa.Table, parts: int, order: int = 2, answered: int | None = None):
         token, context, self.first = tokens(rows.column("text"))
-        made = grams(token, context, self.first[:-1], order)
-        keys, place = np.unique(np.concatenate(made), return_inverse=True)
-        totals = exchange.totals_of(answers, 2)
-        total = totals[0] if parts == 1 else totals[0] + totals[1]
-        self.counts = [total[x] for x in np.split(place, order)]
-        self.own = self.counts[0]
+        flag, starts = rows.column("flag")[0].as_py(), self.first[:-1]
+        made = grams(token, context, starts, order)
+        found = exchange.totals_of(answers, 2)
+        keys, place, own = distinct(made[:2], flag)
+        totals, found = [f[: len(keys)] for f in found], [f[len(keys) :] for f in found]
+        total = sum(totals[:parts])
+        self.counts = [total[x] for x in np.split(place, 2)]
         # The end of a text is counted as often as a text begins.
         at_end = total[np.searchsorted(keys, grams(np.array([END]), np.array([END]))[0][0])] if len(token) else 0
+        elsewhere = (sum(totals) > sum(own))[place[len(token) :]]
+        for n in range(3, order + 1):
+            before = np.ones(len(token), bool)
+            before[1:] = elsewhere[:-1]
+            before[starts] = True
+            keys, place, totals = distinct([made[n - 1]], flag)
+            ask = np.zeros(len(keys), bool)
+            ask[place[elsewhere & before]] = True
+            if n - 1 == answered:
+                self.open = keys[ask], [t[ask] for t in totals]
+                return
+            count, here = int(ask.sum()), sum(totals)
+            totals = [t.copy() for t in totals]
+            for t, f in zip(totals, found):
+                t[ask] = f[:count]
+            found = [f[count:] for f in found]
+            self.counts.append(sum(totals[:parts])[place])
+            elsewhere = (sum(totals) > here)[place]
+        self.own = self.counts[0]
         self.before = []
         for count in self.counts[:-1]:
             before = np.empty_like(count)
             before[1:] = count[:-1]
-            before[self.first[:-1]] = at_end
+            before[starts] = at_end
             self.before.append(before)
 
     def buckets(self) -> list[np.ndarray]:
@@ -226,12 +261,14 @@ def score(
     rows = docs.select(flag.alias("flag"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     table = exchange.blocks(rows, "flag", block)
-    # A length more brings about half as many keys again as words and bigrams do.
-    bits = exchange.bucket_bits(exchange.count_blocks(table) * order // 2)
-    answers = exchange.answer(
-        exchange.ask(table, lambda own: asked(own, order), bits), [np.add, np.add], "ngram-counts", word_counts
-    )
-    sizes = corpus_sizes(answers)
+    bits, spark = exchange.bucket_bits(exchange.count_blocks(table)), docs.sparkSession
+    with shuffles_deleted(spark):
+        answers = exchange.answer(exchange.ask(table, asked, bits), [np.add, np.add], "ngram-counts", word_counts)
+        sizes = corpus_sizes(answers)
+        for n in range(3, order + 1):
+            longer = exchange.answer(next_requests(table, answers, n, bits), [np.add, np.add], f"ngram{n}-counts")
+            # Answers on longer n-grams follow those on shorter ones.
+            answers = answers.unionByName(longer.withColumn("bucket", F.col("bucket") + ((n - 2) << 32)))
 
     def cells(number: int, own: pa.RecordBatch, found: pa.Table) -> Iterator[pa.RecordBatch]:
         yield histogram(own, found, sizes[0], order)
@@ -240,8 +277,9 @@ def score(
     known = answers.join(held_out.select("block"), "block", "left_semi")
     names = cell_names(order)
     counted = exchange.meet(held_out, known, cells, ", ".join(f"{n} long" for n in names), cell_schema(order))
-    cells_of_all = stage(counted.groupBy(*names[:-1]).agg(F.sum("n").alias("n")), "ngram-cells")
-    shared = docs.sparkSession.sparkContext.broadcast(Model(sizes[1], learn(cells_of_all, sizes[0], order=order)))
+    with shuffles_deleted(spark):
+        cells_of_all = stage(counted.groupBy(*names[:-1]).agg(F.sum("n").alias("n")), "ngram-cells")
+    shared = spark.sparkContext.broadcast(Model(sizes[1], learn(cells_of_all, sizes[0], order=order)))
 
     numbers = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
     out = pa.schema([pa.field("doc_id", pa.int64() if kind == "bigint" else pa.string()), *numbers])
@@ -265,6 +303,15 @@ def score(
     return result.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
+def next_requests(table: DataFrame, answers: DataFrame, order: int, bits: int) -> DataFrame:
+    """Requests of all blocks for n-grams of length ``order``, given ``answers`` on all shorter ones."""
+
+    def run(number: int, own: pa.RecordBatch, found: pa.Table) -> Iterator[pa.RecordBatch]:
+        yield exchange.requests_of(number, asked_next(own, found, order), bits)
+
+    return exchange.meet(table, answers, run, exchange.REQUESTS, exchange.REQUEST)
+
+
 def corpus_sizes(answers: DataFrame) -> tuple[Sizes, Sizes]:
     """Sizes of the estimating part and of all training texts: kept beside the counts of each bucket."""
     total = answers.agg(*[F.sum(F.col("summary")[k]) for k in range(4)]).first()

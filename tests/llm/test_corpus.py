@@ -2,15 +2,17 @@
 
 import math
 import random
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import alnum, changed, crc, docs, sentences, spaced
 
-from fleetlens.llm import lm, suffixes
-from fleetlens.llm.common import configure
+from fleetlens.llm import exchange, lm, suffixes
+from fleetlens.llm.common import configure, shuffles_deleted, stage
 from fleetlens.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -174,6 +176,52 @@ def test_longer_contexts_of_awkward_texts(spark):
         lm.score(docs(spark, TEXTS), "true", "false", order=4)
 
 
+def test_only_trigrams_that_may_occur_in_other_blocks_move(spark):
+    texts = ["a b c d", "x a b c", "b c d a b c", "q r s", "q r s q r s", None, "", "c d"]
+    rows = docs(spark, texts).selectExpr("case when doc_id < 6 then doc_id % 2 else 2 end as flag", "doc_id", "text")
+    table = exchange.blocks(rows.repartition(1), "flag", 8)
+    parts = {r.block: (r.flag, exchange.rows_of(r.content).column("text").to_pylist()) for r in table.collect()}
+    assert len(parts) > 4
+    answers = exchange.answer(exchange.ask(table, lm.asked, 2), [np.add, np.add], "counts", lm.word_counts)
+    asked = {b: set() for b in parts}
+    for r in lm.next_requests(table, answers, 3, 2).collect():
+        asked[r.block] |= set(np.cumsum(exchange.unplanes(r["keys"], np.uint64), dtype=np.uint64).tolist())
+    held = {b: [["<s>", *spaced(t), "</s>"] for t in own] for b, (_, own) in parts.items()}
+    grams = {b: [tuple(w[k : k + n]) for w in own for n in (2, 3) for k in range(len(w) - n + 1)] for b, own in held.items()}
+    for b in parts:
+        elsewhere = {g for o, own in grams.items() for g in own if o != b and parts[o][0] != lm.OTHER}
+        longer = {g for g in grams[b] if len(g) == 3} | {("", *g) for g in grams[b] if g[0] == "<s>" and len(g) == 2}
+        may = {g for g in longer if g[1:] in elsewhere and (g[0] == "" or g[:2] in elsewhere)}
+        assert len(asked[b]) == len(may)
+    assert 0 < sum(map(len, asked.values())) < sum(len({g for g in own if len(g) == 3}) for own in grams.values())
+
+
+def shuffle_bytes(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return sum(f.stat().st_size for d in folders for f in Path(d.getPath()).rglob("shuffle_*.data"))
+
+
+def test_requests_do_not_stay_on_disk(spark):
+    def settled():
+        for _ in range(50):
+            if shuffle_bytes(spark) <= before + 3000:  # sums and counts
+                break
+            time.sleep(0.1)
+        return shuffle_bytes(spark) - 3000
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting, None)
+    spark._jvm.System.gc()
+    time.sleep(1)
+    before = shuffle_bytes(spark)
+    with shuffles_deleted(spark):
+        found = stage(docs(spark, sentences(3, 60)).groupBy("text").count(), "counted")
+    assert settled() <= before and found.count() == 60
+    found = lm.score(docs(spark, sentences(4, 60)), "doc_id % 3 <> 0", "doc_id % 3 = 1", order=3)
+    assert settled() <= before and found.count() == 60
+    assert spark.conf.get(setting, None) == was
+
+
 def test_model_beats_the_base_on_held_out_texts(spark):
     rows = [r for r in QUERIES["op6_lm"](spark, "/root/testdata/sf0.01").collect() if r.held_out]
     assert len(rows) > 50 and all(crc(r.doc_id, 10) == 0 for r in rows)
