@@ -13,7 +13,7 @@ from fleetlens import adapters as A
 from fleetlens.functions import clean, scoring
 from fleetlens.operators import daymaps, features, freshness, grouping, profile, scores, sketches
 from fleetlens.plans.daily import wide_features
-from fleetlens.session import configure, scratch_path, stage
+from fleetlens.session import configure, scratch_path, stage, stage_bucketed
 from fleetlens.sinks import files as sinks
 from fleetlens.sinks import published
 from fleetlens.sources import files as sources
@@ -251,9 +251,12 @@ def composite_score(spark, sf):
 
 @query
 def composite_join(spark, sf):
-    """The same from the written fact table and three separately computed score tables."""
-    hourly = stage(fact(spark, sf), "hourly_fact")
-    bytes_used = consumption(spark, sf)
+    """The same from the written fact table and three separately computed score tables.
+
+    Fact table and consumption are written where their station-hours are, so that both scores read them without a shuffle.
+    """
+    hourly = stage_bucketed(fact(spark, sf), "hourly_fact", scores.STATION)
+    bytes_used = stage_bucketed(consumption(spark, sf), "consumption", scores.STATION)
     return scores.composite_score(
         scores.speed_score(hourly, bytes_used, stage=stage),
         scores.coverage_score(hourly, bytes_used, stage=stage),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetlens import adapters as A
 from fleetlens.operators import features, freshness, profile, scores
 from fleetlens.plans.hourly import read_hour, score_hour
-from fleetlens.session import stage
+from fleetlens.session import stage, stage_bucketed
 from fleetlens.sinks.files import children, overwrite_partitions
 
 SF = "/root/testdata/sf0.001"
@@ -232,3 +232,32 @@ def test_composite_moves_no_raw_rows(spark, small_partitions):
     assert len(re.findall(r"[-+ ]Exchange\b", text)) == 4
     moved = [re.search(r"Exchange.*\n[\s:+-]*(?:\*\(\d+\) )?(\w+)", part).group(1) for part in re.split(r"(?=[-+ ]Exchange\b)", text)[1:]]
     assert sorted(moved) == ["HashAggregate", "ObjectHashAggregate", "ObjectHashAggregate", "Project"]
+
+
+def test_scores_of_the_written_fact_table_move_no_rows(spark, fact):
+    """Both scores read fact table and consumption where they lie; copies and null keys stay as they are."""
+    written, plans = [], []
+
+    def staged(df, name):
+        plans.append(plan(df))
+        written.append(stage(df, name))
+        return written[-1]
+
+    copies = fact.unionByName(fact.limit(50)).unionByName(fact.limit(20).withColumn("station_mac", F.lit(None).cast("string")))
+    copies = stage(copies, "copies")
+    consumption = scores.data_consumption(A.station_history(spark, SF))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        hourly = stage_bucketed(copies, "hourly", scores.STATION)
+        used = stage_bucketed(consumption, "used", scores.STATION)
+        for score in (scores.speed_score, scores.coverage_score):
+            score(hourly, used, stage=staged)
+            score(copies, consumption, stage=staged)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert [len(re.findall(r"[-+ ]Exchange\b", p)) > 0 for p in plans] == [False, True] * 2
+    assert "ObjectHashAggregate" in plans[0] and "SortMergeJoin" in plans[0]
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert hourly.columns == copies.columns and rows(hourly) == rows(copies)
+    assert rows(written[0]) == rows(written[1]) and rows(written[2]) == rows(written[3])
