@@ -22,7 +22,7 @@ from fleetlens.llm.words import A, NOT_SPACE, Words, mix
 #: Hash of the end of a text, which is a token and the context of the first word.
 END = mix(np.array([3], np.uint64))[0]
 #: Flags of blocks: texts that estimates come from, those that weights come from, all others.
-ESTIMATE, WEIGH, OTHER = 0, 1, 2
+ESTIMATE, WEIGH, OTHER = PARTS = 0, 1, 2
 #: Steps per octave in which probabilities are told apart while weights are learned, by order: fewer for more estimates.
 STEPS = 16
 STEPS_OF = {2: STEPS, 3: 4}
@@ -59,10 +59,10 @@ def grams(token: np.ndarray, context: np.ndarray, starts: np.ndarray | None = No
 
 
 def distinct(made: list[np.ndarray], flag: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Distinct keys of a block, the place of every key among them, and how often texts of either training part hold them."""
+    """Distinct keys of a block, the place of every key among them, and how often texts of each part hold them."""
     keys, place, times = np.unique(np.concatenate(made), return_inverse=True, return_counts=True)
     nothing = np.zeros(len(keys), np.int64)
-    return keys, place, [times if flag == part else nothing for part in (ESTIMATE, WEIGH)]
+    return keys, place, [times if flag == part else nothing for part in PARTS]
 
 
 def asked(rows: pa.RecordBatch) -> exchange.Asked:
@@ -107,7 +107,8 @@ def bucket(count: np.ndarray) -> np.ndarray:
 class Counted:
     """Counts of every token of a block: of the n-grams that end with it and of their contexts, shortest first.
 
-    An n-gram of three tokens or more occurs in another block only if the two n-grams in it that are a token shorter do.
+    An n-gram of three tokens or more occurs in another block, of whichever part, only if the two n-grams in it that are
+    a token shorter do.
     ``answers`` cover those that may, all others are counted in this block.  ``open`` are those of the length after
     ``answered``, if that is not ``order``.
     """
@@ -116,7 +117,7 @@ class Counted:
         token, context, self.first = tokens(rows.column("text"))
         flag, starts = rows.column("flag")[0].as_py(), self.first[:-1]
         made = grams(token, context, starts, order)
-        found = exchange.totals_of(answers, 2)
+        found = exchange.totals_of(answers, len(PARTS))
         keys, place, own = distinct(made[:2], flag)
         totals, found = [f[: len(keys)] for f in found], [f[len(keys) :] for f in found]
         total = sum(totals[:parts])
@@ -261,12 +262,13 @@ def score(
     rows = docs.select(flag.alias("flag"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     table = exchange.blocks(rows, "flag", block)
+    how = [np.add] * len(PARTS)
     bits, spark = exchange.bucket_bits(exchange.count_blocks(table)), docs.sparkSession
     with shuffles_deleted(spark):
-        answers = exchange.answer(exchange.ask(table, asked, bits), [np.add, np.add], "ngram-counts", word_counts)
+        answers = exchange.answer(exchange.ask(table, asked, bits), how, "ngram-counts", word_counts)
         sizes = corpus_sizes(answers)
         for n in range(3, order + 1):
-            longer = exchange.answer(next_requests(table, answers, n, bits), [np.add, np.add], f"ngram{n}-counts")
+            longer = exchange.answer(next_requests(table, answers, n, bits), how, f"ngram{n}-counts")
             # Answers on longer n-grams follow those on shorter ones.
             answers = answers.unionByName(longer.withColumn("bucket", F.col("bucket") + ((n - 2) << 32)))
 

@@ -182,20 +182,29 @@ def test_only_trigrams_that_may_occur_in_other_blocks_move(spark):
     table = exchange.blocks(rows.repartition(1), "flag", 8)
     parts = {r.block: (r.flag, exchange.rows_of(r.content).column("text").to_pylist()) for r in table.collect()}
     assert len(parts) > 4
-    answers = exchange.answer(exchange.ask(table, lm.asked, 2), [np.add, np.add], "counts", lm.word_counts)
+    answers = exchange.answer(exchange.ask(table, lm.asked, 2), [np.add] * 3, "counts", lm.word_counts)
     asked = {b: set() for b in parts}
     for r in lm.next_requests(table, answers, 3, 2).collect():
         asked[r.block] |= set(np.cumsum(exchange.unplanes(r["keys"], np.uint64), dtype=np.uint64).tolist())
     held = {b: [["<s>", *spaced(t), "</s>"] for t in own] for b, (_, own) in parts.items()}
     grams = {b: [tuple(w[k : k + n]) for w in own for n in (2, 3) for k in range(len(w) - n + 1)] for b, own in held.items()}
     for b in parts:
-        elsewhere = {g for o, own in grams.items() for g in own if o != b and parts[o][0] != lm.OTHER}
+        elsewhere = {g for o, own in grams.items() for g in own if o != b}
         longer = {g for g in grams[b] if len(g) == 3} | {("", *g) for g in grams[b] if g[0] == "<s>" and len(g) == 2}
         may = {g for g in longer if g[1:] in elsewhere and (g[0] == "" or g[:2] in elsewhere)}
         assert len(asked[b]) == len(may)
     assert 0 < sum(map(len, asked.values())) < sum(len({g for g in own if len(g) == 3}) for own in grams.values())
 
 
+def test_trigrams_of_one_training_block_count_for_held_out_texts(spark):
+    texts = sentences(9, 12, 40, vocabulary=2000)
+    table = docs(spark, [*texts, texts[0], texts[1]])  # copies of an estimating and of a weighing text, held out
+    rows = lambda **o: {r.doc_id: r.score for r in lm.score(table, "doc_id < 12", "doc_id % 3 = 1", order=3, **o).collect()}
+    own = rows(block=200)
+    assert own[12] == pytest.approx(own[0], rel=1e-9) and own[13] == pytest.approx(own[1], rel=1e-9)
+    assert own == pytest.approx(rows(), rel=1e-9)
+
+
 def shuffle_bytes(spark):
     folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
     return sum(f.stat().st_size for d in folders for f in Path(d.getPath()).rglob("shuffle_*.data"))
